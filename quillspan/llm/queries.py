@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan.functions.refs import book_id
-from quillspan.llm import bpe, packing, splitter, top_n
+from quillspan.llm import bpe, packing, scan_repair, splitter, top_n
 from quillspan.sources.tables import table
 
 
@@ -39,6 +39,35 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitter.split_oversized(rest.unionByName(keyed), "id", "text", whole=F.col("whole")).withColumnRenamed("id", "chunk_id")
 
 
+def _scan(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, scan_repair.Corpus]:
+    """(chunks with the column scanned, scanned sources, corpus statistics)."""
+    sources = scan_repair.scanned_sources(table(spark, sf_dir, "comments"))
+    chunk = table(spark, sf_dir, "chunk").select("id", "resource_type", "source", "text")
+    chunk = scan_repair.marked(chunk, "source", sources, also=F.col("resource_type") == "commentary")
+    return chunk, sources, scan_repair.learn(chunk)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunk, _, corpus = _scan(spark, sf_dir)
+    found = scan_repair.repaired(chunk.filter("scanned"), corpus, ["id"])
+    return found.select(F.col("id").alias("chunk_id"), F.explode("noise").alias("noise")).distinct()
+
+
+def p4_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk, those from scanned pages as running paragraphs."""
+    chunk, _, corpus = _scan(spark, sf_dir)
+    fixed = scan_repair.repaired(chunk.filter("scanned").select("id", "text").distinct(), corpus, ["id"]).select(F.col("id").alias("chunk_id"), "text")
+    return fixed.unionByName(chunk.filter("not scanned").select(F.col("id").alias("chunk_id"), "text").distinct())
+
+
+def p4_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every comment, those from scanned pages as running paragraphs."""
+    _, sources, corpus = _scan(spark, sf_dir)
+    rows = scan_repair.marked(table(spark, sf_dir, "comments").select("commentator", "key", "text").distinct(), "commentator", sources)
+    fixed = scan_repair.repaired(rows.filter("scanned"), corpus, ["commentator", "key"]).drop("noise")
+    return fixed.unionByName(rows.filter("not scanned").select("commentator", "key", "text"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -47,7 +76,11 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_containers": p7_containers}
+QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p3_found": p3_found, "p3_pieces": p3_pieces,
+    "p4_found": p4_found,
+    "p4_chunks": p4_chunks,
+    "p4_comments": p4_comments,
+    "p6_ids": p6_ids, "p7_containers": p7_containers}
 
 _BEST = """
 WITH last AS (SELECT * FROM (SELECT DISTINCT edge_id, source, upper(trim(src_book)) AS book, src_chapter, src_verse, votes, rank, loaded_at FROM crossref)
