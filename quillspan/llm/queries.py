@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan.functions.refs import book_id
-from quillspan.llm import bpe, packing, scan_repair, splitter, top_n
+from quillspan.llm import bpe, cutoff, packing, scan_repair, splitter, top_n
 from quillspan.sources.tables import table
 
 
@@ -76,11 +76,22 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+_DOCUMENT = ("doc_id", "text", "lang", "source")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutoff.cut_off(table(spark, sf_dir, "documents"), *_DOCUMENT)
+
+
+def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutoff.per_source(table(spark, sf_dir, "documents"), *_DOCUMENT)
+
+
 QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found,
     "p4_chunks": p4_chunks,
     "p4_comments": p4_comments,
-    "p6_ids": p6_ids, "p7_containers": p7_containers}
+    "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources}
 
 _BEST = """
 WITH last AS (SELECT * FROM (SELECT DISTINCT edge_id, source, upper(trim(src_book)) AS book, src_chapter, src_verse, votes, rank, loaded_at FROM crossref)
