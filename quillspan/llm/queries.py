@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan.functions.refs import book_id
-from quillspan.llm import bpe, cutoff, packing, scan_repair, splitter, top_n
+from quillspan.llm import bpe, cutoff, packing, scan_repair, splitter, top_n, vptree
 from quillspan.sources.tables import table
 
 
@@ -23,6 +23,15 @@ def p1_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _best_edges(spark, sf_dir).select(F.col("item").alias("edge_id"), F.col("score").alias("votes"), F.col("tie").alias("rank"), F.col("place").cast("long").alias("place"))
 
 
+def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.similar(table(spark, sf_dir, "embedding"), "chunk_id", "vector")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = p2_neighbours(spark, sf_dir).filter(F.col("similarity") >= 0.9)
+    return near.select(F.least("chunk_id", "neighbour").alias("chunk_id_a"), F.greatest("chunk_id", "neighbour").alias("chunk_id_b")).distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = splitter.split_oversized(table(spark, sf_dir, "chunk"), "id", "text")
     return pieces.filter(F.col("pieces") > 1).select(F.col("id").alias("chunk_id")).distinct()
@@ -87,7 +96,7 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutoff.per_source(table(spark, sf_dir, "documents"), *_DOCUMENT)
 
 
-QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p3_found": p3_found, "p3_pieces": p3_pieces,
+QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found,
     "p4_chunks": p4_chunks,
     "p4_comments": p4_comments,
