@@ -368,10 +368,20 @@ def learn(chunks: DataFrame) -> Corpus:
     return Corpus(words, headers, heads, frozenset(w for k in heads for w in k.split()), names)
 
 
+#: Sources up to this number are broadcast to their texts; more are joined, with the texts salted.
+BROADCAST_SOURCES, SALTS = 10_000, 32
+
+
 def marked(texts: DataFrame, source_col: str, sources: DataFrame, also: Column | None = None) -> DataFrame:
-    """``texts`` with the column scanned."""
+    """``texts`` with the column scanned. A source that holds a third of all texts is never gathered in one task."""
     known = sources.select(F.col("source").alias("scan_source"), F.lit(True).alias("from_scan"))
-    rows = texts.join(known, texts[source_col] == F.col("scan_source"), "left")
+    few = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    if few:
+        rows = texts.join(F.broadcast(known), texts[source_col] == F.col("scan_source"), "left")
+    else:
+        salted = known.withColumn("scan_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = texts.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+        rows = rows.join(salted, (rows[source_col] == F.col("scan_source")) & (F.col("salt") == F.col("scan_salt")), "left").drop("salt", "scan_salt")
     is_scan = F.coalesce("from_scan", F.lit(False))
     return rows.withColumn("scanned", is_scan if also is None else is_scan & F.coalesce(also, F.lit(False))).drop("scan_source", "from_scan")
 
