@@ -1,11 +1,12 @@
 """The k most similar vectors for every vector, by vantage-point trees with relaxed pruning.
 
-1. Copies are collapsed: a direction is searched once and stands for all its ids, of which the k + 1
-   smallest are all that any answer can hold. So a direction with a third of all rows costs one search.
-2. Vantage points are fitted on a bounded sample. Every vector belongs to its nearest one, whose node keeps
+1. Vantage points are fitted on a bounded sample. Every vector belongs to its nearest one, whose node keeps
    the radius of its ball; nodes lying together form a shard, and a node too large for one shard is
    divided among several. A shard's tree splits off one ball after another: a vantage-point tree whose
    inner sides are leaves, which suits vectors of many dimensions.
+2. Copies are collapsed, first within each task, then in the shard: a direction is searched once and
+   stands for all its ids, of which the k + 1 smallest are all that any answer can hold. So a direction
+   with a third of all rows is one row; its further ids are joined to its answer afterwards.
 3. A task per shard answers the shard's own vectors. It searches its own tree first, then the trees of
    the other shards in the order of their distance. A ball is pruned if the angle to its vantage point less
    its radius exceeds the angle of the k-th best so far divided by the factor ``relax``: with factor one the
@@ -27,9 +28,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspan import shared
@@ -47,29 +48,21 @@ KEPT = 8
 _CACHED_SHARDS = 24
 
 
-def _units(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBatch]:
-    """(id, g1, g2, unit): the direction's digest in two numbers, and its unit vector as bytes of 32-bit floats."""
+def _directions(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(ids, unit vectors, digests in two numbers each) of a batch's usable rows."""
     import hashlib
 
-    for batch in batches:
-        ids, vectors = batch.column(0), batch.column(1)
-        length = pa.compute.fill_null(pa.compute.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
-        rows = np.flatnonzero((length == dim) & ~np.asarray(ids.is_null()))
-        if not len(rows):
-            continue
-        flat = vectors.take(pa.array(rows)).flatten()
-        values = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)  # nulls become NaN
-        big = np.abs(values).max(1, keepdims=True)
-        with np.errstate(all="ignore"):
-            scaled = values / big
-            unit = scaled / np.sqrt((scaled**2).sum(1, keepdims=True))
-        good = np.isfinite(unit).all(1) & np.isfinite(big[:, 0]) & (big[:, 0] > 0)
-        rows, unit = rows[good], np.ascontiguousarray(unit[good].astype(np.float32) + np.float32(0))
-        raw = [u.tobytes() for u in unit]
-        digests = np.frombuffer(b"".join(hashlib.blake2b(r, digest_size=16).digest() for r in raw), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(rows)), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(raw, pa.binary())], names=["id", "g1", "g2", "unit"]
-        )
+    length = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero((length == dim) & ids.is_valid().to_numpy(zero_copy_only=False))
+    values = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)  # nulls become NaN
+    big = np.abs(values).max(1, keepdims=True) if len(rows) else np.zeros((0, 1))
+    with np.errstate(all="ignore"):
+        scaled = values / big
+        unit = scaled / np.sqrt((scaled**2).sum(1, keepdims=True))
+    good = np.isfinite(unit).all(1) & np.isfinite(big[:, 0]) & (big[:, 0] > 0)
+    rows, unit = rows[good], np.ascontiguousarray(unit[good].astype(np.float32) + np.float32(0))
+    digests = b"".join(hashlib.blake2b(u.tobytes(), digest_size=16).digest() for u in unit)
+    return ids.take(pa.array(rows)), unit, np.frombuffer(digests, np.int64).reshape(-1, 2)
 
 
 def _matrix(units, dim: int) -> np.ndarray:
@@ -107,11 +100,18 @@ class Trees:
     paths: dict[int, list[str]]
 
 
-_shards: OrderedDict[tuple, tuple] = OrderedDict()
+@dataclass
+class Shard:
+    node: np.ndarray
+    vectors: np.ndarray
+    ids: list[list]  # the smallest ids of every direction
+
+
+_shards: OrderedDict[tuple, Shard] = OrderedDict()
 
 
-def _load(paths: list[str], dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(node, g1, g2, vectors) of a shard, sorted by node."""
+def _load(paths: list[str], dim: int) -> Shard:
+    """A shard, sorted by node."""
     key = tuple(paths)
     if key in _shards:
         _shards.move_to_end(key)
@@ -121,11 +121,12 @@ def _load(paths: list[str], dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     parts = []
     for path in paths:
         fs, name = shared.open_file(path)
-        parts.append(pq.read_table(name, filesystem=fs, columns=["node", "g1", "g2", "unit"], partitioning=None))
+        parts.append(pq.read_table(name, filesystem=fs, columns=["node", "unit", "ids"], partitioning=None))
     t = pa.concat_tables(parts)
     node = t.column("node").to_numpy()
     order = np.argsort(node, kind="stable")
-    got = (node[order], t.column("g1").to_numpy()[order], t.column("g2").to_numpy()[order], _matrix(t.column("unit").to_pylist(), dim)[order])
+    ids = t.column("ids").to_pylist()
+    got = Shard(node[order], _matrix(t.column("unit").to_pylist(), dim)[order], [ids[i] for i in order])
     _shards[key] = got
     while len(_shards) > _CACHED_SHARDS:
         _shards.popitem(last=False)
@@ -137,11 +138,11 @@ class _Best:
 
     def __init__(self, n: int) -> None:
         self.sim = np.full((n, KEPT), -2.0)
-        self.g = np.zeros((n, KEPT, 2), np.int64)
+        self.at = np.zeros((n, KEPT, 2), np.int32)  # shard and row there
 
-    def add(self, q: np.ndarray, sim: np.ndarray, g: np.ndarray) -> None:
-        order = np.lexsort((-sim, q))
-        q, sim, g = q[order], sim[order], g[order]
+    def add(self, q: np.ndarray, sim: np.ndarray, shard: int, row: np.ndarray) -> None:
+        order = np.lexsort((row, -sim, q))
+        q, sim, row = q[order], sim[order], row[order]
         first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
         size = np.diff(np.r_[first, len(q)])
         place = np.arange(len(q)) - np.repeat(first, size)
@@ -149,17 +150,19 @@ class _Best:
         rows = q[first]
         at = np.repeat(np.arange(len(rows)), size)[use]
         both = np.full((len(rows), 2 * KEPT), -2.0)
-        ids = np.zeros((len(rows), 2 * KEPT, 2), np.int64)
-        both[:, :KEPT], ids[:, :KEPT] = self.sim[rows], self.g[rows]
-        both[at, KEPT + place[use]], ids[at, KEPT + place[use]] = sim[use], g[use]
+        where = np.zeros((len(rows), 2 * KEPT, 2), np.int32)
+        both[:, :KEPT], where[:, :KEPT] = self.sim[rows], self.at[rows]
+        both[at, KEPT + place[use]] = sim[use]
+        where[at, KEPT + place[use], 0], where[at, KEPT + place[use], 1] = shard, row[use]
         top = np.argsort(-both, 1, kind="stable")[:, :KEPT]
         self.sim[rows] = np.take_along_axis(both, top, 1)
-        self.g[rows] = np.take_along_axis(ids, top[:, :, None], 1)
+        self.at[rows] = np.take_along_axis(where, top[:, :, None], 1)
 
 
-def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
-    """(g1, g2, similarities, neighbours, share of all balls visited) of the shard's vectors."""
-    own_node, g1, g2, x = _load(trees.paths[shard], dim)
+def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tuple[Shard, _Best, float]:
+    """(the shard, the best of its vectors, share of all balls visited)."""
+    own = _load(trees.paths[shard], dim)
+    own_node, x = own.node, own.vectors
     n = len(x)
     best = _Best(n)
     angle = np.arccos(np.clip(x @ trees.points.T, -1, 1))
@@ -179,7 +182,8 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
                 wanted.append((ball, q))
         if not wanted:
             continue
-        node, h1, h2, y = _load(trees.paths[int(other)], dim)
+        found = _load(trees.paths[int(other)], dim)
+        node, y = found.node, found.vectors
         if other == shard:  # each ball's own vectors before all others, so that the limit is near from the start
             wanted = [(b, np.flatnonzero(own_node == trees.node[b])) for b in balls] + [(b, None) for b in balls]
         for ball, q in wanted:
@@ -211,8 +215,25 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
                     i, j = np.nonzero(sims > np.maximum(least, -1.5)[:, None])
                 if len(i):
                     exact = np.einsum("ij,ij->i", x64[some[i]], y[a + j].astype(np.float64))
-                    best.add(some[i], exact, np.stack([h1[a + j], h2[a + j]], 1))
-    return g1, g2, best.sim, best.g, visits / max(1, n * len(trees.node))
+                    best.add(some[i], exact, int(other), a + j)
+    return own, best, visits / max(1, n * len(trees.node))
+
+
+def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> Iterator[tuple[list, list]]:
+    """(ids of a direction, its k + 1 nearest ids with their similarities, its own among them)."""
+    names: dict[tuple[int, int], list] = {}
+    sims = np.round(np.minimum(best.sim, 1.0), 6)
+    good = best.sim > -1.5
+    for shard in np.unique(best.at[:, :, 0][good]):
+        found = _load(trees.paths[int(shard)], dim)
+        for row in np.unique(best.at[:, :, 1][good & (best.at[:, :, 0] == shard)]):
+            names[int(shard), int(row)] = found.ids[row]
+    for q, ids in enumerate(own.ids):
+        near = [(-1.0, i) for i in ids]
+        for j in np.flatnonzero(good[q]):
+            near += [(-float(sims[q, j]), i) for i in names[int(best.at[q, j, 0]), int(best.at[q, j, 1])]]
+        near.sort()
+        yield ids, near[: k + 1]
 
 
 def _plan_shards(counts: dict[int, int], nodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -233,46 +254,68 @@ def _plan_shards(counts: dict[int, int], nodes: int) -> tuple[np.ndarray, np.nda
     return first, parts
 
 
-def build(items: DataFrame, k: int, dim: int) -> tuple[DataFrame, Trees | None]:
-    """(directions with their smallest ids, trees) of ``items``: (id, g1, g2, unit)."""
-    spark = items.sparkSession
-    smallest = Window.partitionBy("g1", "g2").orderBy("id")
-    few = items.distinct().withColumn("n", F.row_number().over(smallest)).filter(F.col("n") <= k + 1)  # limited before the shuffle too
-    directions = few.groupBy("g1", "g2").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("unit").alias("unit"))
-    directions = shared.materialize(directions, "directions")
-    total = directions.count()
-    if not total:
-        return directions, None
-    sample = _matrix([bytes(r["unit"]) for r in directions.orderBy("g1", "g2").select("unit").limit(SAMPLE).collect()], dim)
-    points = fit_vantage_points(sample, int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)))
-    held = spark.sparkContext.broadcast(points)
+def build(df: DataFrame, k: int, dim: int) -> Trees | None:
+    """Shards and trees of all usable vectors of ``df``: (id, vector)."""
+    spark = df.sparkSession
+    kind = df.schema["id"].dataType.simpleString()
+    total = df.count()
+    rows = df.filter((F.size("vector") == dim) & F.col("id").isNotNull()).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(SAMPLE).select("id", "vector").collect()
+    sample = pa.table({"id": [r["id"] for r in rows], "vector": pa.array([r["vector"] for r in rows], pa.list_(pa.float64()))})
+    if not total or not sample.num_rows:
+        return None
+    _, units, _ = _directions(sample.column("id").combine_chunks(), sample.column("vector").combine_chunks(), dim)
+    if not len(units):
+        units = np.eye(1, dim, dtype=np.float32)  # a sample of unusable vectors only; all others meet at one point
+    points = fit_vantage_points(np.unique(units, axis=0), int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)))
+    share = np.bincount((units @ points.T).argmax(1), minlength=len(points)) / len(units)
+    first, parts = _plan_shards({i: int(np.ceil(s * total)) for i, s in enumerate(share)}, len(points))
+    held = spark.sparkContext.broadcast((points, first, parts))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points, first, parts = held.value
+        few: dict[tuple[int, int], list] = {}
         for batch in batches:
-            if not batch.num_rows:
+            ids, unit, g = _directions(batch.column(0), batch.column(1), dim)
+            if not len(unit):
                 continue
-            sims = _matrix(batch.column(2).to_pylist(), dim) @ held.value.T
+            if len(few) > 200_000:
+                few.clear()
+            names, new, keep = ids.to_pylist(), [], []
+            for i, key in enumerate(map(tuple, g.tolist())):
+                seen = few.get(key)
+                new.append(seen is None)
+                seen = few.setdefault(key, [])
+                # of a direction's copies only those can matter that are among its smallest ids so far
+                keep.append(names[i] not in seen and (len(seen) <= k or names[i] < seen[-1]))
+                if keep[-1]:
+                    seen.append(names[i])
+                    seen.sort()
+                    del seen[k + 1 :]
+            at = np.flatnonzero(keep)
+            sims = unit[at] @ points.T
             node = sims.argmax(1)
             angle = np.arccos(np.clip(sims[np.arange(len(node)), node].astype(np.float64), -1, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node.astype(np.int32)), pa.array(angle)], names=["g1", "g2", "unit", "node", "angle"])
-
-    assigned = shared.materialize(directions.select("g1", "g2", "unit").mapInArrow(assign, "g1 long, g2 long, unit binary, node int, angle double"), "assigned")
-    counts = {r["node"]: r["n"] for r in assigned.groupBy("node").agg(F.count("*").alias("n")).collect()}  # MOST_NODES rows at most
-    first, parts = _plan_shards(counts, len(points))
-    where = spark.createDataFrame([(i, int(first[i]), int(parts[i])) for i in range(len(points))], "node int, first int, parts int")
-    # the vantage points are MOST_NODES at most
-    placed = assigned.join(F.broadcast(where), "node").withColumn("shard", (F.col("first") + F.pmod(F.col("g2"), F.col("parts"))).cast("int")).drop("first", "parts")
-    shards = int((first + parts).max())
-    placed = placed.repartitionByRange(shards, "shard")
+            shard = first[node] + np.mod(g[at, 1], parts[node])
+            raw = [unit[i].tobytes() if new[i] else None for i in at]
+            columns = [pa.array(shard.astype(np.int32)), pa.array(node.astype(np.int32)), pa.array(g[at, 0]), pa.array(g[at, 1]), pa.array(angle), pa.array(raw, pa.binary()), ids.take(pa.array(at))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "node", "g1", "g2", "angle", "unit", "id"])
+
+    placed = df.mapInArrow(assign, f"shard int, node int, g1 long, g2 long, angle double, unit binary, id {kind}")
+    # the grouping needs no further exchange: shards hold their directions whole
+    placed = placed.repartition(int((first + parts).max()), "shard").groupBy("shard", "g1", "g2")
+    directions = placed.agg(
+        F.first("node").alias("node"), F.first("angle").alias("angle"), F.first("unit", ignorenulls=True).alias("unit"), F.slice(F.array_sort(F.collect_set("id")), 1, k + 1).alias("ids")
+    )
     path = shared.new_path(spark, "shards")
-    placed.write.partitionBy("shard").parquet(path)
+    directions.write.partitionBy("shard").parquet(path)
     balls = spark.read.parquet(path).groupBy("shard", "node").agg(F.max("angle").alias("radius")).orderBy("shard", "node").collect()  # one row a ball
+    if not balls:
+        return None
     paths = {s: [p for p, _ in shared.list_files(spark, f"{path}/shard={s}")] for s in sorted({r["shard"] for r in balls})}
     number = {s: i for i, s in enumerate(paths)}
-    trees = Trees(
+    return Trees(
         points, np.array([r["node"] for r in balls]), np.array([number[r["shard"]] for r in balls]), np.array([r["radius"] for r in balls]) + 1e-6, dict(enumerate(paths.values()))
     )
-    return directions, trees
 
 
 def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: float = RELAX, dim: int = DIMENSIONS) -> DataFrame:
@@ -280,27 +323,50 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
     raw = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
-    items = shared.materialize(raw.mapInArrow(lambda b: _units(b, dim), f"id {kind}, g1 long, g2 long, unit binary"), "units")
-    directions, trees = build(items, k, dim)
+    names = [F.col("id").alias(id_col), "place", "neighbour", "similarity"]
+    trees = build(raw, k, dim)
     if trees is None:
-        return spark.createDataFrame([], f"{id_col} {kind}, place int, neighbour {kind}, similarity double")
+        return spark.createDataFrame([], f"id {kind}, place int, neighbour {kind}, similarity double").select(*names)
     held = spark.sparkContext.broadcast(trees)
 
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for shard in pdf["shard"]:
-                g1, g2, sim, g, _ = search_shard(int(shard), held.value, k, relax, dim)
-                q, j = np.nonzero(sim > -1.5)
-                yield pd.DataFrame({"g1": g1[q], "g2": g2[q], "n1": g[q, j, 0], "n2": g[q, j, 1], "similarity": np.round(np.minimum(sim[q, j], 1.0), 6)})
-
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                own, best, _ = search_shard(shard, held.value, k, relax, dim)
+                rows: list[tuple] = []
+                for ids, near in answers(own, best, held.value, k, dim):
+                    rows += [(i, [(x, -d) for d, x in near if x != i][:k], len(ids) > k) for i in ids]
+                n = np.array([len(r[1]) for r in rows])
+                flat = [x for r in rows for x in r[1]]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)),
+                    pa.StructArray.from_arrays([pa.array([x for x, _ in flat], ids_type), pa.array([s for _, s in flat], pa.float64())], names=["id", "similarity"]),
+                )
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], ids_type), lists, pa.array([r[2] for r in rows])], names=["id", "near", "many"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    ids_type = to_arrow_type(df.schema[id_col].dataType)
     tasks = spark.createDataFrame([(i,) for i in range(len(trees.paths))], "shard int").repartition(len(trees.paths), "shard")
-    found = tasks.mapInPandas(search, "g1 long, g2 long, n1 long, n2 long, similarity double")
-    names = directions.select(F.col("g1").alias("n1"), F.col("g2").alias("n2"), "ids")
-    found = found.join(names, ["n1", "n2"]).select("g1", "g2", F.transform("ids", lambda x: F.struct((-F.col("similarity")).alias("far"), x.alias("id"))).alias("some"))
-    copies = directions.select("g1", "g2", F.transform("ids", lambda x: F.struct(F.lit(-1.0).alias("far"), x.alias("id"))).alias("some"))
-    # KEPT + 1 lists of k + 1 ids at most for each direction
-    best = found.unionByName(copies).groupBy("g1", "g2").agg(F.flatten(F.collect_list("some")).alias("some"))
-    best = best.select("g1", "g2", F.slice(F.array_sort("some"), 1, k + 1).alias("best"))
-    rows = items.select("id", "g1", "g2").distinct().join(best, ["g1", "g2"])
-    rows = rows.select("id", F.posexplode(F.slice(F.filter("best", lambda x: x["id"] != F.col("id")), 1, k)).alias("at", "x"))
-    return rows.select(F.col("id").alias(id_col), (F.col("at") + 1).alias("place"), F.col("x.id").alias("neighbour"), (-F.col("x.far")).alias("similarity"))
+    found = tasks.mapInArrow(search, f"id {kind}, near array<struct<id: {kind}, similarity: double>>, many boolean")
+    found = shared.materialize(found, "similar")
+    answered = found.select("id", "near")
+    if not found.filter("many").isEmpty():
+        answered = answered.unionByName(_further_copies(raw, found.filter("many"), k, dim, kind))
+    rows = answered.select("id", F.posexplode("near").alias("at", "x"))
+    return rows.select(F.col("id").alias(id_col), (F.col("at") + 1).alias("place"), F.col("x.id").alias("neighbour"), F.col("x.similarity").alias("similarity"))
+
+
+def _further_copies(raw: DataFrame, listed: DataFrame, k: int, dim: int, kind: str) -> DataFrame:
+    """(id, near) of the copies beyond the k + 1 listed of a direction: each is nearest to the k smallest listed ids."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, _, g = _directions(batch.column(0), batch.column(1), dim)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(g[:, 0]), pa.array(g[:, 1])], names=["id", "g1", "g2"])
+
+    copies = raw.mapInArrow(digest, f"id {kind}, g1 long, g2 long").distinct()
+    known = copies.join(listed.select("id").distinct(), "id", "left_semi")
+    nearest = known.groupBy("g1", "g2").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k).alias("ids"))  # k + 1 ids at most
+    rest = copies.join(listed.select("id").distinct(), "id", "left_anti").join(nearest, ["g1", "g2"])
+    return rest.select("id", F.transform("ids", lambda x: F.struct(x.alias("id"), F.lit(1.0).alias("similarity"))).alias("near"))
