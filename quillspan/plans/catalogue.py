@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillspan.plans import orphan_queries
+from quillspan.plans import corpus_queries, ordered_queries, orphan_queries
 
-_MODULES = (orphan_queries,)
+_MODULES = (corpus_queries, ordered_queries, orphan_queries)
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
-FLAGSHIP = "p5_counts"
+FLAGSHIP = "bm25_topk"
