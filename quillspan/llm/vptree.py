@@ -259,11 +259,11 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     spark = df.sparkSession
     kind = df.schema["id"].dataType.simpleString()
     total = df.count()
-    rows = df.filter((F.size("vector") == dim) & F.col("id").isNotNull()).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(SAMPLE).select("id", "vector").collect()
-    sample = pa.table({"id": [r["id"] for r in rows], "vector": pa.array([r["vector"] for r in rows], pa.list_(pa.float64()))})
+    usable = df.filter((F.size("vector") == dim) & F.col("id").isNotNull())
+    sample = usable.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(SAMPLE).select("id", "vector").toArrow()
     if not total or not sample.num_rows:
         return None
-    _, units, _ = _directions(sample.column("id").combine_chunks(), sample.column("vector").combine_chunks(), dim)
+    units = np.concatenate([_directions(b.column(0), b.column(1), dim)[1] for b in sample.to_batches()])
     if not len(units):
         units = np.eye(1, dim, dtype=np.float32)  # a sample of unusable vectors only; all others meet at one point
     points = fit_vantage_points(np.unique(units, axis=0), int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)))
