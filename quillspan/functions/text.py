@@ -69,7 +69,8 @@ def garble_ratio(text: Column) -> Column:
 def roman_value(c: Column) -> Column:
     """Value of a roman numeral by subtraction, letters outside IVXLCDM counting nothing; null if it has none."""
     letters = F.split(F.upper(c), "")
-    value = lambda x: F.expr("map('I',1,'V',5,'X',10,'L',50,'C',100,'D',500,'M',1000)").getItem(x)
+    table = F.create_map(*[F.lit(x) for pair in {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}.items() for x in pair])
+    value = lambda x: F.element_at(table, x)
     values = F.filter(F.transform(letters, lambda x: F.coalesce(value(x), F.lit(0))), lambda v: v > 0)
     total = F.aggregate(
         F.reverse(values),
