@@ -15,9 +15,10 @@ def spine(verse: DataFrame) -> DataFrame:
 
 def resolves(df: DataFrame, spine_df: DataFrame, book: str, chapter: str, verse: Column, out: str, allow_zero: bool = False) -> DataFrame:
     """Whether (book, chapter, verse) lies on the spine; verse 0 stands for a whole chapter if allowed."""
-    s = spine_df.select(F.col("book").alias("_b"), F.col("chapter").alias("_c"), F.col("n_verses").alias("_n"))
-    hit = F.col("_n").isNotNull() & (verse >= (0 if allow_zero else 1)) & (verse <= F.col("_n"))
-    return df.join(s, (df[book] == F.col("_b")) & (df[chapter] == F.col("_c")), "left").withColumn(out, F.coalesce(hit, F.lit(False))).drop("_b", "_c", "_n")
+    s = spine_df.select(F.col("book").alias("spine_book"), F.col("chapter").alias("spine_chapter"), F.col("n_verses").alias("spine_length"))
+    hit = F.col("spine_length").isNotNull() & (verse >= (0 if allow_zero else 1)) & (verse <= F.col("spine_length"))
+    joined = df.join(s, (df[book] == F.col("spine_book")) & (df[chapter] == F.col("spine_chapter")), "left")
+    return joined.withColumn(out, F.coalesce(hit, F.lit(False))).drop("spine_book", "spine_chapter", "spine_length")
 
 
 def range_hits(refs: DataFrame, ranges: DataFrame, keys: list[str], point: str, start: str, end: str, how: str = "left_semi") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspan import shared
 from quillspan.functions import text as tx
 from quillspan.operators import bm25, chunking, dense, incremental, membership, ordered, packaging, validation
 from quillspan.sources.tables import table
@@ -163,7 +164,7 @@ def garble_by_commentator(spark: SparkSession, d: str) -> DataFrame:
 
 
 def percentile_by_index(spark: SparkSession, d: str) -> DataFrame:
-    rows = _ratios(spark, d)
+    rows = shared.materialize(_ratios(spark, d), "ratios")  # read three times: by the mean, the range bounds and the numbering
     at = ordered.at_shares(rows, "ratio", {"median": 0.5, "p90": 0.9, "p99": 0.99, "most": 1.0})
     both = rows.agg(F.round(F.avg("ratio"), 6).alias("mean")).join(F.broadcast(at))
     return both.select("mean", "median", "p90", "p99", "most", validation.verdict(c("mean"), c("p90")).alias("verdict"))
