@@ -52,10 +52,10 @@ _HYPHENS = "-\xad‐‑¬"
 _FOLDED = str.maketrans("ETKRJLIP1!|058963", "FFNBIIIFIIIOSSSBS")
 
 _PAGE = re.compile(
-    r"[\[({<—–\-~_.*• ]*(?:p(?:p|g|age)?\.? ?)?(?:(?=[^\s\])}]*[0-9lIOo])[0-9lIOoSsBZz|!]{1,5}|[ivxlcdm]{1,9}|(?=[^ ]*\d)[0-9lIO^■•*.,;:'~]{2,6})[\])}>—–\-~_.,*• ]*(?: ?[A-Z]\d?)?",
-    re.I,
+    r"[\[({<—–\-~_.*• ]*(?:(?:[Pp](?:p|g|age)?|fol)\.? ?)?"
+    r"(?:(?=\S*\d)[0-9lIOoSsBZz|!^■•*.,;:'~]{1,6}|[lIO|]{1,3}|c?(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})|[LX]{0,4}[IVX]{1,5})"
+    r"[\])}>—–\-~_.,*• ]*(?: [A-Z]\d?)?"
 )
-_PAGE_WORDS = re.compile(r"[a-z]{3,}|[A-Z]{4,}")
 _ROMAN = re.compile(r"[IVXLCDMl1]+", re.I)
 _NUMERAL = re.compile(r"(?=.)m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
 _NUMBERISH = re.compile(r"[\dlIOoSB^|!.,:;'■•*~-]*\d[\dlIOoSB^|!.,:;'■•*~-]*|[lIO]{1,4}")
@@ -85,8 +85,9 @@ def edge_key(line: str) -> str:
 
 
 def is_page_number(line: str) -> bool:
+    """A number or numeral alone in its line, perhaps misread, in brackets, or with the letter of a sheet."""
     s = line.strip()
-    return 0 < len(s) <= 14 and _PAGE.fullmatch(s) is not None and (_ROMAN.fullmatch(s) is not None or _PAGE_WORDS.search(s) is None or s.lower().startswith("page"))
+    return 0 < len(s) <= 14 and re.search(r"[0-9a-zA-Z]", s) is not None and _PAGE.fullmatch(s) is not None
 
 
 def _near(a: str, b: str, most: int) -> bool:
@@ -342,7 +343,7 @@ def learn(chunks: DataFrame) -> Corpus:
     names = frozenset(w for w, (n, every, lower) in in_clean.items() if not lower and n < 0.5 * every)
     corpus = Corpus(words)
     more = {w: every for w, (_, every, _) in in_scans.items() if w not in words and w not in names}
-    words |= {w: n for w, n in more.items() if (p := corpus.printed(w)) is None or words[p] < 20 * n}
+    words |= {w: n for w, n in more.items() if (p := corpus.printed(w)) is None or words[p] < 3 * n}
 
     def edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:

@@ -17,8 +17,8 @@ The shards lie in the shared folder and are read by the tasks that need them, so
 once, whatever the number of trees a query visits. A worker keeps a bounded number of them.
 
 Defined results: vectors that are null, of another length, all zero, or hold a null, NaN or infinity take no
-part; length does not matter; equal similarities (to six decimals) order by id; exact repeats of
-a row count once; fewer than k others give fewer rows; an empty table gives none.
+part; length does not matter; equal similarities (to nine decimals) order by id, of more than KEPT directions that
+tie at the k-th place any may be taken; exact repeats of a row count once; fewer than k others give fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -207,10 +207,8 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
                     sims[np.flatnonzero(inside), some[inside] - a] = -2
                 least = best.sim[some, KEPT - 1].astype(np.float32) - np.float32(1e-6)
                 if not again and other == shard and b - a > KEPT:
-                    top = np.argpartition(-sims, KEPT - 1, 1)[:, :KEPT]
-                    i, j = np.repeat(np.arange(len(some)), KEPT), top.ravel()
-                    ok = sims[i, j] > least[i]
-                    i, j = i[ok], j[ok]
+                    kth = np.partition(sims, b - a - KEPT, 1)[:, b - a - KEPT]
+                    i, j = np.nonzero(sims >= np.maximum(np.maximum(least, kth - np.float32(1e-6)), -1.5)[:, None])
                 else:
                     i, j = np.nonzero(sims > np.maximum(least, -1.5)[:, None])
                 if len(i):
@@ -222,7 +220,7 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
 def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> Iterator[tuple[list, list]]:
     """(ids of a direction, its k + 1 nearest ids with their similarities, its own among them)."""
     names: dict[tuple[int, int], list] = {}
-    sims = np.round(np.minimum(best.sim, 1.0), 6)
+    sims = np.round(np.minimum(best.sim, 1.0), 9)
     good = best.sim > -1.5
     for shard in np.unique(best.at[:, :, 0][good]):
         found = _load(trees.paths[int(shard)], dim)
@@ -308,7 +306,8 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     )
     path = shared.new_path(spark, "shards")
     directions.write.partitionBy("shard").parquet(path)
-    balls = spark.read.parquet(path).groupBy("shard", "node").agg(F.max("angle").alias("radius")).orderBy("shard", "node").collect()  # one row a ball
+    layout = "node int, g1 long, g2 long, angle double, shard int"
+    balls = spark.read.schema(layout).parquet(path).groupBy("shard", "node").agg(F.max("angle").alias("radius")).orderBy("shard", "node").collect()  # one row a ball
     if not balls:
         return None
     paths = {s: [p for p, _ in shared.list_files(spark, f"{path}/shard={s}")] for s in sorted({r["shard"] for r in balls})}
