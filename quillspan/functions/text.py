@@ -110,3 +110,30 @@ def usage_gloss(c: Column) -> Column:
 def surface(c: Column) -> Column:
     """A word without the note in brackets after it."""
     return F.trim(F.regexp_replace(c, r"\s*\([^)]*\)\s*$", ""))
+
+
+def quoted(c: Column) -> Column:
+    """Percent-encoding with %20 for a space."""
+    return F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+
+
+def preview(c: Column, most: int = 70) -> Column:
+    return F.substring(c, 1, most)
+
+
+def prose_key(c: Column) -> Column:
+    """Letters and single spaces only, in lower case, cited brackets left out: the same prose in two editions has the same key."""
+    bare = F.regexp_replace(c, r"\([^()]*[0-9]+\s*[:.]\s*[0-9]+[^()]*\)", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(bare), r"[^a-z]+", " "), " +", " "))
+
+
+def first_words(key: Column, n: int = 14) -> Column:
+    return F.array_join(F.slice(F.split(key, " "), 1, n), " ")
+
+
+@F.pandas_udf(T.BinaryType())
+def vector_bytes(vectors: pd.Series) -> pd.Series:
+    """Vectors as little-endian 32-bit floats."""
+    import numpy as np
+
+    return vectors.map(lambda v: None if v is None else np.asarray(v, "<f4").tobytes())

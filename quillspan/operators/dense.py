@@ -48,3 +48,8 @@ def compared(a: DataFrame, b: DataFrame, id_col: str, vector_col: str) -> DataFr
     diff = F.array_max(F.zip_with("_a", "_b", lambda p, q: F.abs(p.cast("double") - q.cast("double"))))
     cos = dot(F.col("_a"), F.col("_b")) / F.sqrt(dot(F.col("_a"), F.col("_a")) * dot(F.col("_b"), F.col("_b")))
     return both.agg(F.count("*").alias("n"), F.round(F.max(diff), 6).alias("max_abs_diff"), F.round(F.min(cos), 6).alias("min_cosine"))
+
+
+def smoke(hits: DataFrame, query: str, predicate: Column) -> DataFrame:
+    """(query, passed, n_hits): a query passes if any of its hits satisfies the predicate."""
+    return hits.agg(F.coalesce(F.max(predicate), F.lit(False)).alias("passed"), F.count("*").alias("n_hits")).select(F.lit(query).alias("query"), "passed", "n_hits")

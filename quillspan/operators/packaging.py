@@ -63,3 +63,13 @@ def manifest(file_rows: DataFrame, acknowledged: DataFrame, ship_ready: bool = F
         "acknowledgements": sorted(as_dicts(acknowledged), key=lambda r: (r["resource"] or "", r["id"] or "")),
     }
     return json.dumps(body, indent=2, ensure_ascii=False)
+
+
+def section_rows(section: DataFrame) -> DataFrame:
+    """Sections as stored: 0-based order, empty titles and proofs null, proofs as JSON with their fields in alphabetical order."""
+    from pyspark.sql import Window
+
+    rows = section.select("document", "key", "ord", "title", "text", "proof_texts").distinct()
+    proofs = F.transform("proof_texts", lambda p: F.struct(p["book"].alias("book"), p["chapter"].alias("chapter"), p["verse_end"].alias("verse_end"), p["verse_start"].alias("verse_start")))
+    position = F.row_number().over(Window.partitionBy("document").orderBy("ord", "key", "text")) - 1
+    return rows.select("document", "key", position.alias("position"), F.nullif("title", F.lit("")).alias("title"), F.when(F.size("proof_texts") > 0, F.to_json(proofs)).alias("proofs"))

@@ -132,3 +132,22 @@ def examples(rows: DataFrame, key: str, order: list[Column], cap: int = 25) -> D
     by = Window.partitionBy(key)
     numbered = rows.withColumns({"_n": F.row_number().over(by.orderBy(*order)), "more": F.greatest(F.count("*").over(by) - cap, F.lit(0))})
     return numbered.filter(F.col("_n") <= cap).drop("_n")
+
+
+def tagged_statistics(words: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """One row over word-tagged text: words, verses, books, words with a key, and distinct keys the dictionary lacks, whole and without their homograph letter."""
+    stats = words.agg(
+        F.count("*").alias("n_words"), F.countDistinct("book", "chapter", "verse").alias("n_verses"), F.countDistinct("book").alias("n_books"), F.count_if(F.size("strongs") > 0).alias("n_keyed")
+    )
+    if dictionary is None:
+        return stats.withColumn("n_orphans", F.lit(None).cast("long"))
+    keys = words.select(F.explode("strongs").alias("key"))
+    lost = membership.orphans_with_fallback(keys, "key", tx.base_key(F.col("key")), dictionary, "strongs").agg(F.count("*").alias("n_orphans"))
+    return stats.join(F.broadcast(lost))
+
+
+def prose_crosscheck(a: DataFrame, b: DataFrame, keys: list[str], text: str, words: int = 14) -> DataFrame:
+    """(keys, agrees): whether the first words of ``a``'s text occur in ``b``'s under the same keys."""
+    left = a.select(*keys, tx.first_words(tx.prose_key(F.col(text)), words).alias("first_words"))
+    right = b.select(*keys, tx.prose_key(F.col(text)).alias("other_prose"))
+    return left.join(right, keys).groupBy(*keys).agg(F.max(F.contains("other_prose", "first_words")).alias("agrees"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan import shared
+from quillspan.functions import refs
 from quillspan.functions import text as tx
 from quillspan.operators import bm25, chunking, dense, incremental, membership, ordered, packaging, validation
 from quillspan.sources.tables import table
@@ -206,10 +207,44 @@ def example_lists(spark: SparkSession, d: str) -> DataFrame:
     return validation.examples(rows, "translation", [c("book"), c("chapter"), c("verse_start")], 25)
 
 
+def versification(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "verse").select("translation", "book", "chapter", "verse_start").distinct()
+    first = rows.agg(F.min("translation")).first()[0]
+    point = refs.resolved(c("translation"), c("book"), c("chapter"), c("verse_start"), [first], "HYM")
+    return rows.withColumn("p", point).filter(c("p.note").isNotNull()).select("translation", "p.book", "p.chapter", "p.verse", "p.note")
+
+
+def prose_crosscheck(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "section").select(c("document").alias("source"), "key", "text")
+    b = table(spark, d, "chunk").filter(c("resource_type") == "confession").select("source", "key", "text")
+    return validation.prose_crosscheck(a, b, ["source", "key"], "text").groupBy("source", "agrees").agg(F.count("*").alias("n"))
+
+
+def quoted_anchors(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").filter(c("anchor").isNotNull())
+    return rows.select("doc_id", tx.quoted(c("anchor")).alias("url"), tx.preview(F.coalesce("text", F.lit(""))).alias("preview"))
+
+
+def section_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = packaging.section_rows(table(spark, d, "section"))
+    return rows.select("document", "key", c("position").cast("long").alias("position"), "title", "proofs")
+
+
+def smoke_query(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    label = rows.filter("vec_id = 0").first()["label"]
+    hits = dense_topk(spark, d).join(rows.select("vec_id", "label"), "vec_id")
+    return dense.smoke(hits, "vector 0", c("label") == label)
+
+
+def vector_blobs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select("vec_id", F.octet_length(tx.vector_bytes("embedding")).cast("long").alias("n_bytes"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        chunk_ids, skip_reasons, scripture_chunks, commentary_chunks, confession_chunks, all_chunks, type_source_counts, doc_token_lengths, bm25_postings, bm25_terms, bm25_stats,
+        versification, prose_crosscheck, quoted_anchors, section_rows, smoke_query, vector_blobs, chunk_ids, skip_reasons, scripture_chunks, commentary_chunks, confession_chunks, all_chunks, type_source_counts, doc_token_lengths, bm25_postings, bm25_terms, bm25_stats,
         scoped_bm25_stats, bm25_topk, dense_topk, hybrid_topk, vector_lengths, determinism, incremental_partition, edge_stats, inverted_ranges, top_votes, translation_stats,
         chapter_max_deviation, commentary_stats, confession_stats, three_way_classification, garble_ratio, garble_by_commentator, percentile_by_index, component_completeness, ack_rollup,
         pack_split, flag_totals, example_lists,
@@ -257,7 +292,19 @@ _RATIO = "r AS (SELECT doc_id, round(" + _GARBLE + ", 6) AS ratio FROM (SELECT d
 _DEVIATIONS = """spine AS (SELECT book, chapter, max(verse_end) AS n FROM verse GROUP BY ALL), t AS (SELECT DISTINCT translation FROM verse),
   g AS (SELECT translation, book, chapter, max(verse_end) AS got FROM verse GROUP BY ALL),
   dev AS (SELECT t.translation, s.book, s.chapter, s.n AS expected, coalesce(g.got, 0) AS got FROM spine s CROSS JOIN t LEFT JOIN g ON g.translation = t.translation AND g.book = s.book AND g.chapter = s.chapter WHERE coalesce(g.got, 0) <> s.n)"""
+_KEY = "trim(regexp_replace(regexp_replace(lower(regexp_replace({}, '\\([^()]*[0-9]+\\s*[:.]\\s*[0-9]+[^()]*\\)', ' ', 'g')), '[^a-z]+', ' ', 'g'), ' +', ' ', 'g'))"
 SQL = {
+    "versification": f"""SELECT DISTINCT translation, book, chapter, verse_start AS verse, 'the title is numbered as verse 1' AS note FROM verse
+      WHERE translation = (SELECT min(translation) FROM verse) AND book = 'HYM' AND verse_start = 1 AND chapter BETWEEN 1 AND 150 AND chapter NOT IN ({', '.join(map(str, sorted(refs.UNTITLED)))})""",
+    "prose_crosscheck": f"""WITH a AS (SELECT document AS source, key, array_to_string(list_slice(string_split({_KEY.format("text")}, ' '), 1, 14), ' ') AS f FROM section), b AS (SELECT source, key, {_KEY.format("text")} AS o FROM chunk WHERE resource_type = 'confession'),
+      j AS (SELECT a.source, a.key, bool_or(contains(o, f)) AS agrees FROM a JOIN b ON a.source = b.source AND a.key = b.key GROUP BY ALL) SELECT source, agrees, count(*) AS n FROM j GROUP BY ALL""",
+    "quoted_anchors": "SELECT doc_id, url_encode(anchor) AS url, substr(coalesce(text, ''), 1, 70) AS preview FROM documents WHERE anchor IS NOT NULL",
+    "section_rows": """WITH r AS (SELECT DISTINCT document, key, ord, title, text, proof_texts FROM section)
+      SELECT document, key, row_number() OVER (PARTITION BY document ORDER BY ord, key, text) - 1 AS position, nullif(title, '') AS title,
+        CASE WHEN len(proof_texts) > 0 THEN '[' || array_to_string(list_transform(proof_texts, lambda p: '{"book":"' || p.book || '","chapter":' || p.chapter || coalesce(',"verse_end":' || p.verse_end, '') || ',"verse_start":' || p.verse_start || '}'), ',') || ']' END AS proofs FROM r""",
+    "smoke_query": """WITH t AS (SELECT vec_id, label, round(list_inner_product(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS s FROM embeddings ORDER BY s DESC, vec_id LIMIT 5)
+      SELECT 'vector 0' AS query, bool_or(label = (SELECT label FROM embeddings WHERE vec_id = 0)) AS passed, count(*) AS n_hits FROM t""",
+    "vector_blobs": "SELECT vec_id, (len(embedding) * 4)::BIGINT AS n_bytes FROM embeddings",
     "chunk_ids": f"""WITH r AS (SELECT doc_id, coalesce(source, '') AS source, {_strip('text')} AS whole FROM documents WHERE text IS NOT NULL), x AS (SELECT *, {_MADE} FROM r)
       SELECT doc_id, {_id("'document'", 'source', 'doc_id', 'text_checksum')} AS id, text_checksum, truncated FROM x""",
     "skip_reasons": f"""SELECT doc_id, CASE WHEN text IS NULL THEN 'null text' WHEN text = '' THEN 'empty text' WHEN {_strip('text')} = '' THEN 'blank text' WHEN length(text) > 6000 THEN 'over the limit' ELSE 'kept' END AS reason FROM documents""",

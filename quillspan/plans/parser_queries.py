@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspan.functions import citations
 from quillspan.functions import text as tx
+from quillspan.operators import validation
 from quillspan.sources import commentaries, confessions, edges, files, lexicons, scans, usfm
 
 c = F.col
@@ -144,7 +145,17 @@ def roman_numerals(spark: SparkSession, _: str) -> DataFrame:
     return rows.select("seen", tx.roman_value(c("seen")).alias("value"))
 
 
-QUERIES = {f.__name__: f for f in (crossref_parse, scripref_parse, usfm_parse, thml_parse, lexicon_parse, lex_keys, tagged_parse, confession_parse, article_parse, ocr_segment, roman_numerals)}
+def tagged_stats(spark: SparkSession, _: str) -> DataFrame:
+    words = lexicons.tagged_xml(_of(spark, o=OSHB))[0].unionByName(lexicons.tagged_tsv(_of(spark, t=TAGNT))[0])
+    return validation.tagged_statistics(words, spark.createDataFrame([("H7225",), ("G1722",)], "strongs string"))
+
+
+def omission_notes(spark: SparkSession, _: str) -> DataFrame:
+    rows = usfm.omissions(_of(spark, a="\\id MAT\n\\c 18\n\\v 10 a \\f + \\fr 18:10 \\ft BYZ include \\fqa \\fv 11\\fv*For the Son came\\ft ; see \\ref Luke 19:10|LUK 19:10\\ref*.\\f*\n"))
+    return rows.select("book", "chapter", "verse", "note")
+
+
+QUERIES = {f.__name__: f for f in (tagged_stats, omission_notes, crossref_parse, scripref_parse, usfm_parse, thml_parse, lexicon_parse, lex_keys, tagged_parse, confession_parse, article_parse, ocr_segment, roman_numerals)}
 
 
 def _values(columns: str, rows: list[tuple]) -> str:
@@ -155,6 +166,8 @@ def _values(columns: str, rows: list[tuple]) -> str:
 
 
 SQL = {
+    "tagged_stats": _values("n_words BIGINT, n_verses BIGINT, n_books BIGINT, n_keyed BIGINT, n_orphans BIGINT", [(4, 2, 2, 4, 2)]),
+    "omission_notes": _values("book VARCHAR, chapter INTEGER, verse INTEGER, note VARCHAR", [("MAT", 18, 11, "For the Son came")]),
     "crossref_parse": _values("item VARCHAR, detail VARCHAR, n BIGINT, place BIGINT", [
         ("GEN.1.1", "EPH.6.24", 2, 1), ("GEN.1.1", "PSA.2.3", -1, 2), ("GEN.1.2", "JHN.1.1", 0, 1),
         ("reject", "non-integer votes", None, 5), ("reject", "too few columns", None, 6), ("reject", "unparseable source", None, 7), ("reject", "unparseable target", None, 8),
