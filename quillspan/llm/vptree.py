@@ -258,10 +258,13 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     kind = df.schema["id"].dataType.simpleString()
     total = df.count()
     usable = df.filter((F.size("vector") == dim) & F.col("id").isNotNull())
-    sample = usable.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(SAMPLE).select("id", "vector").toArrow()
-    if not total or not sample.num_rows:
+    # by the hash of the id: twice the sample at the most likely, of which the first are taken
+    part = min(1.0, 2 * SAMPLE / max(total, 1))
+    usable = usable.withColumn("h", F.xxhash64("id")).filter(F.pmod("h", F.lit(1 << 20)) < int(np.ceil(part * (1 << 20))))
+    sample = usable.orderBy("h", "id").limit(SAMPLE).select("id", "vector").toArrow()
+    if not total:
         return None
-    units = np.concatenate([_directions(b.column(0), b.column(1), dim)[1] for b in sample.to_batches()])
+    units = np.concatenate([np.zeros((0, dim), np.float32), *(_directions(b.column(0), b.column(1), dim)[1] for b in sample.to_batches())])
     if not len(units):
         units = np.eye(1, dim, dtype=np.float32)  # a sample of unusable vectors only; all others meet at one point
     points = fit_vantage_points(np.unique(units, axis=0), int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)))

@@ -12,6 +12,14 @@ from quillspan.operators import membership, ordered
 from quillspan.sources import markup
 from quillspan.sources.files import lines
 
+# The shapes that the sources' layouts give to heads, markers and citations.
+_CHAPTER_LINE, _PARAGRAPH_LINE, _CITED_LINE = r"^##\s*CHAPTER\s+(\d+):", r"^\s*(\d+)\.\s+.+$", r"^\s*\((.+)\)\s*$"
+_REVISED_CHAPTER, _CHAPTER_NUMBER, _SECTION_NUMBER = r"Chapter\s+\d+\s*\((\d+)\)", r"Chapter\s+(\d+)", r"(?s)^\s*(\d+)\.\s*(.*)$"
+_INSERTION = r"\[(?:PCUS|UPCUSA|PCA|OPC|ARP)\b[^\]]*\]"
+_ARTICLE_HEAD = r"^(?:Article\s+)?([IVXLC]+)\.\s*(.*)$"
+_DAY = r"^(\d{1,3})\.?\s*Lord's [Dd]ay\b"
+_NUMBERED = r"(?s)^(ARTICLE|PARAGRAPH)\s+(\d+)\s*\.?\s*(.*)$"
+
 COLUMNS = ("document", "key", "chapter", "section", "question", "article", "lords_day", "title", "text", "proof_texts", "amendment_1788_text")
 _KINDS = {"chapter": "int", "section": "int", "question": "int", "article": "int", "lords_day": "int", "proof_texts": citations.REF.simpleString().join(("array<", ">"))}
 
@@ -82,23 +90,22 @@ def amended_sections(files: DataFrame, wanted: DataFrame) -> tuple[DataFrame, Da
     events = markup.events(files, ("div2", "p"))
     title = F.when(F.col("tag") == "div2", F.element_at("attrs", "title"))
     rows = ordered.carried_forward(events, ["path"], title, [F.col("pos")], "chapter_title").filter("tag = 'p'")
-    number = F.coalesce(F.regexp_extract("chapter_title", r"Chapter\s+\d+\s*\((\d+)\)", 1).try_cast("int"), F.regexp_extract("chapter_title", r"Chapter\s+(\d+)", 1).try_cast("int"))
-    rows = rows.select("pos", number.alias("chapter"), F.regexp_extract("text", r"(?s)^\s*(\d+)\.\s*(.*)$", 1).try_cast("int").alias("section"), F.trim(F.regexp_extract("text", r"(?s)^\s*(\d+)\.\s*(.*)$", 2)).alias("text"))
+    number = F.coalesce(F.regexp_extract("chapter_title", _REVISED_CHAPTER, 1).try_cast("int"), F.regexp_extract("chapter_title", _CHAPTER_NUMBER, 1).try_cast("int"))
+    rows = rows.select("pos", number.alias("chapter"), F.regexp_extract("text", _SECTION_NUMBER, 1).try_cast("int").alias("section"), F.trim(F.regexp_extract("text", _SECTION_NUMBER, 2)).alias("text"))
     rows = ordered.first_seen(rows.filter("chapter is not null and section is not null"), ["chapter", "section"], [F.col("pos")])
-    bracket = r"\[(?:PCUS|UPCUSA|PCA|OPC|ARP)\b[^\]]*\]"
     hit = wanted.select("chapter", "section").join(rows, ["chapter", "section"], "left")
     where = F.concat(F.col("chapter").cast("string"), F.lit("."), F.col("section").cast("string"))
     flags = _flags(hit.filter(F.col("text").isNull()), "amendments", F.concat(F.lit("not found: "), where))
-    flags = flags.unionByName(_flags(hit.filter(F.col("text").rlike(bracket)), "amendments", F.concat(F.lit("later insertion removed: "), where)))
-    return hit.filter(F.col("text").isNotNull()).select("chapter", "section", tx.squeeze(F.regexp_replace("text", bracket, " ")).alias("text")), flags
+    flags = flags.unionByName(_flags(hit.filter(F.col("text").rlike(_INSERTION)), "amendments", F.concat(F.lit("later insertion removed: "), where)))
+    return hit.filter(F.col("text").isNotNull()).select("chapter", "section", tx.squeeze(F.regexp_replace("text", _INSERTION, " ")).alias("text")), flags
 
 
 def proof_lines(files: DataFrame) -> DataFrame:
     """(chapter, section, block) of a text with lines '## CHAPTER n: title', 'n. paragraph' and '(citations)'; a chapter without numbers has one paragraph."""
     rows = lines(files)
-    chapter = F.regexp_extract("line", r"^##\s*CHAPTER\s+(\d+):", 1).try_cast("int")
-    refs = F.regexp_extract("line", r"^\s*\((.+)\)\s*$", 1)
-    para = F.when(refs == "", F.regexp_extract("line", r"^\s*(\d+)\.\s+.+$", 1).try_cast("int"))
+    chapter = F.regexp_extract("line", _CHAPTER_LINE, 1).try_cast("int")
+    refs = F.regexp_extract("line", _CITED_LINE, 1)
+    para = F.when(refs == "", F.regexp_extract("line", _PARAGRAPH_LINE, 1).try_cast("int"))
     rows = ordered.carried_forward(rows.withColumns({"_c": chapter, "block": refs, "_para": para}), ["path"], "_c", [F.col("lineno")], "chapter").filter("chapter is not null")
     rows = ordered.carried_forward(rows, ["path", "chapter"], "_para", [F.col("lineno")], "section").filter("block <> ''")
     last = rows.withColumn("section", F.coalesce("section", F.lit(1)))
@@ -126,8 +133,7 @@ def articles_html(files: DataFrame, document: str, expected: int) -> tuple[DataF
     """Paragraphs headed by roman numerals. A numeral is a head only if it follows the last head's; that recurrence is run once per document."""
     page = files.withColumn("text", F.coalesce(F.get_json_object("text", "$.parse.text"), "text"))
     rows = markup.html_paragraphs(page)
-    head = r"^(?:Article\s+)?([IVXLC]+)\.\s*(.*)$"
-    rows = rows.withColumns({"number": tx.roman_value(F.regexp_extract("text", head, 1)), "rest": F.regexp_extract("text", head, 2)})
+    rows = rows.withColumns({"number": tx.roman_value(F.regexp_extract("text", _ARTICLE_HEAD, 1)), "rest": F.regexp_extract("text", _ARTICLE_HEAD, 2)})
 
     def accept(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
@@ -155,7 +161,7 @@ def articles_html(files: DataFrame, document: str, expected: int) -> tuple[DataF
 def questions_by_day(files: DataFrame, document: str, days: int) -> tuple[DataFrame, DataFrame]:
     """Questions under numbered days. A day's number that breaks the sequence is taken as the next one, and flagged; proofs are counted once by book, chapter and verse."""
     rows = markup.events(files, ("p", "scripRef")).filter("tag <> '!error'")
-    day = F.when(F.col("tag") == "p", F.regexp_extract("text", r"^(\d{1,3})\.?\s*Lord's [Dd]ay\b", 1).try_cast("int"))
+    day = F.when(F.col("tag") == "p", F.regexp_extract("text", _DAY, 1).try_cast("int"))
     marks = ordered.repaired_sequence(rows.withColumn("marker", day).filter("marker is not null").select("path", "pos", "marker"), ["path"], "marker", [F.col("pos")], "lords_day")
     flags = _flags(marks.filter("repaired"), document, F.concat(F.lit("day "), F.col("marker").cast("string"), F.lit(" where "), F.col("lords_day").cast("string"), F.lit(" is due")))
     rows = rows.join(marks.select("path", "pos", F.col("lords_day").alias("_day")), ["path", "pos"], "left")
@@ -193,9 +199,8 @@ def heads_of_doctrine(files: DataFrame, document: str, slugs: dict[str, str], ex
     closing = rows.filter((F.col("tag") == "div1") & F.lower("head_title").startswith("conclusion")).withColumn("body", F.trim(F.regexp_replace("text", r"^Conclusion\s*", ""))).filter("body <> ''")
     rejected = F.lower("part_title").contains("rejection")
     rows = rows.filter("tag = 'p'").withColumns({"slug": slug, "letter": F.when(rejected, "r").otherwise("a"), "mark": F.when(rejected, F.lit("PARAGRAPH")).otherwise(F.lit("ARTICLE"))})
-    shape = r"(?s)^(ARTICLE|PARAGRAPH)\s+(\d+)\s*\.?\s*(.*)$"
-    rows = rows.filter(F.col("slug").isNotNull() & (F.regexp_extract("text", shape, 1) == F.col("mark")))
-    rows = rows.withColumns({"number": F.regexp_extract("text", shape, 2).cast("int"), "body": F.trim(F.regexp_extract("text", shape, 3))})
+    rows = rows.filter(F.col("slug").isNotNull() & (F.regexp_extract("text", _NUMBERED, 1) == F.col("mark")))
+    rows = rows.withColumns({"number": F.regexp_extract("text", _NUMBERED, 2).cast("int"), "body": F.trim(F.regexp_extract("text", _NUMBERED, 3))})
     ranked = ordered.running_rank(rows, ["slug", "letter", "number"], [F.col("path"), F.col("pos")], "n")
     key = F.concat(F.lit("h"), F.col("slug"), F.lit("."), F.col("letter"), F.col("number").cast("string"))
     out = _sections(ranked.filter("n = 1"), document, key=key, title=F.regexp_replace("head_title", r"\.$", ""), text=F.col("body"))

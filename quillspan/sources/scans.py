@@ -19,6 +19,12 @@ _BACK = r"(?is)(?:About Google Book Search|Google'?s mission is to organize).*\z
 _MARKS = r"(?i)VjOOQ\w*|Digitized by(?: Google)?|Original from\b[^\n]*|Generated (?:on|for)\b[^\n]*"
 #: Components and the heads that open them.
 COMPONENTS = {"exposition": r"E\s*X\s*P\s*O\s*S\s*I\s*T\s*I\s*O\s*N\b", "notes": r"EXPLANATORY\s+NOTES\b", "hints": r"HINTS\s+TO\s+THE\b", "works": r"WORKS?\s+UPON\b"}
+# The shapes of heads with numerals, heads with ordinals, running headers, page numbers, broken words and verse cues.
+_NUMERAL_HEAD = r"^[ \t]{{0,8}}{head}[ \t]+([clxvidm]{{1,7}})\.?[ \t]*\d{{0,4}}[ \t]*$"
+_ORDINAL_HEAD = r"\b{head}\s+THE\s+([A-Z][A-Z\- ]{{2,34}}?)\s*\."
+_RUNNING = r"(?im)^[ \t]*(?:{head}\s+THE\s+[A-Z\- ]+\.?|{title}\.?)[ \t]*\d{{0,4}}[ \t]*$"
+_PAGE, _BROKEN = r"(?m)^[ \t]*\d{1,4}[ \t]*$", r"([A-Za-z])-[ \t]*\n\s*([a-z])"
+_CUE = r"(?:^|\n)\s*(?:Verses?|Ver\.?)\s+(\d{1,3})(?:\s*[-–—.,]|\s)|(?:^|\n)\s*(\d{1,3})\.\s+[\"“']"
 GARBLED, GARBLED_LENGTH = 0.45, 80
 
 
@@ -29,10 +35,8 @@ def stripped(text: Column, head: str = "PSALM") -> Column:
 
 def cleaned(block: Column, head: str = "PSALM", title: str = "THE TREASURY OF DAVID") -> Column:
     """A block without running headers and page numbers, broken words closed up, blanks collapsed."""
-    header = rf"(?im)^[ \t]*(?:{head}\s+THE\s+[A-Z\- ]+\.?|{title}\.?)[ \t]*\d{{0,4}}[ \t]*$"
-    out = F.regexp_replace(block, header, "")
-    out = F.regexp_replace(out, r"(?m)^[ \t]*\d{1,4}[ \t]*$", "")
-    out = F.regexp_replace(out, r"([A-Za-z])-[ \t]*\n\s*([a-z])", "$1$2")
+    out = F.regexp_replace(block, _RUNNING.format(head=head, title=title), "")
+    out = F.regexp_replace(F.regexp_replace(out, _PAGE, ""), _BROKEN, "$1$2")
     return tx.strip(F.regexp_replace(F.regexp_replace(out, r"[ \t\xa0]+", " "), r"\n{2,}", "\n\n"))
 
 
@@ -64,7 +68,7 @@ def hymn_blocks(files: DataFrame, head: str = "PSALM", most: int = 150) -> DataF
     running header that spells its ordinal, which may be misread, is used. The longest block of a hymn is kept.
     """
     rows = files.withColumn("text", stripped(F.col("text"), head))
-    found = _marks(rows, [("numeral", rf"^[ \t]{{0,8}}{head}[ \t]+([clxvidm]{{1,7}})\.?[ \t]*\d{{0,4}}[ \t]*$"), ("ordinal", rf"\b{head}\s+THE\s+([A-Z][A-Z\- ]{{2,34}}?)\s*\.")], re.I | re.M)
+    found = _marks(rows, [("numeral", _NUMERAL_HEAD.format(head=head)), ("ordinal", _ORDINAL_HEAD.format(head=head))], re.I | re.M)
     numerals = found.filter("kind = 'numeral'").withColumn("hymn", tx.roman_value(F.col("value")))
     spelt = found.filter("kind = 'ordinal'").withColumn("seen", F.regexp_replace(F.upper("value"), "[^A-Z]", ""))
     known = files.sparkSession.createDataFrame([(canon.ordinal(n), n) for n in range(1, most + 1)], "name string, number int")
@@ -87,7 +91,7 @@ def comments(files: DataFrame, commentator: str, book: str, lengths: DataFrame,
     parts = parts.unionByName(begins)
     parts = ordered.segments(parts, ["path", "hymn"], "at", F.length("text"), [F.col("at"), (F.col("kind") != "title")], "stop")
     parts = parts.withColumn("text", _cut("text", "at", "stop")).filter(tx.strip(F.col("text")) != "").select("path", "hymn", F.col("kind").alias("component"), F.col("at").alias("part_at"), "text")
-    cues = _marks(parts, [("cue", r"(?:^|\n)\s*(?:Verses?|Ver\.?)\s+(\d{1,3})(?:\s*[-–—.,]|\s)|(?:^|\n)\s*(\d{1,3})\.\s+[\"“']")], 0)
+    cues = _marks(parts, [("cue", _CUE)], 0)
     cues = cues.withColumn("verse", F.col("value").cast("int")).join(F.broadcast(lengths.limit(10_000)), "hymn", "left").filter(F.col("n_verses").isNull() | (F.col("verse") <= F.col("n_verses")))
     cues = cues.select(*parts.columns, "verse", "at").unionByName(parts.withColumns({"verse": F.lit(0), "at": F.lit(0)}))
     cues = ordered.segments(cues, ["path", "hymn", "part_at"], "at", F.length("text"), [F.col("at"), F.col("verse")], "stop")
