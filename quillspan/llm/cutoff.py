@@ -67,7 +67,9 @@ _MARKS = (
 )
 _STOP = re.compile(r"[.?!।。؟][\"”’»')\]]*\Z")
 _HAS_STOP = re.compile(r"[^\W\d_]{2,}[.?!।。؟][\"”’»')\]]*(?:\s|\Z)")
-_CLAUSE = frozenset(".?!;:\n")
+#: Marks that begin a context, that end a line or sentence, and that show a finished clause.
+_CLAUSE, _SENTENCE, _STOPS = frozenset(".?!;:,\n"), frozenset(".?!;:\n"), frozenset(".?!;:,")
+_NEWLINE, _SMALL, _BREAKS, _ENDS, _FINISHED = 1, 2, 4, 8, 16
 
 
 def language(lang: Column) -> Column:
@@ -112,57 +114,66 @@ class Reduction:
         return "~" + low[-2:] if low.endswith(("ed", "ly")) else "~" + low[-1:] if low.endswith("s") and not low.endswith("ss") else "~"
 
 
-def _fold(codes: np.ndarray, breaks: np.ndarray, seed: int) -> dict[int, np.ndarray]:
-    """Hash of the last j tokens at every position, for each order j; contexts stop at the clause's beginning."""
-    n = len(codes)
-    where = np.arange(n)
-    begin = np.maximum.accumulate(np.where(breaks, where, 0))  # the mark before the clause is part of it
-    begin = np.where(breaks, np.maximum.accumulate(np.r_[0, begin[:-1]]) if n > 1 else 0, begin)
-    out, h = {}, np.full(n, np.uint64(seed * 2654435761 + 97), np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(1, ORDERS[-1] + 1):
-            at = where - (j - 1)
-            use = at >= begin
-            code = np.where(use, codes[np.maximum(at, 0)], np.uint64(1))
-            h = (h ^ code) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-            if j in ORDERS:
-                out[j] = (h ^ np.uint64(j)) >> np.uint64(1)
-    return out
+class _Codes(dict):
+    """Token -> 64-bit code, stable across processes; the low five bits tell what kind of token it is."""
 
+    def __init__(self, reduction: Reduction, lang: str) -> None:
+        self.reduction, self.words = reduction, reduction.frequent.get(lang, frozenset())
 
-class _Coder:
-    """Token -> 64-bit code, stable across processes."""
+    def __missing__(self, tok: str) -> int:
+        import xxhash
+
+        first = tok[0]
+        kind = _NEWLINE * (first == "\n") | _SMALL * first.islower() | _BREAKS * (first in _CLAUSE) | _ENDS * (first in _SENTENCE) | _FINISHED * (tok in _STOPS)
+        code = xxhash.xxh64_intdigest(self.reduction.token(tok, self.words)) & ~31 | kind
+        if len(self) < 500_000:
+            self[tok] = code
+        return code
 
-    def __init__(self, reduction: Reduction) -> None:
-        self.reduction, self.codes = reduction, {}
 
-    def code(self, tok: str, lang: str, words: frozenset[str]) -> int:
-        key = (lang, tok)
-        if key not in self.codes:
-            if len(self.codes) > 500_000:
-                self.codes.clear()
-            import xxhash
+@dataclass
+class _Batch:
+    """Contexts at every token of several texts, in one array for each order."""
 
-            self.codes[key] = xxhash.xxh64_intdigest(self.reduction.token(tok, words)) | 1
-        return self.codes[key]
+    codes: np.ndarray
+    ends: np.ndarray  # where each text ends
+    contexts: dict[int, np.ndarray]
 
-    def contexts(self, tokens: list[str], lang: str, style: str) -> dict[int, np.ndarray]:
-        import xxhash
+    def has(self, kind: int) -> np.ndarray:
+        return (self.codes & np.uint64(kind)) != 0
 
-        words = self.reduction.frequent.get(lang, frozenset())
-        codes = np.fromiter((self.code(t, lang, words) for t in tokens), np.uint64, len(tokens))
-        breaks = np.fromiter((t[0] in _CLAUSE for t in tokens), bool, len(tokens))
-        return _fold(codes, breaks, xxhash.xxh32_intdigest(lang + style))
 
+class _Coder:
+    def __init__(self, reduction: Reduction) -> None:
+        self.reduction, self.codes, self.seeds = reduction, {}, {}
+
+    def batch(self, texts: list[tuple[list[str], str, str]]) -> _Batch:
+        """``texts``: (tokens, language, style). A context begins at its clause's mark, or where the text does."""
+        import xxhash
 
-def _ends_line(tokens: list[str]) -> np.ndarray:
-    """Whether a line ends after the token without a stop: a line break follows, and then no small letter."""
-    out = np.zeros(len(tokens), bool)
-    for i, t in enumerate(tokens[:-1]):
-        if tokens[i + 1][0] == "\n" and t[0] not in _CLAUSE and (i + 2 >= len(tokens) or not tokens[i + 2][0].islower()):
-            out[i] = True
-    return out
+        flat: list[int] = []
+        for tokens, lang, _ in texts:
+            flat.extend(map(self.codes.setdefault(lang, _Codes(self.reduction, lang)).__getitem__, tokens))
+        codes = np.array(flat, np.uint64)
+        sizes = np.array([len(t) for t, _, _ in texts], np.int64)
+        ends = np.cumsum(sizes)
+        seeds = np.array([xxhash.xxh32_intdigest(lang + style) * 2654435761 + 97 for _, lang, style in texts], np.uint64)
+        where = np.arange(len(codes))
+        start = np.repeat(ends - sizes, sizes)
+        breaks = (codes & np.uint64(_BREAKS)) != 0
+        mark = np.maximum.accumulate(np.where(breaks, where, -1)) if len(codes) else where
+        mark = np.where(breaks, np.r_[-1, mark[:-1]] if len(codes) else mark, mark)  # a mark itself is read from the mark before it
+        begin = np.maximum(mark, start)
+        out, h = {}, np.repeat(seeds, sizes)
+        with np.errstate(over="ignore"):
+            for j in range(1, ORDERS[-1] + 1):
+                at = where - (j - 1)
+                code = np.where(at >= begin, codes[np.maximum(at, 0)], np.uint64(1))
+                h = (h ^ code) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+                if j in ORDERS:
+                    out[j] = (h ^ np.uint64(j)) >> np.uint64(1)
+        return _Batch(codes, ends, out)
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -224,45 +235,71 @@ class Words:
         return (same + 0.5 * guess) / (same + longer + 0.5)
 
 
+#: Tokens whose contexts are counted together.
+_BATCH_TOKENS = 400_000
+
+
 def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
-    """(h, total, ends, stops): occurrences of every context, those where a line ends, those before a stop or comma."""
+    """(h, total, ends, stops): occurrences of every context, those where a line ends, those before a stop or comma. The row h = -1 sums them all."""
+
+    def counted_in(batch: _Batch) -> tuple[np.ndarray, np.ndarray]:
+        inner = np.ones(len(batch.codes), bool)
+        inner[batch.ends - 1] = False  # the end of a text is counted apart
+        after = np.r_[batch.codes[1:], np.uint64(0)]
+        then = np.r_[after[1:], np.uint64(0)]
+        last = np.zeros(len(inner), bool)
+        last[np.maximum(batch.ends - 2, 0)] = True
+        newline = (after & np.uint64(_NEWLINE)) != 0
+        line_end = newline & ~batch.has(_ENDS) & (last | ((then & np.uint64(_SMALL)) == 0))
+        stop = (after & np.uint64(_FINISHED)) != 0
+        h = np.concatenate([x[inner] for x in batch.contexts.values()])
+        n = len(batch.contexts)
+        return _summed(h, np.stack([np.ones(len(h), np.int64), np.tile(line_end[inner], n), np.tile(stop[inner], n)], 1).astype(np.int64))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = _Coder(reduction)
+        table = (np.zeros(0, np.int64), np.zeros((0, 3), np.int64))
+        held: list[tuple[list[str], str, str]] = []
+        size = 0
+        sums = np.zeros(3, np.int64)
+
+        def frame(t: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
+            return pd.DataFrame({"h": t[0], "total": t[1][:, 0], "ends": t[1][:, 1], "stops": t[1][:, 2]})
+
         for pdf in frames:
-            parts: list[np.ndarray] = []
-            ended: list[np.ndarray] = []
-            stopped: list[np.ndarray] = []
-
-            def flush() -> pd.DataFrame:
-                h, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-                sums = [np.bincount(inverse, weights=w, minlength=len(h)).astype(np.int64) for w in (np.ones(len(inverse)), np.concatenate(ended), np.concatenate(stopped))]
-                for x in (parts, ended, stopped):
-                    x.clear()
-                return pd.DataFrame({"h": h.astype(np.int64), "total": sums[0], "ends": sums[1], "stops": sums[2]})
-
-            held = 0
             for lang, text in zip(pdf["lang"], pdf["text"]):
                 tokens = _TOKEN.findall(text.rstrip())
-                if not tokens:
-                    continue
-                line_ends = _ends_line(tokens)[:-1]  # the end of the text is counted apart
-                stops = np.fromiter((t in ".?!;:," for t in tokens[1:]), bool, len(tokens) - 1)
-                for h in coder.contexts(tokens, lang, style_of(text)).values():
-                    parts.append(h[:-1])
-                    ended.append(line_ends)
-                    stopped.append(stops)
-                held += len(tokens)
-                if held > 300_000:
-                    yield flush()
-                    held = 0
-            if parts:
-                yield flush()
+                if tokens:
+                    held.append((tokens, lang, style_of(text)))
+                    size += len(tokens)
+                if size > _BATCH_TOKENS:
+                    more = counted_in(coder.batch(held))
+                    sums += more[1].sum(0)
+                    table = _summed(np.concatenate([table[0], more[0]]), np.concatenate([table[1], more[1]]))
+                    held, size = [], 0
+                    if len(table[0]) > 2_000_000:
+                        yield frame(table)
+                        table = (table[0][:0], table[1][:0])
+        if held:
+            more = counted_in(coder.batch(held))
+            sums += more[1].sum(0)
+            table = _summed(np.concatenate([table[0], more[0]]), np.concatenate([table[1], more[1]]))
+        yield frame((np.r_[np.int64(-1), table[0]], np.concatenate([sums[None], table[1]])))
 
     counted = texts.select("lang", "text").mapInPandas(run, "h long, total long, ends long, stops long")
     return counted.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("total", "ends", "stops")])
 
 
+def _summed(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and their summed counts."""
+    if not len(h):
+        return h.astype(np.int64), counts
+    order = np.argsort(h, kind="stable")
+    h = h[order].astype(np.int64)
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    return h[first], np.add.reduceat(counts[order], first, axis=0)
+
+
 _END = "id {id}, source string, kind string, chars int, bytes int, tail_hash long, letters string, stopped boolean, contexts array<bigint>"
 
 
@@ -274,19 +311,20 @@ def text_ends(texts: DataFrame, reduction: Reduction) -> DataFrame:
 
         coder = _Coder(reduction)
         for pdf in frames:
-            rows = []
+            rows, open_ends = [], []
             for key, source, lang, text in zip(pdf["id"], pdf["source"], pdf["lang"], pdf["text"]):
                 body, kind = ending(text)
                 stopped = not body or _STOP.search(body) is not None
-                digest = xxhash.xxh64_intdigest(re.sub(r"[\W\d_]+", "", text)[-150:]) >> 1
-                size = (len(text), len(text.encode()))
-                if stopped:
-                    rows.append((key, source, kind, *size, digest, "", True, []))
-                    continue
-                tokens = _TOKEN.findall(body[-_TAIL:])
-                contexts = [int(h[-1]) for h in coder.contexts(tokens, lang, style_of(body)).values()] if tokens else []
-                letters = re.search(r"[^\W\d_]*(?:['’][^\W\d_]+)*\Z", body[-60:]).group(0)
-                rows.append((key, source, kind, *size, digest, letters, False, contexts))
+                digest = xxhash.xxh64_intdigest(re.sub(r"[\W\d_]+", "", text[-600:])[-150:]) >> 1
+                letters = "" if stopped else re.search(r"[^\W\d_]*(?:['’][^\W\d_]+)*\Z", body[-60:]).group(0)
+                rows.append([key, source, kind, len(text), len(text.encode()), digest, letters, stopped, []])
+                if not stopped and (tokens := _TOKEN.findall(body[-_TAIL:])):
+                    open_ends.append((len(rows) - 1, (tokens, lang, style_of(body))))
+            if open_ends:
+                batch = coder.batch([t for _, t in open_ends])
+                at = np.stack([x[batch.ends - 1] for x in batch.contexts.values()], 1).astype(np.int64)
+                for (i, _), contexts in zip(open_ends, at.tolist()):
+                    rows[i][-1] = contexts
             yield pd.DataFrame(rows, columns=["id", "source", "kind", "chars", "bytes", "tail_hash", "letters", "stopped", "contexts"])
 
     return texts.mapInPandas(run, _END.format(id=texts.schema["id"].dataType.simpleString()))
@@ -350,17 +388,17 @@ def _shares(table: pd.DataFrame, rounds: int = 15) -> pd.DataFrame:
     return out.drop_duplicates(["source", "kind"])
 
 
-def _weighed(ends: DataFrame, within: DataFrame, whole: DataFrame, words: Words) -> DataFrame:
-    """``ends`` with the log-odds; ``whole`` are the ends to learn from."""
+def _weighed(ends: DataFrame, counted: DataFrame, whole: DataFrame, words: Words) -> DataFrame:
+    """``ends`` with the log-odds. ``counted``: what the texts hold of the ends' contexts; ``whole``: the ends to learn from."""
     spark = ends.sparkSession
     once = whole.dropDuplicates(["tail_hash"]).select(F.explode("contexts").alias("h"))
     once = once.groupBy("h").agg(F.count("*").alias("total")).select("h", "total", F.col("total").alias("ends"), F.lit(0).cast("long").alias("stops"))
-    both = within.unionByName(once).groupBy("h").agg(*[F.sum(c).alias(c) for c in ("total", "ends", "stops")])
-    both = shared.materialize(both, "cut-contexts")
-    sums = both.agg(F.sum("total").alias("t"), F.sum("ends").alias("e"), F.sum("stops").alias("s")).first()
-    t, e, s = (float(x or 0) for x in sums)
+    sums = counted.filter("h = -1").first()
+    t, e, s = (float(sums[c]) if sums else 0.0 for c in ("total", "ends", "stops"))
     least = max(3.0, CONTEXT_SHARE * t / len(ORDERS))
-    table = both.filter(F.col("total") >= least).toPandas().sort_values("h")  # orders / share rows at most
+    both = counted.filter("h >= 0").unionByName(once).groupBy("h").agg(*[F.sum(c).alias(c) for c in ("total", "ends", "stops")])
+    table = both.filter(F.col("total") >= least).toArrow().to_pandas().sort_values("h")  # orders / share rows at most
+    e += float(once.agg(F.sum("ends")).first()[0] or 0)
     model = Contexts(*(table[c].to_numpy() for c in ("h", "total", "ends", "stops")), max(1e-6, e / max(1.0, t)), max(1e-6, s / max(1.0, t)))
     known = spark.sparkContext.broadcast((words, model))
 
@@ -388,7 +426,7 @@ def _decided(weighed: DataFrame) -> DataFrame:
     spark = weighed.sparkSession
     source = F.coalesce("source", F.lit(""))
     grouped = weighed.groupBy(source.alias("source"), "kind", F.round("as_end", 1).alias("as_end"), F.round("as_clause", 1).alias("as_clause")).agg(F.count("*").alias("n"))
-    shares = _shares(grouped.toPandas())  # one row per source, kind and tenths of log-odds, which are clipped
+    shares = _shares(grouped.toArrow().to_pandas())  # one row per source, kind and tenths of log-odds, which are clipped
     rows = [tuple(map(str, r[:2])) + tuple(map(float, r[2:])) for r in shares.itertuples(index=False)]
     prior = spark.createDataFrame(rows, "p_source string, p_kind string, share_cut double, share_ending double, share_clause double")
     out = weighed.join(prior, (source == F.col("p_source")) & (F.col("kind") == F.col("p_kind"))).drop("p_source", "p_kind")
@@ -412,7 +450,9 @@ def judged(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col:
     closing = frozenset(r["word"].lower() for r in by_word.join(F.broadcast(totals), closes).select("word").collect())  # 1 / share rows
     reduction = Reduction({g: frozenset(w) for g, w in frequent.items()}, closing)
     ends = shared.materialize(text_ends(texts, reduction), "cut-ends")
-    within = shared.materialize(_count_contexts(texts, reduction), "cut-within")
+    wanted = ends.select(F.explode("contexts").alias("h")).distinct().unionByName(ends.sparkSession.createDataFrame([(-1,)], "h long"))
+    # only the contexts that some text ends in are ever looked up
+    counted = shared.materialize(_count_contexts(texts, reduction).join(wanted, "h", "left_semi"), "cut-contexts")
     limits = {unit: piles(ends, unit) for unit in ("chars", "bytes")}
     unstopped = ends.filter(~F.col("stopped"))
     for unit, found in limits.items():
@@ -421,9 +461,9 @@ def judged(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col:
         unstopped = unstopped.join(at, F.col("source").eqNullSafe(F.col("l_source")) & (F.col(unit) == F.col("l_size")), "left").drop("l_source", "l_size")
     piled = F.coalesce("at_chars", F.lit(False)) | F.coalesce("at_bytes", F.lit(False))
     unstopped = unstopped.withColumn("kind", F.when(piled, F.concat("kind", F.lit("@limit"))).otherwise(F.col("kind"))).select("id", "source", "kind", "tail_hash", "letters", "contexts")
-    first = _decided(_weighed(unstopped.withColumn("counted", F.lit(True)), within, unstopped, words))
+    first = _decided(_weighed(unstopped.withColumn("counted", F.lit(True)), counted, unstopped, words))
     first = shared.materialize(first.withColumn("counted", ~F.col("cut")).select("id", "source", "kind", "tail_hash", "letters", "contexts", "counted"), "cut-first")
-    out = _decided(_weighed(first, within, first.filter("counted"), words))
+    out = _decided(_weighed(first, counted, first.filter("counted"), words))
     return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "kind", "as_end", "as_clause", "share_cut", "p_cut", "cut")
 
 
