@@ -105,6 +105,11 @@ class Shard:
     node: np.ndarray
     vectors: np.ndarray
     ids: list[list]  # the smallest ids of every direction
+    names: np.ndarray | None = None  # the id of a direction that has one, else the list
+
+    def __post_init__(self) -> None:
+        self.names = np.empty(len(self.ids), object)
+        self.names[:] = [i[0] if len(i) == 1 else i for i in self.ids]
 
 
 _shards: OrderedDict[tuple, Shard] = OrderedDict()
@@ -162,76 +167,89 @@ class _Best:
 def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tuple[Shard, _Best, float]:
     """(the shard, the best of its vectors, share of all balls visited)."""
     own = _load(trees.paths[shard], dim)
-    own_node, x = own.node, own.vectors
+    x = own.vectors
     n = len(x)
     best = _Best(n)
-    angle = np.arccos(np.clip(x @ trees.points.T, -1, 1))
-    nearest = np.array([angle[:, trees.node[trees.shard == s]].mean() for s in range(len(trees.paths))])
-    nearest[shard] = -1
-    visits = 0
+    angle = np.arccos(np.clip(trees.points @ x.T, -1, 1))  # a row for each vantage point
+    limit = np.full(n, np.inf, np.float32)  # how near a ball must come to each query
+    floor = np.full(n, -1.5, np.float32)  # the least similarity that can still matter to it
+    to_shard = np.array([angle[trees.node[trees.shard == s]].mean() for s in range(len(trees.paths))])
+    to_shard[shard] = -1
     x64 = x.astype(np.float64)
-    for other in np.argsort(nearest, kind="stable"):
+    visits = 0
+
+    def visit(found: Shard, other: int, ball: int, q: np.ndarray) -> None:
+        nonlocal visits
+        a, b = np.searchsorted(found.node, [trees.node[ball], trees.node[ball] + 1])
+        y = found.vectors[a:b]
+        if a == b:
+            return
+        visits += len(q)
+        for begin in range(0, len(q), 4096):
+            some = q[begin : begin + 4096]
+            sims = x[some] @ y.T
+            least = floor[some]
+            if other == shard:
+                inside = np.flatnonzero((some >= a) & (some < b))
+                sims[inside, some[inside] - a] = -2
+            if b - a > KEPT and np.isinf(limit[some[0]]):
+                kth = np.partition(sims, b - a - KEPT, 1)[:, b - a - KEPT]
+                least = np.maximum(least, kth - np.float32(1e-6))
+            i, j = np.divmod(np.flatnonzero(sims >= least[:, None]), b - a)
+            if not len(i):
+                continue
+            rows = some[i]
+            best.add(rows, np.einsum("ij,ij->i", x64[rows], y[j].astype(np.float64)), other, a + j)
+            new = rows[np.r_[True, rows[1:] != rows[:-1]]]
+            full = new[best.sim[new, k - 1] > -2]
+            limit[full] = np.arccos(np.clip(best.sim[full, k - 1], -1, 1)) / relax
+            floor[new] = np.maximum(best.sim[new, KEPT - 1] - 1e-6, -1.5)
+
+    for other in map(int, np.argsort(to_shard, kind="stable")):
         balls = np.flatnonzero(trees.shard == other)
-        balls = balls[np.argsort(angle[:, trees.node[balls]].mean(0))]
-        wanted = []
+        balls = balls[np.argsort(angle[trees.node[balls]].mean(1), kind="stable")]
+        if other == shard:  # each ball's own vectors before all others, so that the limits are near from the start
+            for ball in balls:
+                visit(own, other, ball, np.flatnonzero(own.node == trees.node[ball]))
         for ball in balls:
-            near = angle[:, trees.node[ball]] - trees.radius[ball]
-            limit = np.arccos(np.clip(best.sim[:, k - 1], -1, 1)) / relax
-            q = np.flatnonzero((near <= limit) | (best.sim[:, k - 1] <= -2))
+            near = angle[trees.node[ball]] - np.float32(trees.radius[ball]) <= limit
+            if other == shard:
+                near &= own.node != trees.node[ball]
+            q = np.flatnonzero(near)
             if len(q):
-                wanted.append((ball, q))
-        if not wanted:
-            continue
-        found = _load(trees.paths[int(other)], dim)
-        node, y = found.node, found.vectors
-        if other == shard:  # each ball's own vectors before all others, so that the limit is near from the start
-            wanted = [(b, np.flatnonzero(own_node == trees.node[b])) for b in balls] + [(b, None) for b in balls]
-        for ball, q in wanted:
-            a, b = np.searchsorted(node, [trees.node[ball], trees.node[ball] + 1])
-            again = other == shard and q is None
-            limit = np.arccos(np.clip(best.sim[:, k - 1], -1, 1)) / relax
-            near = (angle[:, trees.node[ball]] - trees.radius[ball] <= limit) | (best.sim[:, k - 1] <= -2)
-            if again:
-                near &= own_node != trees.node[ball]
-                q = np.flatnonzero(near)
-            elif other != shard:
-                q = q[near[q]]
-            if a == b or not len(q):
-                continue
-            visits += len(q)
-            for begin in range(0, len(q), 4096):
-                some = q[begin : begin + 4096]
-                sims = x[some] @ y[a:b].T
-                if other == shard:
-                    inside = (some >= a) & (some < b)
-                    sims[np.flatnonzero(inside), some[inside] - a] = -2
-                least = best.sim[some, KEPT - 1].astype(np.float32) - np.float32(1e-6)
-                if not again and other == shard and b - a > KEPT:
-                    kth = np.partition(sims, b - a - KEPT, 1)[:, b - a - KEPT]
-                    i, j = np.nonzero(sims >= np.maximum(np.maximum(least, kth - np.float32(1e-6)), -1.5)[:, None])
-                else:
-                    i, j = np.nonzero(sims > np.maximum(least, -1.5)[:, None])
-                if len(i):
-                    exact = np.einsum("ij,ij->i", x64[some[i]], y[a + j].astype(np.float64))
-                    best.add(some[i], exact, int(other), a + j)
+                visit(own if other == shard else _load(trees.paths[other], dim), other, ball, q)
     return own, best, visits / max(1, n * len(trees.node))
 
 
-def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> Iterator[tuple[list, list]]:
-    """(ids of a direction, its k + 1 nearest ids with their similarities, its own among them)."""
-    names: dict[tuple[int, int], list] = {}
+def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> tuple[list, np.ndarray, list, np.ndarray, list]:
+    """(ids, length of each one's list, ids in the lists, similarities in the lists, whether more copies exist), in rows."""
     sims = np.round(np.minimum(best.sim, 1.0), 9)
     good = best.sim > -1.5
+    names = np.empty(best.sim.shape, object)
     for shard in np.unique(best.at[:, :, 0][good]):
         found = _load(trees.paths[int(shard)], dim)
-        for row in np.unique(best.at[:, :, 1][good & (best.at[:, :, 0] == shard)]):
-            names[int(shard), int(row)] = found.ids[row]
-    for q, ids in enumerate(own.ids):
-        near = [(-1.0, i) for i in ids]
+        at = good & (best.at[:, :, 0] == shard)
+        names[at] = found.names[best.at[:, :, 1][at]]
+    # where all are single and no similarities tie, the rows are in their order already
+    several = np.array([len(i) > 1 for i in own.ids]) if own.ids else np.zeros(0, bool)
+    tied = ((sims[:, 1 : k + 2] == sims[:, : k + 1]) & good[:, 1 : k + 2]).any(1)
+    plain = ~several & ~tied & ~np.vectorize(lambda x: isinstance(x, list), otypes=[bool])(names).any(1)
+    first = good[plain][:, :k]
+    ids, sizes, many = [own.ids[i][0] for i in np.flatnonzero(plain)], [first.sum(1)], [False] * int(plain.sum())
+    listed, near = names[plain][:, :k][first].tolist(), [sims[plain][:, :k][first]]
+    for q in np.flatnonzero(~plain):
+        some = [(-1.0, i) for i in own.ids[q]]
         for j in np.flatnonzero(good[q]):
-            near += [(-float(sims[q, j]), i) for i in names[int(best.at[q, j, 0]), int(best.at[q, j, 1])]]
-        near.sort()
-        yield ids, near[: k + 1]
+            some += [(-float(sims[q, j]), i) for i in (names[q, j] if isinstance(names[q, j], list) else [names[q, j]])]
+        some = sorted(some)[: k + 1]
+        for i in own.ids[q]:
+            others = [(x, -d) for d, x in some if x != i][:k]
+            ids.append(i)
+            many.append(len(own.ids[q]) > k)
+            sizes.append([len(others)])
+            listed += [x for x, _ in others]
+            near.append([s for _, s in others])
+    return ids, np.concatenate(sizes).astype(np.int64), listed, np.concatenate(near).astype(float), many
 
 
 def _plan_shards(counts: dict[int, int], nodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -335,16 +353,10 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 own, best, _ = search_shard(shard, held.value, k, relax, dim)
-                rows: list[tuple] = []
-                for ids, near in answers(own, best, held.value, k, dim):
-                    rows += [(i, [(x, -d) for d, x in near if x != i][:k], len(ids) > k) for i in ids]
-                n = np.array([len(r[1]) for r in rows])
-                flat = [x for r in rows for x in r[1]]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)),
-                    pa.StructArray.from_arrays([pa.array([x for x, _ in flat], ids_type), pa.array([s for _, s in flat], pa.float64())], names=["id", "similarity"]),
-                )
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], ids_type), lists, pa.array([r[2] for r in rows])], names=["id", "near", "many"])
+                ids, n, listed, near, many = answers(own, best, held.value, k, dim)
+                offsets = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(listed, ids_type), pa.array(near)], names=["id", "similarity"]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, ids_type), lists, pa.array(many, pa.bool_())], names=["id", "near", "many"])
 
     from pyspark.sql.pandas.types import to_arrow_type
 
