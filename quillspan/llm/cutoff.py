@@ -138,6 +138,7 @@ class _Batch:
     codes: np.ndarray
     ends: np.ndarray  # where each text ends
     contexts: dict[int, np.ndarray]
+    longer: dict[int, np.ndarray]  # whether the order sees more than the one before it
 
     def has(self, kind: int) -> np.ndarray:
         return (self.codes & np.uint64(kind)) != 0
@@ -164,7 +165,8 @@ class _Coder:
         mark = np.maximum.accumulate(np.where(breaks, where, -1)) if len(codes) else where
         mark = np.where(breaks, np.r_[-1, mark[:-1]] if len(codes) else mark, mark)  # a mark itself is read from the mark before it
         begin = np.maximum(mark, start)
-        out, h = {}, np.repeat(seeds, sizes)
+        out, longer, h = {}, {}, np.repeat(seeds, sizes)
+        length, before = where - begin + 1, 0
         with np.errstate(over="ignore"):
             for j in range(1, ORDERS[-1] + 1):
                 at = where - (j - 1)
@@ -172,8 +174,8 @@ class _Coder:
                 h = (h ^ code) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
                 if j in ORDERS:
-                    out[j] = (h ^ np.uint64(j)) >> np.uint64(1)
-        return _Batch(codes, ends, out)
+                    out[j], longer[j], before = (h ^ np.uint64(j)) >> np.uint64(1), length > before, j
+        return _Batch(codes, ends, out, longer)
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -242,7 +244,7 @@ _BATCH_TOKENS = 400_000
 def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
     """(h, total, ends, stops): occurrences of every context, those where a line ends, those before a stop or comma. The row h = -1 sums them all."""
 
-    def counted_in(batch: _Batch) -> tuple[np.ndarray, np.ndarray]:
+    def counted_in(batch: _Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         inner = np.ones(len(batch.codes), bool)
         inner[batch.ends - 1] = False  # the end of a text is counted apart
         after = np.r_[batch.codes[1:], np.uint64(0)]
@@ -252,19 +254,28 @@ def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
         newline = (after & np.uint64(_NEWLINE)) != 0
         line_end = newline & ~batch.has(_ENDS) & (last | ((then & np.uint64(_SMALL)) == 0))
         stop = (after & np.uint64(_FINISHED)) != 0
-        h = np.concatenate([x[inner] for x in batch.contexts.values()])
-        n = len(batch.contexts)
-        return _summed(h, np.stack([np.ones(len(h), np.int64), np.tile(line_end[inner], n), np.tile(stop[inner], n)], 1).astype(np.int64))
+        seen = [inner & batch.longer[j] for j in batch.contexts]
+        h = np.concatenate([x[m] for x, m in zip(batch.contexts.values(), seen)])
+        marks = [np.concatenate([x[m] for m in seen]) for x in (line_end, stop)]
+        sums = np.array([inner.sum(), (line_end & inner).sum(), (stop & inner).sum()], np.int64)
+        return *_summed(h, np.stack([np.ones(len(h), np.int64), *marks], 1).astype(np.int64)), sums
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = _Coder(reduction)
-        table = (np.zeros(0, np.int64), np.zeros((0, 3), np.int64))
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         held: list[tuple[list[str], str, str]] = []
-        size = 0
-        sums = np.zeros(3, np.int64)
+        size, sums = 0, np.zeros(3, np.int64)
 
-        def frame(t: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
-            return pd.DataFrame({"h": t[0], "total": t[1][:, 0], "ends": t[1][:, 1], "stops": t[1][:, 2]})
+        def count() -> None:
+            nonlocal held, size, sums
+            h, counts, more = counted_in(coder.batch(held))
+            parts.append((h, counts))
+            held, size, sums = [], 0, sums + more
+            if sum(len(x) for x, _ in parts) > 2_500_000:
+                parts[:] = [_summed(np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts]))]
+
+        def frame(h: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+            return pd.DataFrame({"h": h, "total": counts[:, 0], "ends": counts[:, 1], "stops": counts[:, 2]})
 
         for pdf in frames:
             for lang, text in zip(pdf["lang"], pdf["text"]):
@@ -273,18 +284,13 @@ def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
                     held.append((tokens, lang, style_of(text)))
                     size += len(tokens)
                 if size > _BATCH_TOKENS:
-                    more = counted_in(coder.batch(held))
-                    sums += more[1].sum(0)
-                    table = _summed(np.concatenate([table[0], more[0]]), np.concatenate([table[1], more[1]]))
-                    held, size = [], 0
-                    if len(table[0]) > 2_000_000:
-                        yield frame(table)
-                        table = (table[0][:0], table[1][:0])
+                    count()
+                    if len(parts) == 1 and len(parts[0][0]) > 1_500_000:
+                        yield frame(*parts.pop())
         if held:
-            more = counted_in(coder.batch(held))
-            sums += more[1].sum(0)
-            table = _summed(np.concatenate([table[0], more[0]]), np.concatenate([table[1], more[1]]))
-        yield frame((np.r_[np.int64(-1), table[0]], np.concatenate([sums[None], table[1]])))
+            count()
+        parts.append((np.array([-1], np.int64), sums[None]))
+        yield frame(*_summed(np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])))
 
     counted = texts.select("lang", "text").mapInPandas(run, "h long, total long, ends long, stops long")
     return counted.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("total", "ends", "stops")])
@@ -323,8 +329,9 @@ def text_ends(texts: DataFrame, reduction: Reduction) -> DataFrame:
             if open_ends:
                 batch = coder.batch([t for _, t in open_ends])
                 at = np.stack([x[batch.ends - 1] for x in batch.contexts.values()], 1).astype(np.int64)
-                for (i, _), contexts in zip(open_ends, at.tolist()):
-                    rows[i][-1] = contexts
+                longer = np.stack([x[batch.ends - 1] for x in batch.longer.values()], 1)
+                for (i, _), contexts, use in zip(open_ends, at, longer):
+                    rows[i][-1] = contexts[use].tolist()
             yield pd.DataFrame(rows, columns=["id", "source", "kind", "chars", "bytes", "tail_hash", "letters", "stopped", "contexts"])
 
     return texts.mapInPandas(run, _END.format(id=texts.schema["id"].dataType.simpleString()))
@@ -395,7 +402,7 @@ def _weighed(ends: DataFrame, counted: DataFrame, whole: DataFrame, words: Words
     once = once.groupBy("h").agg(F.count("*").alias("total")).select("h", "total", F.col("total").alias("ends"), F.lit(0).cast("long").alias("stops"))
     sums = counted.filter("h = -1").first()
     t, e, s = (float(sums[c]) if sums else 0.0 for c in ("total", "ends", "stops"))
-    least = max(3.0, CONTEXT_SHARE * t / len(ORDERS))
+    least = max(3.0, CONTEXT_SHARE * t)
     both = counted.filter("h >= 0").unionByName(once).groupBy("h").agg(*[F.sum(c).alias(c) for c in ("total", "ends", "stops")])
     table = both.filter(F.col("total") >= least).toArrow().to_pandas().sort_values("h")  # orders / share rows at most
     e += float(once.agg(F.sum("ends")).first()[0] or 0)
