@@ -14,8 +14,9 @@ exactly (a record of the same month may still precede the reference). An end in
 dictionary lacks is missing without more ado.
 
 Scale: the bitmaps shrink before any shuffle (partial bit_or), whatever key is hot, as a hot verse is
-one bit. No join carries a hint: survivors and dictionary are broadcast where their measured size
-is under the session's threshold, and are shuffled otherwise, a hot key then left to the skew join.
+one bit. The last deliveries are written out once, for the bitmaps and for the ends. The survivors, of which
+there is one a table, month, range and word at most, are counted: up to a bound they are broadcast, beyond it
+they are shuffled with the ends, a hot key then left to the skew join. The dictionary goes by its measured size.
 
 Defined results: a null book, chapter or verse names no point and is no case, except that a null end
 of a span is its start; a span is looked at in its two ends only; book ids are trimmed and upper-cased;
@@ -34,6 +35,8 @@ from quillspan import shared
 from quillspan.functions.refs import book_id, point_label
 
 _MONTH = "yyyy-MM"
+#: Surviving words up to this number (some 30 MB) are broadcast to the ends; more are shuffled with them.
+BROADCAST_WORDS = 500_000
 _KEY = ("range_id", "word")
 
 
@@ -67,8 +70,9 @@ def proof_points() -> Column:
     return F.flatten(F.transform("proof_texts", both))
 
 
-def reference_ends(crossref: DataFrame, section: DataFrame) -> DataFrame:
-    edges = _ends(last_delivery(crossref), "crossref", F.col("edge_id").cast("string"), F.col("points"))
+def reference_ends(edges: DataFrame, section: DataFrame) -> DataFrame:
+    """Ends of edges in their last delivery and of proof texts: ref_table, row_key, loaded_at, book, chapter, verse."""
+    edges = _ends(edges, "crossref", F.col("edge_id").cast("string"), F.col("points"))
     proofs = _ends(section, "section", F.concat(F.col("document"), F.lit("/"), F.col("key")), proof_points())
     return edges.unionByName(proofs)
 
@@ -124,11 +128,13 @@ def orphans(crossref: DataFrame, section: DataFrame, verse: DataFrame) -> DataFr
     points = parent_points(verse)
     ranges = key_ranges(points)
     points = points.join(ranges, ["book", "chapter"]).select("range_id", "verse", "live_since")
-    ends = reference_ends(crossref, section).join(ranges, ["book", "chapter"], "left")
+    edges = shared.materialize(last_delivery(crossref), "edges")
+    ends = reference_ends(edges, section).join(ranges, ["book", "chapter"], "left")
     ends = ends.withColumns({"ref_month": F.date_format("loaded_at", _MONTH), "word": _word(F.col("verse")), "bit": _bit(F.col("verse"))})
     encoded = ends.filter(F.col("range_id").isNotNull())
-    left = surviving(reference_bitmaps(encoded), parent_bitmaps(points))
+    left = shared.materialize(surviving(reference_bitmaps(encoded), parent_bitmaps(points)), "orphan-words")
     masks = left.select(*[F.col(c).alias(f"mask_{c}") for c in left.columns])
+    masks = F.broadcast(masks) if left.count() <= BROADCAST_WORDS else masks
     owns = F.col("bit").bitwiseAND(F.col("mask_bits")) != 0
     for c in ("ref_table", "range_id", "word"):
         owns = owns & (F.col(c) == F.col(f"mask_{c}"))

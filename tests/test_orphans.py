@@ -71,3 +71,10 @@ def test_hot_key_and_clashing_columns(spark, verses):
     )
     got = orphans.orphans(edges, spark.createDataFrame([], SECTION), verses.withColumn("held", F.lit(1)))
     assert got.count() == 20_000 and [r.state for r in got.select("state").distinct().collect()] == ["deleted"]
+
+
+def test_survivors_beyond_the_bound_are_shuffled(spark, verses, monkeypatch):
+    edges = [edge(1, ("GEN", 1, 6)), edge(2, ("GEN", 1, 4)), edge(3, ("GEN", 1, 5)), edge(4, ("GEN", 1, 2))]
+    want = found(spark, edges, [], verses)
+    monkeypatch.setattr(orphans, "BROADCAST_WORDS", 0)
+    assert found(spark, edges, [], verses) == want and len(want) == 3
