@@ -238,7 +238,7 @@ class Words:
 
 
 #: Tokens whose contexts are counted together.
-_BATCH_TOKENS = 400_000
+_BATCH_TOKENS = 150_000
 
 
 def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
@@ -271,7 +271,7 @@ def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
             h, counts, more = counted_in(coder.batch(held))
             parts.append((h, counts))
             held, size, sums = [], 0, sums + more
-            if sum(len(x) for x, _ in parts) > 2_500_000:
+            if sum(len(x) for x, _ in parts) > 1_200_000:
                 parts[:] = [_summed(np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts]))]
 
         def frame(h: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
@@ -285,7 +285,7 @@ def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
                     size += len(tokens)
                 if size > _BATCH_TOKENS:
                     count()
-                    if len(parts) == 1 and len(parts[0][0]) > 1_500_000:
+                    if len(parts) == 1 and len(parts[0][0]) > 900_000:
                         yield frame(*parts.pop())
         if held:
             count()
