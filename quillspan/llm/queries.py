@@ -38,13 +38,15 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All chunks as pieces. A chunk capped at the limit is held against its comment's whole text for the truncated flag."""
+    """All chunks as pieces. Chunks of comments and sections are held against their record's whole text for the truncated flag."""
     chunk = table(spark, sf_dir, "chunk").select("id", "resource_type", "source", "key", "text").distinct()
-    full = table(spark, sf_dir, "comments").select(F.col("commentator").alias("source"), "key", F.col("text").alias("whole"))
-    full = full.groupBy("source", "key").agg(F.max_by("whole", F.length("whole")).alias("whole")).withColumn("resource_type", F.lit("commentary"))
-    capped = F.length(splitter.trimmed(F.col("text"))) == splitter.LIMIT
-    keyed = chunk.filter(capped).join(full, ["resource_type", "source", "key"], "left").select("id", "text", "whole")
-    rest = chunk.filter(~F.coalesce(capped, F.lit(False))).select("id", "text", F.lit(None).cast("string").alias("whole"))
+    comment = table(spark, sf_dir, "comments").select(F.lit("commentary").alias("resource_type"), F.col("commentator").alias("source"), "key", F.col("text").alias("whole"))
+    titled = F.when(F.coalesce("title", F.lit("")) != "", F.concat_ws("\n", "title", "text")).otherwise(F.col("text"))  # as confession chunks are made
+    section = table(spark, sf_dir, "section").select(F.lit("confession").alias("resource_type"), F.col("document").alias("source"), "key", titled.alias("whole"))
+    full = comment.unionByName(section).groupBy("resource_type", "source", "key").agg(F.max_by("whole", F.length("whole")).alias("whole"))
+    recorded = F.coalesce(F.col("resource_type").isin("commentary", "confession"), F.lit(False))
+    keyed = chunk.filter(recorded).join(full, ["resource_type", "source", "key"], "left").select("id", "text", "whole")
+    rest = chunk.filter(~recorded).select("id", "text", F.lit(None).cast("string").alias("whole"))
     return splitter.split_oversized(rest.unionByName(keyed), "id", "text", whole=F.col("whole")).withColumnRenamed("id", "chunk_id")
 
 

@@ -68,3 +68,16 @@ def test_all_chunks_come_out(spark, data):
     chunk = spark.read.parquet(f"{data}/chunk.parquet")
     assert pieces.select("chunk_id").distinct().count() == chunk.select("id").distinct().count()
     assert pieces.agg(F.max(F.length("text"))).first()[0] <= 6000
+
+
+def test_cut_at_white_space_is_truncated(spark, tmp_path):
+    comment = "w" * 5999 + " " + "more words."
+    rows = [("cut", "commentary", "a", "1", comment[:6000]), ("short", "commentary", "a", "1", comment[:40]), ("all", "commentary", "a", "1", comment + "\n"), ("other", "commentary", "a", "1", "v" * 6000), ("lost", "commentary", "a", "9", comment[:6000])]
+    rows += [("titled", "confession", "d", "1", "Of Rivers\nThey ran"), ("section", "confession", "d", "1", "Of Rivers\nThey ran down."), ("plain", "confession", "d", "2", "They"), ("word", "lexicon", "a", "1", comment[:6000])]
+    spark.createDataFrame(rows, "id string, resource_type string, source string, key string, text string").write.parquet(f"{tmp_path}/chunk.parquet")
+    spark.createDataFrame([("a", "1", comment)] * 2, "commentator string, key string, text string").write.parquet(f"{tmp_path}/comments.parquet")
+    spark.createDataFrame([("d", "1", "Of Rivers", "They ran down."), ("d", "2", None, "They ran.")], "document string, key string, title string, text string").write.parquet(f"{tmp_path}/section.parquet")
+    got = queries.p3_pieces(spark, str(tmp_path)).collect()
+    assert {r.chunk_id for r in got if r.truncated} == {"cut", "short", "titled", "plain"}
+    last = {r.chunk_id: r for r in got if r.piece == r.pieces - 1}
+    assert len(last) == len(rows) and last["all"].pieces == 2
