@@ -53,7 +53,7 @@ def type_source_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return bm25.documents(table(spark, d, "documents"), "doc_id", "text")
+    return bm25.documents(table(spark, d, "documents"), "doc_id", "text", exact=True)
 
 
 def doc_token_lengths(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +74,7 @@ def bm25_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def scoped_bm25_stats(spark: SparkSession, d: str) -> DataFrame:
     scope = packaging.scoped(table(spark, d, "documents"), "resource_type", ["sermon", "letter"], ["doc_id"])
-    return bm25.stats(bm25.documents(scope, "doc_id", "text"))
+    return bm25.stats(bm25.documents(scope, "doc_id", "text", exact=True))
 
 
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
