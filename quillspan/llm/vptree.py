@@ -17,14 +17,13 @@ The shards lie in the shared folder and are read by the tasks that need them, so
 once, whatever the number of trees a query visits. A worker keeps a bounded number of them.
 
 Defined results: vectors that are null, of another length, all zero, or hold a null, NaN or infinity take no
-part; length does not matter; equal similarities (to nine decimals) order by id, of more than KEPT directions that
-tie at the k-th place any may be taken; exact repeats of a row count once; fewer than k others give fewer rows; an empty table gives none.
+part; length does not matter; equal similarities (to nine decimals) order by id, however many tie; exact repeats of a row count once; fewer than k others give fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,8 +42,12 @@ RELAX = 6.0
 SAMPLE = 24_576
 NODE_ROWS, LEAST_NODES, MOST_NODES = 384, 8, 2048
 SHARD_ROWS = 8192
-#: Other directions kept for each vector: some more than k, as ties are settled by id later.
+#: Other directions kept for each vector, by similarity and then smallest id: the k best ids lie in the first k of them.
 KEPT = 8
+#: Angles near zero are known to so much, as units are rounded.
+_SLACK = 1e-3
+#: Pairs compared at once.
+_PAIRS = 1 << 20
 _CACHED_SHARDS = 24
 
 
@@ -106,10 +109,15 @@ class Shard:
     vectors: np.ndarray
     ids: list[list]  # the smallest ids of every direction
     names: np.ndarray | None = None  # the id of a direction that has one, else the list
+    norms: np.ndarray | None = None  # of the rounded units
+    order: np.ndarray | None = None  # place of a direction's smallest id among the shard's
 
     def __post_init__(self) -> None:
         self.names = np.empty(len(self.ids), object)
         self.names[:] = [i[0] if len(i) == 1 else i for i in self.ids]
+        self.norms = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(1))
+        self.order = np.empty(len(self.ids), np.int64)
+        self.order[sorted(range(len(self.ids)), key=lambda i: self.ids[i][0])] = np.arange(len(self.ids))
 
 
 _shards: OrderedDict[tuple, Shard] = OrderedDict()
@@ -139,14 +147,16 @@ def _load(paths: list[str], dim: int) -> Shard:
 
 
 class _Best:
-    """The best KEPT directions of every query so far."""
+    """The best KEPT directions of every query so far, by similarity to nine decimals, then smallest id."""
 
-    def __init__(self, n: int) -> None:
+    def __init__(self, n: int, least_id: Callable[[int, int], object]) -> None:
+        self.least_id = least_id  # of (shard, row)
         self.sim = np.full((n, KEPT), -2.0)
         self.at = np.zeros((n, KEPT, 2), np.int32)  # shard and row there
 
-    def add(self, q: np.ndarray, sim: np.ndarray, shard: int, row: np.ndarray) -> None:
-        order = np.lexsort((row, -sim, q))
+    def add(self, q: np.ndarray, sim: np.ndarray, shard: int, row: np.ndarray, place_of_id: np.ndarray) -> None:
+        sim = np.round(np.minimum(sim, 1.0), 9)
+        order = np.lexsort((place_of_id, -sim, q))
         q, sim, row = q[order], sim[order], row[order]
         first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
         size = np.diff(np.r_[first, len(q)])
@@ -159,7 +169,13 @@ class _Best:
         both[:, :KEPT], where[:, :KEPT] = self.sim[rows], self.at[rows]
         both[at, KEPT + place[use]] = sim[use]
         where[at, KEPT + place[use], 0], where[at, KEPT + place[use], 1] = shard, row[use]
-        top = np.argsort(-both, 1, kind="stable")[:, :KEPT]
+        top = np.argsort(-both, 1, kind="stable")
+        ranked = np.take_along_axis(both, top[:, KEPT - 1 : KEPT + 1], 1)
+        for i in np.flatnonzero((ranked[:, 0] == ranked[:, 1]) & (ranked[:, 0] > -1.5)):  # a tie at the cut
+            have = [j for j in top[i] if both[i, j] > -1.5]
+            have.sort(key=lambda j: (-both[i, j], self.least_id(int(where[i, j, 0]), int(where[i, j, 1]))))
+            top[i, : len(have)] = have
+        top = top[:, :KEPT]
         self.sim[rows] = np.take_along_axis(both, top, 1)
         self.at[rows] = np.take_along_axis(where, top[:, :, None], 1)
 
@@ -169,7 +185,7 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
     own = _load(trees.paths[shard], dim)
     x = own.vectors
     n = len(x)
-    best = _Best(n)
+    best = _Best(n, lambda s, row: (own if s == shard else _load(trees.paths[s], dim)).ids[row][0])
     angle = np.arccos(np.clip(trees.points @ x.T, -1, 1))  # a row for each vantage point
     limit = np.full(n, np.inf, np.float32)  # how near a ball must come to each query
     floor = np.full(n, -1.5, np.float32)  # the least similarity that can still matter to it
@@ -185,8 +201,9 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
         if a == b:
             return
         visits += len(q)
-        for begin in range(0, len(q), 4096):
-            some = q[begin : begin + 4096]
+        step = int(np.clip(_PAIRS // (b - a), 1, 4096))
+        for begin in range(0, len(q), step):
+            some = q[begin : begin + step]
             sims = x[some] @ y.T
             least = floor[some]
             if other == shard:
@@ -199,7 +216,12 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
             if not len(i):
                 continue
             rows = some[i]
-            best.add(rows, np.einsum("ij,ij->i", x64[rows], y[j].astype(np.float64)), other, a + j)
+            sim = np.empty(len(rows))
+            for c in range(0, len(rows), 1 << 14):
+                at = slice(c, c + (1 << 14))
+                sim[at] = np.einsum("ij,ij->i", x64[rows[at]], y[j[at]].astype(np.float64))
+            sim /= own.norms[rows] * found.norms[a + j]
+            best.add(rows, sim, other, a + j, found.order[a + j])
             new = rows[np.r_[True, rows[1:] != rows[:-1]]]
             full = new[best.sim[new, k - 1] > -2]
             limit[full] = np.arccos(np.clip(best.sim[full, k - 1], -1, 1)) / relax
@@ -334,7 +356,7 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     paths = {s: [p for p, _ in shared.list_files(spark, f"{path}/shard={s}")] for s in sorted({r["shard"] for r in balls})}
     number = {s: i for i, s in enumerate(paths)}
     return Trees(
-        points, np.array([r["node"] for r in balls]), np.array([number[r["shard"]] for r in balls]), np.array([r["radius"] for r in balls]) + 1e-6, dict(enumerate(paths.values()))
+        points, np.array([r["node"] for r in balls]), np.array([number[r["shard"]] for r in balls]), np.array([r["radius"] for r in balls]) + _SLACK, dict(enumerate(paths.values()))
     )
 
 
@@ -366,13 +388,13 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     found = shared.materialize(found, "similar")
     answered = found.select("id", "near")
     if not found.filter("many").isEmpty():
-        answered = answered.unionByName(_further_copies(raw, found.filter("many"), k, dim, kind))
+        answered = answered.unionByName(_further_copies(raw, found.filter("many").select("id", "near"), dim, kind))
     rows = answered.select("id", F.posexplode("near").alias("at", "x"))
     return rows.select(F.col("id").alias(id_col), (F.col("at") + 1).alias("place"), F.col("x.id").alias("neighbour"), F.col("x.similarity").alias("similarity"))
 
 
-def _further_copies(raw: DataFrame, listed: DataFrame, k: int, dim: int, kind: str) -> DataFrame:
-    """(id, near) of the copies beyond the k + 1 listed of a direction: each is nearest to the k smallest listed ids."""
+def _further_copies(raw: DataFrame, listed: DataFrame, dim: int, kind: str) -> DataFrame:
+    """(id, near) of the copies beyond the k + 1 listed of a direction: each has the answer of the last listed, which none of the first k of all that tie can be."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,7 +402,6 @@ def _further_copies(raw: DataFrame, listed: DataFrame, k: int, dim: int, kind: s
             yield pa.RecordBatch.from_arrays([ids, pa.array(g[:, 0]), pa.array(g[:, 1])], names=["id", "g1", "g2"])
 
     copies = raw.mapInArrow(digest, f"id {kind}, g1 long, g2 long").distinct()
-    known = copies.join(listed.select("id").distinct(), "id", "left_semi")
-    nearest = known.groupBy("g1", "g2").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k).alias("ids"))  # k + 1 ids at most
+    nearest = copies.join(listed, "id").groupBy("g1", "g2").agg(F.max_by("near", "id").alias("near"))  # k + 1 ids at most
     rest = copies.join(listed.select("id").distinct(), "id", "left_anti").join(nearest, ["g1", "g2"])
-    return rest.select("id", F.transform("ids", lambda x: F.struct(x.alias("id"), F.lit(1.0).alias("similarity"))).alias("near"))
+    return rest.select("id", "near")

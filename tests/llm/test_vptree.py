@@ -85,3 +85,16 @@ def test_pairs_of_the_test_table(spark, data):
 @pytest.mark.parametrize("n", [0, 1, 7])
 def test_fit_keeps_the_count(n):
     assert len(vptree.fit_vantage_points(np.eye(8, dtype=np.float32), n + 1)) == n + 1
+
+
+@pytest.mark.parametrize("shard_rows", [8192, 50])
+def test_many_scaled_copies_order_by_id(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(vptree, "SHARD_ROWS", shard_rows)
+    rng = np.random.default_rng(3)
+    hot = rng.normal(size=64)
+    scaled = [[float(x) for x in np.float32(hot * f)] for f in rng.uniform(0.1, 9, 150)]
+    names = [f"h{i:04d}" for i in rng.permutation(190)]
+    rows = clustered(300) + list(zip(names, scaled + [scaled[0]] * 40))  # some of them exact copies as well
+    got = found(spark, rows, relax=1.0)
+    first = sorted(names)
+    assert {n: got[n] for n in names} == {n: [x for x in first[:6] if x != n][:5] for n in names}
