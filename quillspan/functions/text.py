@@ -31,13 +31,8 @@ def present(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
 
 
-def tokens(c: Column) -> Column:
-    """Search tokens, in the JVM: equal to ``exact_tokens`` but for compatibility forms outside this folding."""
-    return F.regexp_extract_all(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit(TOKEN), F.lit(0))
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def exact_tokens(texts: pd.Series) -> pd.Series:
+def tokens(texts: pd.Series) -> pd.Series:
     """Search tokens after compatibility normalisation and full case folding."""
     find = re.compile(TOKEN).findall
     return texts.map(lambda t: None if t is None else find(unicodedata.normalize("NFKC", t).casefold()))
@@ -60,24 +55,25 @@ def capped(text: Column, limit: int = CHUNK_LIMIT) -> tuple[Column, Column]:
 
 
 def garble_ratio(text: Column) -> Column:
-    """One less the share of words of two letters or more that have a vowel; 1 without words."""
+    """One less the share of words of two letters or more that have one of the five vowels; 1 without words."""
     words = F.regexp_extract_all(text, F.lit("[A-Za-z]{2,}"), F.lit(0))
-    good = F.size(F.filter(words, lambda w: w.rlike("[aeiouyAEIOUY]")))
+    good = F.size(F.filter(words, lambda w: w.rlike("[aeiouAEIOU]")))
     return F.when(F.size(words) == 0, F.lit(1.0)).otherwise(1 - good / F.size(words))
 
 
-def roman_value(c: Column) -> Column:
-    """Value of a roman numeral by subtraction, letters outside IVXLCDM counting nothing; null if it has none."""
-    letters = F.split(F.upper(c), "")
-    table = F.create_map(*[F.lit(x) for pair in {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}.items() for x in pair])
-    value = lambda x: F.element_at(table, x)
-    values = F.filter(F.transform(letters, lambda x: F.coalesce(value(x), F.lit(0))), lambda v: v > 0)
-    total = F.aggregate(
-        F.reverse(values),
-        F.struct(F.lit(0).alias("sum"), F.lit(0).alias("last")),
-        lambda acc, v: F.struct(F.when(v < acc["last"], acc["sum"] - v).otherwise(acc["sum"] + v).alias("sum"), F.greatest(v, acc["last"]).alias("last")),
-    )["sum"]
-    return F.when(F.size(values) > 0, total)
+#: Values of the letters of roman numerals.
+_ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
+
+
+def roman_value(c: Column, least: int = 1, most: int | None = None) -> Column:
+    """Value of a roman numeral by subtraction; null with any other character, when empty, or outside ``least`` to ``most``."""
+    numeral = F.upper(c)
+    table = F.create_map(*[F.lit(x) for pair in _ROMAN.items() for x in pair])
+    values = F.transform(F.split(F.when(numeral.rlike(r"\A[IVXLCDM]+\z"), numeral), ""), lambda x: F.element_at(table, x))
+    # a letter smaller than one after it counts against the sum
+    signed = F.transform(values, lambda v, i: F.when(v < F.array_max(F.slice(values, i + 1, F.size(values))), -v).otherwise(v))
+    total = F.aggregate(signed, F.lit(0), lambda acc, v: acc + v)
+    return F.when(total.between(least, most if most is not None else 2**31 - 1), total)
 
 
 def strongs_key(c: Column, prefix: str) -> Column:

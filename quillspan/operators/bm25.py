@@ -11,10 +11,9 @@ from quillspan.operators.ordered import dense_ids
 K1, B = 1.5, 0.75
 
 
-def documents(df: DataFrame, id_col: str, text_col: str, exact: bool = False) -> DataFrame:
+def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, tokens, len): a row for every document, with no tokens too."""
-    got = tx.exact_tokens(F.col(text_col)) if exact else tx.tokens(F.col(text_col))
-    rows = df.select(F.col(id_col).alias("doc"), F.coalesce(got, F.array().cast("array<string>")).alias("tokens"))
+    rows = df.select(F.col(id_col).alias("doc"), F.coalesce(tx.tokens(F.col(text_col)), F.array().cast("array<string>")).alias("tokens"))
     return rows.withColumn("len", F.size("tokens"))
 
 

@@ -46,7 +46,7 @@ def compared(a: DataFrame, b: DataFrame, id_col: str, vector_col: str) -> DataFr
     y = b.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("_b"))
     both = x.join(y, F.col(id_col) == F.col("_id"))
     diff = F.array_max(F.zip_with("_a", "_b", lambda p, q: F.abs(p.cast("double") - q.cast("double"))))
-    cos = dot(F.col("_a"), F.col("_b")) / F.sqrt(dot(F.col("_a"), F.col("_a")) * dot(F.col("_b"), F.col("_b")))
+    cos = F.try_divide(dot(F.col("_a"), F.col("_b")), F.sqrt(dot(F.col("_a"), F.col("_a")) * dot(F.col("_b"), F.col("_b"))))  # null for a vector of zeros
     return both.agg(F.count("*").alias("n"), F.round(F.max(diff), 6).alias("max_abs_diff"), F.round(F.min(cos), 6).alias("min_cosine"))
 
 

@@ -8,6 +8,9 @@ verse number has a word.
 * reference bitmap: per table and month of the reference, the points its ends name;
 * parent bitmap: per month of loading, the points that live records cover.
 
+A record's span is masks for its first and last word and blocks of full words between, so its length costs
+nothing; blocks are looked up for the words that references name.
+
 reference AND-NOT (parents loaded in earlier months) leaves the points that can be missing, deleted or
 late in that month; the surviving bits are decoded by the ends that own them, and the state is settled
 exactly (a record of the same month may still precede the reference). An end in a range the
@@ -38,6 +41,8 @@ _MONTH = "yyyy-MM"
 #: Surviving words up to this number (some 30 MB) are broadcast to the ends; more are shuffled with them.
 BROADCAST_WORDS = 500_000
 _KEY = ("range_id", "word")
+#: Blocks of up to 2 ** 25 words hold every word of 32-bit numbers.
+_LEVELS = 26
 
 
 def _ends(df: DataFrame, table: str, key: Column, points: Column) -> DataFrame:
@@ -77,15 +82,60 @@ def reference_ends(edges: DataFrame, section: DataFrame) -> DataFrame:
     return edges.unionByName(proofs)
 
 
-def parent_points(verse: DataFrame) -> DataFrame:
-    """(book, chapter, verse, live_since): live_since is null where only withdrawn records cover the point."""
+def _mask(low: Column, high: Column) -> Column:
+    """The bits ``low`` to ``high`` of a word."""
+    run = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (63 - (high - low)).cast("int"))
+    return F.call_function("shiftleft", run, low.cast("int"))
+
+
+def parent_spans(verse: DataFrame) -> DataFrame:
+    """(book, chapter, first, last, since): distinct spans of records; since is null where only withdrawn records have it."""
     live = F.col("withdrawn_at").isNull()
     since = F.coalesce(F.col("loaded_at"), F.lit("0001-01-01").cast("timestamp").cast(verse.schema["loaded_at"].dataType))
-    rows = verse.select(book_id(F.col("book")).alias("book"), "chapter", "verse_start", F.coalesce("verse_end", "verse_start").alias("verse_end"), F.when(live, since).alias("since"))
-    # spans are spread word by word, not verse by verse, until they have become distinct
-    rows = rows.filter(F.col("verse_end") >= F.col("verse_start")).groupBy("book", "chapter", "verse_start", "verse_end").agg(F.min("since").alias("since"))
-    rows = rows.withColumn("verse", F.explode(F.sequence("verse_start", "verse_end")))
-    return rows.groupBy("book", "chapter", "verse").agg(F.min("since").alias("live_since"))
+    end = F.coalesce("verse_end", "verse_start")
+    rows = verse.select(book_id(F.col("book")).alias("book"), "chapter", F.col("verse_start").cast("int").alias("first"), end.cast("int").alias("last"), F.when(live, since).alias("since"))
+    return rows.filter(F.col("last") >= F.col("first")).groupBy("book", "chapter", "first", "last").agg(F.min("since").alias("since"))
+
+
+def span_masks(spans: DataFrame) -> DataFrame:
+    """(range_id, word, mask, since): the first and the last word of each span; distinct masks only, of which a word has 2,080 at most."""
+    first, last = _word(F.col("first")), _word(F.col("last"))
+    low, high = F.pmod("first", F.lit(64)), F.pmod("last", F.lit(64))
+    one = F.array(F.struct(first.alias("word"), _mask(low, high).alias("mask")))
+    two = F.array(F.struct(first.alias("word"), _mask(low, F.lit(63)).alias("mask")), F.struct(last.alias("word"), _mask(F.lit(0), high).alias("mask")))
+    rows = spans.select("range_id", "since", F.explode(F.when(first == last, one).otherwise(two)).alias("x"))
+    return rows.groupBy("range_id", "x.word", "x.mask").agg(F.min("since").alias("since"))
+
+
+def span_runs(spans: DataFrame) -> DataFrame:
+    """(range_id, level, block, since): the full words between a span's first and last, as blocks of 2 ** level words.
+
+    However long a span is, it has two blocks a level at most, and 26 levels hold all words.
+    """
+    begin, end = _word(F.col("first")).cast("long") + 1, _word(F.col("last")).cast("long")
+
+    def blocks(level: Column) -> Column:
+        a = F.call_function("shiftright", begin + F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1, level)
+        b = F.call_function("shiftright", end, level)
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        ends = F.array(F.when((a < b) & odd(a), a), F.when((a < b) & odd(b), b - 1))
+        return F.transform(F.array_compact(ends), lambda x: F.struct(level.alias("level"), x.alias("block")))
+
+    rows = spans.filter(end > begin).select("range_id", "since", F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_LEVELS - 1)), blocks))).alias("x"))
+    return rows.groupBy("range_id", "x.level", "x.block").agg(F.min("since").alias("since"))
+
+
+def parent_words(spans: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(range_id, word, mask, since) of parents; of long spans only the ``wanted`` words (range_id, word) between their ends."""
+    masks = span_masks(spans)
+    runs = span_runs(spans)
+    levels = [r["level"] for r in runs.select("level").distinct().collect()]  # 26 rows at most
+    if not levels:
+        return masks
+    level = F.explode(F.array(*[F.lit(n) for n in sorted(levels)]))
+    asked = wanted.select("range_id", "word", level.alias("level")).withColumn("block", F.call_function("shiftright", F.col("word").cast("long"), F.col("level")))
+    inside = asked.join(runs, ["range_id", "level", "block"]).select("range_id", "word", F.lit(-1).cast("long").alias("mask"), "since")
+    return masks.unionByName(inside).groupBy("range_id", "word", "mask").agg(F.min("since").alias("since"))
 
 
 def key_ranges(points: DataFrame) -> DataFrame:
@@ -107,11 +157,10 @@ def reference_bitmaps(ends: DataFrame) -> DataFrame:
     return ends.groupBy("ref_table", "ref_month", *_KEY).agg(F.bit_or("bit").alias("bits"))
 
 
-def parent_bitmaps(points: DataFrame) -> DataFrame:
+def parent_bitmaps(words: DataFrame) -> DataFrame:
     """(range_id, word, since, bits): the live points first loaded in each month."""
-    rows = points.filter(F.col("live_since").isNotNull())
-    rows = rows.select("range_id", _word(F.col("verse")).alias("word"), F.date_format("live_since", _MONTH).alias("since"), _bit(F.col("verse")).alias("bit"))
-    return rows.groupBy(*_KEY, "since").agg(F.bit_or("bit").alias("bits"))
+    live = words.filter(F.col("since").isNotNull())
+    return live.groupBy(*_KEY, F.date_format("since", _MONTH).alias("since")).agg(F.bit_or("mask").alias("bits"))
 
 
 def surviving(refs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -125,22 +174,27 @@ def surviving(refs: DataFrame, parents: DataFrame) -> DataFrame:
 
 def orphans(crossref: DataFrame, section: DataFrame, verse: DataFrame) -> DataFrame:
     """(ref_table, row_key, point, state, ref_month): one row for each distinct missing end of a reference."""
-    points = parent_points(verse)
-    ranges = key_ranges(points)
-    points = points.join(ranges, ["book", "chapter"]).select("range_id", "verse", "live_since")
+    spans = parent_spans(verse)
+    ranges = key_ranges(spans)
+    spans = spans.join(ranges, ["book", "chapter"])
     edges = shared.materialize(last_delivery(crossref), "edges")
     ends = reference_ends(edges, section).join(ranges, ["book", "chapter"], "left")
     ends = ends.withColumns({"ref_month": F.date_format("loaded_at", _MONTH), "word": _word(F.col("verse")), "bit": _bit(F.col("verse"))})
     encoded = ends.filter(F.col("range_id").isNotNull())
-    left = shared.materialize(surviving(reference_bitmaps(encoded), parent_bitmaps(points)), "orphan-words")
+    bitmaps = reference_bitmaps(encoded)
+    words = parent_words(spans, bitmaps.select(*_KEY).distinct())
+    left = shared.materialize(surviving(bitmaps, parent_bitmaps(words)), "orphan-words")
     masks = left.select(*[F.col(c).alias(f"mask_{c}") for c in left.columns])
     masks = F.broadcast(masks) if left.count() <= BROADCAST_WORDS else masks
     owns = F.col("bit").bitwiseAND(F.col("mask_bits")) != 0
     for c in ("ref_table", "range_id", "word"):
         owns = owns & (F.col(c) == F.col(f"mask_{c}"))
     owns = owns & F.col("ref_month").eqNullSafe(F.col("mask_ref_month"))
-    hits = encoded.join(masks, owns, "left_semi").join(points.withColumn("held", F.lit(True)), ["range_id", "verse"], "left")
-    state = F.when(F.col("held").isNull(), "missing").when(F.col("live_since").isNull(), "deleted").when(F.col("live_since") > F.col("loaded_at"), "late")
+    held = words.groupBy(*_KEY).agg(F.collect_list(F.struct("mask", "since")).alias("held"))  # 2,081 masks at most
+    hits = encoded.join(masks, owns, "left_semi").join(held, list(_KEY), "left")
+    covering = F.filter(F.coalesce("held", F.array()), lambda x: x["mask"].bitwiseAND(F.col("bit")) != 0)
+    hits = hits.withColumns({"covered": F.size(covering) > 0, "live_since": F.array_min(F.transform(covering, lambda x: x["since"]))})
+    state = F.when(~F.col("covered"), "missing").when(F.col("live_since").isNull(), "deleted").when(F.col("live_since") > F.col("loaded_at"), "late")
     out = ["ref_table", "row_key", "book", "chapter", "verse", "state", "ref_month"]
     found = hits.withColumn("state", state).filter(F.col("state").isNotNull()).select(*out)
     outside = ends.filter(F.col("range_id").isNull()).withColumn("state", F.lit("missing")).select(*out)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +56,7 @@ def type_source_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return bm25.documents(table(spark, d, "documents"), "doc_id", "text", exact=True)
+    return bm25.documents(table(spark, d, "documents"), "doc_id", "text")
 
 
 def doc_token_lengths(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +77,7 @@ def bm25_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def scoped_bm25_stats(spark: SparkSession, d: str) -> DataFrame:
     scope = packaging.scoped(table(spark, d, "documents"), "resource_type", ["sermon", "letter"], ["doc_id"])
-    return bm25.stats(bm25.documents(scope, "doc_id", "text", exact=True))
+    return bm25.stats(bm25.documents(scope, "doc_id", "text"))
 
 
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -90,13 +93,13 @@ def dense_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hybrid_topk(spark: SparkSession, d: str) -> DataFrame:
-    lexical = bm25.scored(_docs(spark, d), list(QUERY)).orderBy(c("score").desc(), "doc").limit(50)
-    shorter = _docs(spark, d).join(lexical.select("doc"), "doc", "left_semi").orderBy("len", "doc").limit(50)
+    """Fusion of the 50 best documents by BM25 with the 50 nearest vectors; a document and a vector of one number are one item."""
     from pyspark.sql import Window
 
-    a = lexical.withColumn("rank", F.row_number().over(Window.orderBy(c("score").desc(), "doc")))  # 50 rows
-    b = shorter.withColumn("rank", F.row_number().over(Window.orderBy("len", "doc")))  # 50 rows
-    return bm25.fused([a, b], "doc", "rank").select(c("doc").alias("doc_id"), "score")
+    ranked = lambda rows: rows.withColumn("rank", F.row_number().over(Window.orderBy(c("score").desc(), "doc")))  # noqa: E731 - 50 rows
+    lexical = bm25.scored(_docs(spark, d), list(QUERY)).orderBy(c("score").desc(), "doc").limit(50)
+    near = dense.top_k(table(spark, d, "embeddings"), "vec_id", "embedding", _query_vector(spark, d), 50).withColumnRenamed("vec_id", "doc")
+    return bm25.fused([ranked(lexical), ranked(near)], "doc", "rank").select(c("doc").alias("doc_id"), "score")
 
 
 def vector_lengths(spark: SparkSession, d: str) -> DataFrame:
@@ -104,9 +107,12 @@ def vector_lengths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def determinism(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "embeddings").select("vec_id", "embedding")
-    sample = ordered.strided_sample(rows, ["vec_id"], 400)
-    return dense.compared(sample, rows, "vec_id", "embedding")
+    """A stored encoding of all documents against a second one of a sample, made in other batches."""
+    rows = table(spark, d, "documents").filter(c("text").isNotNull()).select("doc_id", "text")
+    stored = shared.materialize(incremental.encoded(rows, "doc_id", "text", incremental.HashingEncoder, batch=64), "encoded")
+    sample = ordered.strided_sample(rows, ["doc_id"], 400)
+    again = incremental.encoded(sample, "doc_id", "text", incremental.HashingEncoder, batch=7)
+    return dense.compared(again, stored, "doc_id", "vector")
 
 
 def incremental_partition(spark: SparkSession, d: str) -> DataFrame:
@@ -238,7 +244,7 @@ def smoke_query(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vector_blobs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").select("vec_id", F.octet_length(tx.vector_bytes("embedding")).cast("long").alias("n_bytes"))
+    return table(spark, d, "embeddings").select("vec_id", F.lower(F.hex(tx.vector_bytes("embedding"))).alias("bytes"))
 
 
 QUERIES = {
@@ -265,8 +271,32 @@ def _strip(x: str) -> str:
     return f"regexp_replace({x}, {_SPACE}, '', 'g')"
 
 
-_TOKENS = "regexp_extract_all(replace(lower(coalesce(text, '')), 'ß', 'ss'), '[a-z0-9]+(?:''[a-z0-9]+)*')"
-_DOCS = "docs AS (SELECT doc_id, {t} AS tokens FROM documents {{w}})".format(t=_TOKENS)
+
+
+def _forms() -> list[tuple[str, str]]:
+    """Characters that compatibility normalisation turns into others, as far as letters, digits and apostrophes of search tokens come of it."""
+    every = (chr(n) for n in range(128, 0x110000) if unicodedata.decomposition(chr(n)).startswith("<"))
+    pairs = ((ch, unicodedata.normalize("NFKC", ch)) for ch in every)
+    return [(ch, form) for ch, form in pairs if re.search("[a-z0-9']", form.casefold())]
+
+
+def _folded(x: str) -> str:
+    """Case folding where it gives letters of search tokens and lower case does not."""
+    for n in range(128, 0x3000):
+        ch = chr(n)
+        if unicodedata.normalize("NFKC", ch) == ch and re.search("[a-z]", ch.casefold()):
+            x = f"replace({x}, chr({n}), {' || '.join(f'chr({ord(y)})' for y in ch.casefold())})"
+    return f"lower({x})"
+
+
+# NFKC in SQL: characters one by one by a table of their forms, then canonical composition
+_DOCS = """forms(c, form) AS (VALUES {forms}),
+raw AS (SELECT doc_id, coalesce(text, '') AS t FROM documents {{w}}),
+odd AS (SELECT doc_id, unnest(regexp_extract_all(t, '(?s).')) AS c, generate_subscripts(regexp_extract_all(t, '(?s).'), 1) AS i FROM raw WHERE regexp_matches(t, '[^\\x00-\\x7f]')),
+formed AS (SELECT doc_id, string_agg(coalesce(form, c), '' ORDER BY i) AS t FROM odd LEFT JOIN forms USING (c) GROUP BY doc_id),
+docs AS (SELECT doc_id, regexp_extract_all({folded}, '[a-z0-9]+(?:''[a-z0-9]+)*') AS tokens FROM raw LEFT JOIN formed USING (doc_id))""".format(
+    forms=", ".join(f"(chr({ord(ch)}), {' || '.join(f'chr({ord(y)})' for y in form)})" for ch, form in _forms()), folded=_folded("nfc_normalize(coalesce(formed.t, raw.t))")
+)
 _STATS = """, a AS (SELECT count(*) AS n, coalesce(sum(len(tokens)), 0) AS total FROM docs), vo AS (SELECT count(DISTINCT t) AS vocab FROM (SELECT unnest(tokens) AS t FROM docs))
   SELECT 'n_docs' AS key, n::DOUBLE AS value FROM a UNION ALL SELECT 'avgdl', round(total::DOUBLE / n, 6) FROM a UNION ALL SELECT 'total_tokens', total::DOUBLE FROM a
   UNION ALL SELECT 'vocab_size', vocab::DOUBLE FROM vo UNION ALL SELECT 'k1', 1.5::DOUBLE UNION ALL SELECT 'b', 0.75::DOUBLE"""
@@ -287,15 +317,15 @@ _MADE = "sha256(substr(whole, 1, 6000)) AS text_checksum, length(whole) > 6000 A
 _SCORES = """, q AS (SELECT doc_id, len(tokens) AS dl, unnest(tokens) AS term FROM docs), tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM q WHERE term IN ('covenant', 'river', 'mercy') GROUP BY ALL),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL), s AS (SELECT count(*) AS n, avg(len(tokens)) AS avgdl FROM docs),
   sc AS (SELECT doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))), 6) AS score FROM tf JOIN df USING (term), s GROUP BY ALL)"""
-_GARBLE = "CASE WHEN len(w) = 0 THEN 1.0::DOUBLE ELSE 1 - len(list_filter(w, lambda x: regexp_matches(x, '[aeiouyAEIOUY]')))::DOUBLE / len(w) END"
+_GARBLE = "CASE WHEN len(w) = 0 THEN 1.0::DOUBLE ELSE 1 - len(list_filter(w, lambda x: regexp_matches(x, '[aeiouAEIOU]')))::DOUBLE / len(w) END"
 _RATIO = "r AS (SELECT doc_id, round(" + _GARBLE + ", 6) AS ratio FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]{2,}') AS w FROM documents WHERE text IS NOT NULL))"
 _DEVIATIONS = """spine AS (SELECT book, chapter, max(verse_end) AS n FROM verse GROUP BY ALL), t AS (SELECT DISTINCT translation FROM verse),
   g AS (SELECT translation, book, chapter, max(verse_end) AS got FROM verse GROUP BY ALL),
   dev AS (SELECT t.translation, s.book, s.chapter, s.n AS expected, coalesce(g.got, 0) AS got FROM spine s CROSS JOIN t LEFT JOIN g ON g.translation = t.translation AND g.book = s.book AND g.chapter = s.chapter WHERE coalesce(g.got, 0) <> s.n)"""
 _KEY = "trim(regexp_replace(regexp_replace(lower(regexp_replace({}, '\\([^()]*[0-9]+\\s*[:.]\\s*[0-9]+[^()]*\\)', ' ', 'g')), '[^a-z]+', ' ', 'g'), ' +', ' ', 'g'))"
 SQL = {
-    "versification": f"""SELECT DISTINCT translation, book, chapter, verse_start AS verse, 'the title is numbered as verse 1' AS note FROM verse
-      WHERE translation = (SELECT min(translation) FROM verse) AND book = 'HYM' AND verse_start = 1 AND chapter BETWEEN 1 AND 150 AND chapter NOT IN ({', '.join(map(str, sorted(refs.UNTITLED)))})""",
+    "versification": """SELECT DISTINCT translation, book, chapter, verse_start AS verse, 'the title is numbered as verse 1' AS note FROM verse
+      WHERE translation = (SELECT min(translation) FROM verse) AND book = 'HYM' AND verse_start = 1 AND chapter IN (SELECT unnest(generate_series(1, 145)) EXCEPT SELECT unnest([1, 2, 10, 33, 43, 71, 91, 99, 135, 136, 137] || generate_series(93, 97) || generate_series(104, 107) || generate_series(111, 119)))""",
     "prose_crosscheck": f"""WITH a AS (SELECT document AS source, key, array_to_string(list_slice(string_split({_KEY.format("text")}, ' '), 1, 14), ' ') AS f FROM section), b AS (SELECT source, key, {_KEY.format("text")} AS o FROM chunk WHERE resource_type = 'confession'),
       j AS (SELECT a.source, a.key, bool_or(contains(o, f)) AS agrees FROM a JOIN b ON a.source = b.source AND a.key = b.key GROUP BY ALL) SELECT source, agrees, count(*) AS n FROM j GROUP BY ALL""",
     "quoted_anchors": "SELECT doc_id, url_encode(anchor) AS url, substr(coalesce(text, ''), 1, 70) AS preview FROM documents WHERE anchor IS NOT NULL",
@@ -304,7 +334,8 @@ SQL = {
         CASE WHEN len(proof_texts) > 0 THEN '[' || array_to_string(list_transform(proof_texts, lambda p: '{"book":"' || p.book || '","chapter":' || p.chapter || coalesce(',"verse_end":' || p.verse_end, '') || ',"verse_start":' || p.verse_start || '}'), ',') || ']' END AS proofs FROM r""",
     "smoke_query": """WITH t AS (SELECT vec_id, label, round(list_inner_product(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS s FROM embeddings ORDER BY s DESC, vec_id LIMIT 5)
       SELECT 'vector 0' AS query, bool_or(label = (SELECT label FROM embeddings WHERE vec_id = 0)) AS passed, count(*) AS n_hits FROM t""",
-    "vector_blobs": "SELECT vec_id, (len(embedding) * 4)::BIGINT AS n_bytes FROM embeddings",
+    "vector_blobs": """WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: printf('%08x', x::FLOAT::BIT::BIGINT)) AS w FROM embeddings)
+      SELECT vec_id, array_to_string(list_transform(w, lambda x: substr(x, 7, 2) || substr(x, 5, 2) || substr(x, 3, 2) || substr(x, 1, 2)), '') AS bytes FROM w""",
     "chunk_ids": f"""WITH r AS (SELECT doc_id, coalesce(source, '') AS source, {_strip('text')} AS whole FROM documents WHERE text IS NOT NULL), x AS (SELECT *, {_MADE} FROM r)
       SELECT doc_id, {_id("'document'", 'source', 'doc_id', 'text_checksum')} AS id, text_checksum, truncated FROM x""",
     "skip_reasons": f"""SELECT doc_id, CASE WHEN text IS NULL THEN 'null text' WHEN text = '' THEN 'empty text' WHEN {_strip('text')} = '' THEN 'blank text' WHEN length(text) > 6000 THEN 'over the limit' ELSE 'kept' END AS reason FROM documents""",
@@ -319,18 +350,18 @@ SQL = {
       UNION ALL SELECT 'commentary', whole <> '', length(whole) > 6000 FROM co UNION ALL SELECT 'confession', body <> '', length(whole) > 6000 FROM se)
       SELECT resource_type, count(*) FILTER (WHERE kept) AS n_chunks, count(*) FILTER (WHERE kept AND t) AS n_truncated, count(*) FILTER (WHERE NOT kept) AS n_skipped FROM e GROUP BY ALL""",
     "type_source_counts": "SELECT resource_type, source, count(*) AS n FROM (SELECT DISTINCT id, resource_type, source FROM chunk) GROUP BY ALL",
-    "doc_token_lengths": f"SELECT doc_id, len({_TOKENS}) AS n_tokens FROM documents",
+    "doc_token_lengths": f"WITH {_DOCS.format(w='')} SELECT doc_id, len(tokens) AS n_tokens FROM docs",
     "bm25_postings": f"WITH {_DOCS.format(w='')} SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM docs) GROUP BY ALL",
     "bm25_terms": f"WITH {_DOCS.format(w='')}, t AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(tokens) AS term FROM docs) GROUP BY ALL) SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS term_id FROM t",
     "bm25_stats": f"WITH {_DOCS.format(w='')}{_STATS}",
     "scoped_bm25_stats": f"WITH {_DOCS.format(w=chr(10) + 'WHERE resource_type IN (' + repr('sermon') + ', ' + repr('letter') + ')')}{_STATS}",
     "bm25_topk": f"WITH {_DOCS.format(w='')}{_SCORES} SELECT doc_id, score FROM sc ORDER BY score DESC, doc_id LIMIT 10",
-    "hybrid_topk": f"""WITH {_DOCS.format(w='')}{_SCORES}, l AS (SELECT doc_id, score FROM sc ORDER BY score DESC, doc_id LIMIT 50),
-      a AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM l), b AS (SELECT doc_id, row_number() OVER (ORDER BY len(tokens), doc_id) AS rank FROM docs WHERE doc_id IN (SELECT doc_id FROM l))
-      SELECT doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY ALL""",
+    "hybrid_topk": f"""WITH {_DOCS.format(w='')}{_SCORES}, near AS (SELECT vec_id AS doc_id, round(list_inner_product(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS score FROM embeddings),
+      a AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM sc), b AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM near)
+      SELECT doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT * FROM a WHERE rank <= 50 UNION ALL SELECT * FROM b WHERE rank <= 50) GROUP BY ALL""",
     "dense_topk": """SELECT vec_id, round(list_inner_product(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 5""",
     "vector_lengths": """SELECT resource_type, count(*) AS n FROM (SELECT DISTINCT id, resource_type FROM chunk) c JOIN (SELECT DISTINCT chunk_id, vector FROM embedding WHERE len(vector) = 64) e ON c.id = e.chunk_id GROUP BY ALL""",
-    "determinism": """WITH n AS (SELECT embedding, row_number() OVER (ORDER BY vec_id) - 1 AS i, count(*) OVER () AS n FROM embeddings)
+    "determinism": """WITH n AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n, length(trim(text)) > 0 AS some FROM documents WHERE text IS NOT NULL)
       SELECT count(*) AS n, 0.0::DOUBLE AS max_abs_diff, 1.0::DOUBLE AS min_cosine FROM n WHERE i % greatest(1, n // 400) = 0 AND i // greatest(1, n // 400) < 400""",
     "incremental_partition": f"""WITH r AS (SELECT doc_id, coalesce(source, '') AS s, text FROM documents WHERE text IS NOT NULL),
       p AS (SELECT DISTINCT {_id("'document'", 's', 'doc_id', 'sha256(text)')} AS id FROM r WHERE doc_id % 3 <> 0),

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspan import shared
+
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     """(path, text): every file as one string, a byte-order mark off."""
@@ -114,8 +116,5 @@ def sqlite_table(spark: SparkSession, path: str, query: str, schema: str) -> Dat
 
 
 def prior_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame | None:
-    """Stored vectors of the right length, or None where there are none to be read."""
-    try:
-        return spark.read.parquet(path).filter(F.size("vector") == dim)
-    except Exception:  # noqa: BLE001 - whatever the reason, there is no prior to use
-        return None
+    """Stored vectors of the right length, or None where the path holds nothing. Any other failure is raised: it must not cost a full encoding."""
+    return spark.read.parquet(path).filter(F.size("vector") == dim) if shared.exists(spark, path) else None

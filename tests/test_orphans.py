@@ -78,3 +78,20 @@ def test_survivors_beyond_the_bound_are_shuffled(spark, verses, monkeypatch):
     want = found(spark, edges, [], verses)
     monkeypatch.setattr(orphans, "BROADCAST_WORDS", 0)
     assert found(spark, edges, [], verses) == want and len(want) == 3
+
+
+def test_spans_of_any_length(spark):
+    rows = [("a", "GEN", 1, 1, 2_000_000_000, T(2020), None), ("a", "GEN", 2, 60, 70, T(2020), None), ("a", "GEN", 3, 10, 700, T(2020), T(2021)), ("a", "GEN", 3, 100, 300, T(2023), None)]
+    verses = spark.createDataFrame(rows, VERSE)
+    points = [(1, v) for v in (0, 1, 63, 64, 127, 128, 1_000_000, 1_999_999_999, 2_000_000_000, 2_000_000_001)] + [(2, v) for v in (59, 60, 63, 64, 70, 71)]
+    points += [(3, v) for v in (9, 10, 63, 64, 99, 100, 127, 128, 191, 192, 300, 301, 640, 700, 701)]
+    edges = [edge(i, ("GEN", c, v)) for i, (c, v) in enumerate(points)]
+    got = {k: s for _, k, _, s, _ in found(spark, edges, [], verses)}
+    want = {}
+    for i, (c, v) in enumerate(points):
+        over = [r for r in rows if r[2] == c and r[3] <= v <= r[4]]
+        live = [r[5] for r in over if r[6] is None]
+        state = "missing" if not over else "deleted" if not live else "late" if min(live) > T(2022, 6) else None
+        if state:
+            want[str(i)] = state
+    assert got == want
