@@ -1,34 +1,44 @@
 """The N best items of every group, with files clustered by group and row groups skipped by their statistics.
 
-1. Rows are range-partitioned by (group, item): files are clustered by group, and a group that
-   holds a third of all rows is spread over as many files as it needs. Repeated deliveries of an
-   item meet in one partition, where the last one is kept without a further exchange.
-2. Each partition is sorted by (group, score descending, tie order) and written with small row groups.
-3. A task per few files reads the footers and takes the row groups in descending maximum score.
-   A row group that holds one group only is skipped if its maximum lies strictly below that group's
-   current N-th score; equal maxima are read, as the tie order may still decide. The current N-th
-   score begins with what all footers together prove: a row group of one group with N or more rows
-   and minimum m shows that the N-th score is m or more. Only a file's first and last group can lie
-   in other files too, so each file is told of these only.
+1. The last delivery of every item is settled first, whatever groups its deliveries name.
+2. Rows are then clustered by group into files, whose number follows the bytes. A group with more than a share
+   of all rows (``HOT_SHARE``, so 1 / share groups at most) is spread over as many files as it fills.
+   Within a file, groups of about the same size (a power of two of rows) lie together, their rows by
+   descending score, in small row groups: a row group holds one layer of scores of many small groups, or of a large one.
+3. A task per file takes the row groups in descending maximum score. Of each the group column alone is
+   read first; if the row group's maximum lies strictly below the current N-th score of every group in it, the rest is
+   skipped. Equal maxima are read, as the tie order may still decide. For groups spread over several files the current N-th score
+   begins with what all footers together prove: a row group of one group with N or more rows and minimum m shows that
+   the N-th score is m or more.
 4. The tasks' partial results, at most N rows for each group and file, meet in one small window.
 
-Defined results: rows with a null score take no part; a null in a group column is a value like any
-other; tie columns order as given, nulls last; exact repeats of a row count once; of two deliveries with
-the same time the higher score counts; an empty table gives no rows; other columns are not read.
+Scores, ties and items keep their types; any type with an order will do. Defined results: a row with a null or NaN
+score takes no part; a NaN tie is a null one; a null in a group column is a value like any other; rows without an item have one
+delivery each; tie columns order as given, nulls last; exact repeats of a row count once; of two deliveries with
+the same time the higher score counts, then the first tie, then the first group; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspan import shared
 
-ROW_GROUP_ROWS = 4096
+ROW_GROUP_ROWS = 1024
+#: Bytes of input for one clustered file.
+FILE_BYTES = 128 << 20
+#: Least share of all rows from which a group is spread over several files.
+HOT_SHARE = 1e-4
+#: Candidates held by a task before they are cut to the N best of each group.
+_HELD = 1 << 20
+_ORDER = [("grp", "ascending"), ("score", "descending"), ("tie", "ascending"), ("item", "ascending")]
 
 
 def _group_key(columns: list[Column]) -> Column:
@@ -37,86 +47,179 @@ def _group_key(columns: list[Column]) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def _selected(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
-    """The first n rows of each group of a frame sorted within groups."""
-    return pdf[pdf.groupby("grp", sort=False).cumcount() < n]
+def _within(codes: np.ndarray) -> np.ndarray:
+    """How many equal codes stand before each."""
+    order = np.argsort(codes, kind="stable")
+    first = np.flatnonzero(np.r_[True, codes[order][1:] != codes[order][:-1]]) if len(codes) else np.zeros(0, np.int64)
+    out = np.empty(len(codes), np.int64)
+    out[order] = np.arange(len(codes)) - np.repeat(first, np.diff(np.r_[first, len(codes)]))
+    return out
 
 
-def _ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["grp", "score", "tie", "item"], ascending=[True, False, True, True], na_position="last", kind="stable")
+def _best(table: pa.Table, n: int) -> pa.Table:
+    """The first n rows of each group."""
+    table = table.combine_chunks().take(pc.sort_indices(table, sort_keys=_ORDER, null_placement="at_end"))
+    codes = pc.rank(table.column("grp"), tiebreaker="min").to_numpy()
+    return table.filter(pa.array(_within(codes) < n))
 
 
-def top_of_file(path: str, n: int, floor: dict[str, int], skipped: list[int] | None = None) -> Iterator[pd.DataFrame]:
+class _Groups:
+    """The N best scores seen of every group of a file."""
+
+    def __init__(self, n: int, floor: dict[str, object], kind: pa.DataType) -> None:
+        self.n, self.code, self.floor = n, {}, floor
+        self.dtype = np.int64 if pa.types.is_integer(kind) else np.float64 if pa.types.is_floating(kind) else object
+        self.none = {np.int64: np.iinfo(np.int64).min, np.float64: -np.inf}.get(self.dtype)
+        self.have = np.zeros(1024, np.int64)
+        self.best = np.full((1024, n), self.none, self.dtype)  # in descending order
+        self.full, self.nth = np.zeros(1024, bool), np.full(1024, self.none, self.dtype)
+
+    def codes(self, names: list[str]) -> np.ndarray:
+        out = np.empty(len(names), np.int64)
+        for i, name in enumerate(names):
+            at = self.code.get(name)
+            if at is None:
+                at = self.code[name] = len(self.code)
+                if at == len(self.have):
+                    self.have, self.full = np.r_[self.have, np.zeros(at, np.int64)], np.r_[self.full, np.zeros(at, bool)]
+                    self.best = np.concatenate([self.best, np.full((at, self.n), self.none, self.dtype)])
+                    self.nth = np.r_[self.nth, np.full(at, self.none, self.dtype)]
+                if name in self.floor:
+                    self.full[at], self.nth[at] = True, self.floor[name]
+            out[i] = at
+        return out
+
+    def above(self, codes: np.ndarray, top: object) -> bool:
+        """Whether the N-th score of all these groups lies strictly above ``top``."""
+        return bool(self.full[codes].all()) and bool((self.nth[codes] > top).all())
+
+    def _merge(self, of: np.ndarray, values: np.ndarray) -> None:
+        groups, row = np.unique(of, return_inverse=True)
+        if self.dtype is object:
+            lists = [[x for x in self.best[g] if x is not None] for g in groups]
+            for r, v in zip(row, values):
+                lists[r].append(v)
+            for g, found in zip(groups, lists):
+                found = sorted(found, reverse=True)[: self.n]
+                self.best[g, : len(found)] = found
+        else:
+            order = np.lexsort((-values if self.dtype is np.float64 else ~values, row))
+            row, values = row[order], values[order]
+            place = _within(row)
+            first = place < self.n
+            both = np.full((len(groups), 2 * self.n), self.none, self.dtype)
+            both[:, : self.n] = self.best[groups]
+            both[row[first], self.n + place[first]] = values[first]
+            self.best[groups] = np.sort(both, 1)[:, : self.n - 1 : -1]
+        np.add.at(self.have, of, 1)
+        done = groups[self.have[groups] >= self.n]
+        last = self.best[done, self.n - 1]
+        higher = ~self.full[done]
+        higher[~higher] = last[~higher] > self.nth[done[~higher]]
+        self.full[done[higher]], self.nth[done[higher]] = True, last[higher]
+
+    def candidates(self, of: np.ndarray, scores: pa.Array) -> np.ndarray:
+        """Which rows may be among the N best of their groups."""
+        values = scores.to_numpy(zero_copy_only=False).astype(self.dtype) if self.dtype is not object else np.array([*scores.to_pylist(), None], object)[:-1]
+        self._merge(of, values)
+        keep = ~self.full[of]
+        full = np.flatnonzero(~keep)
+        keep[full] = values[full] >= self.nth[of[full]]
+        return keep
+
+
+def _footer(meta) -> list[tuple[int, str | None, object, object, int]]:
+    """(row group, its group if it has one only, least and greatest score, rows)."""
+    where = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
+    out = []
+    for i in range(meta.num_row_groups):
+        g, s = (meta.row_group(i).column(where[c]).statistics for c in ("grp", "score"))
+        low, top = (s.min, s.max) if s is not None and s.has_min_max else (None, None)
+        out.append((i, g.min if g is not None and g.has_min_max and g.min == g.max else None, low, top, meta.row_group(i).num_rows))
+    return out
+
+
+def top_of_file(path: str, n: int, floor: dict[str, object], skipped: list[int] | None = None) -> Iterator[pa.RecordBatch]:
     """Rows of one clustered file that hold the n best of each of its groups."""
-    import pyarrow as pa
     import pyarrow.parquet as pq
 
     fs, name = shared.open_file(path)
-    nth: dict[str, int] = dict(floor)
-    best: dict[str, pd.DataFrame] = {}
+    held: list[pa.Table] = []
+    size = 0
     with fs.open_input_file(name) as f:
-        table = pq.ParquetFile(f)
-        meta, names = table.metadata, table.schema_arrow.names
-        g, s = names.index("grp"), names.index("score")
-        order = []
-        for i in range(meta.num_row_groups):
-            gs, ss = meta.row_group(i).column(g).statistics, meta.row_group(i).column(s).statistics
-            one = gs is not None and gs.has_min_max and gs.min == gs.max
-            top = ss.max if ss is not None and ss.has_min_max else None
-            order.append((-(top if top is not None else 2**63), i, gs.min if one else None, top))
-        for _, i, group, top in sorted(order, key=lambda x: x[:2]):
-            if group is not None and top is not None and group in nth and top < nth[group]:
+        file = pq.ParquetFile(f, read_dictionary=["grp"])
+        groups = _Groups(n, floor, file.schema_arrow.field("score").type)
+        tops = [(i, top) for i, _, _, top, _ in _footer(file.metadata)]
+        tops = [x for x in tops if x[1] is None] + sorted((x for x in tops if x[1] is not None), key=lambda x: x[1], reverse=True)
+        for i, top in tops:
+            names = file.read_row_group(i, columns=["grp"]).column("grp").combine_chunks()
+            names = names.chunk(0) if isinstance(names, pa.ChunkedArray) else names
+            of = groups.codes(names.dictionary.to_pylist())[names.indices.to_numpy()]
+            if top is not None and groups.above(of, top):
                 if skipped is not None:
                     skipped.append(i)
                 continue
-            pdf = _selected(table.read_row_group(i).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get), n)
-            if group is None:
-                yield pdf
-                continue
-            if group in best:
-                pdf = _ordered(pd.concat([best[group], pdf])).head(n)
-            best[group] = pdf
-            if len(pdf) == n:
-                nth[group] = max(nth.get(group, int(pdf["score"].iloc[-1])), int(pdf["score"].iloc[-1]))
-    yield from best.values()
+            rest = file.read_row_group(i, columns=["item", "score", "tie"]).combine_chunks()
+            keep = groups.candidates(of, rest.column("score").combine_chunks())
+            held.append(pa.table({"grp": names.cast(pa.string()), **{c: rest.column(c) for c in ("item", "score", "tie")}}).filter(pa.array(keep)))
+            size += len(held[-1])
+            if size > _HELD:
+                held = [_best(pa.concat_tables(held), n)]
+                size = len(held[0])
+    if size:
+        yield from _best(pa.concat_tables(held), n).combine_chunks().to_batches()
 
 
-def _boundary_floors(path: str, n: int) -> Iterator[tuple[str, str, int | None]]:
-    """(path, group, proven score) of the file's first and last group: no other group lies in several files."""
+def _proved(path: str, n: int, kind: pa.DataType) -> pa.RecordBatch:
+    """(path, grp, low): what the row groups of one group alone prove of their group's N-th score."""
     import pyarrow.parquet as pq
 
     fs, name = shared.open_file(path)
     with fs.open_input_file(name) as f:
-        meta = pq.ParquetFile(f).metadata
-    where = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
-    groups = meta.num_row_groups
-    stats = [(meta.row_group(i).column(where["grp"]).statistics, meta.row_group(i).column(where["score"]).statistics, meta.row_group(i).num_rows) for i in range(groups)]
-    stats = [(g, s, k) for g, s, k in stats if g is not None and g.has_min_max]
-    if not stats:
-        return
-    low: dict[str, int | None] = {stats[0][0].min: None, stats[-1][0].max: None}
-    for g, s, k in stats:
-        if g.min == g.max and g.min in low and k >= n and s is not None and s.has_min_max:
-            low[g.min] = s.min if low[g.min] is None else max(s.min, low[g.min])
-    yield from ((path, group, score) for group, score in low.items())
+        rows = _footer(pq.ParquetFile(f).metadata)
+    low: dict[str, object] = {}
+    for _, group, least, _, count in rows:
+        if group is not None and least is not None and count >= n:
+            low[group] = max(low.get(group, least), least)
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(low), pa.string()), pa.array(list(low), pa.string()), pa.array(list(low.values()), kind)], names=["path", "grp", "low"])
+
+
+def _file_count(df: DataFrame) -> int:
+    """Files for the bytes that the optimizer expects, one for each core at least."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if size >= 1 << 60:  # not known
+        return max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(cores, -(-size // FILE_BYTES))
 
 
 def clustered(df: DataFrame, group: list[Column], item: str, score: str, tie: str, delivered: str | None) -> str:
     """Write the last delivery of every item, clustered by group, and return the table's path."""
     spark = df.sparkSession
-    rows = df.select(
-        _group_key(group).alias("grp"),
-        F.col(item).cast("long").alias("item"),
-        F.col(score).cast("long").alias("score"),
-        F.col(tie).cast("long").alias("tie"),
-        (F.unix_micros(F.col(delivered).cast("timestamp")) if delivered else F.lit(0).cast("long")).alias("at"),
-    )
-    files = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(files, "grp", "item")
-    # range partitions by (group, item) already hold all deliveries of an item: no exchange for this window
-    last = Window.partitionBy("grp", "item").orderBy(F.col("at").desc_nulls_last(), F.col("score").desc_nulls_last(), F.col("tie").asc_nulls_last())
-    rows = rows.withColumn("n", F.row_number().over(last)).filter((F.col("n") == 1) & F.col("score").isNotNull())
-    rows = rows.select("grp", "item", "score", "tie").sortWithinPartitions("grp", F.col("score").desc(), F.col("tie").asc_nulls_last(), "item")
+    at = F.col(delivered) if delivered else F.lit(0)
+    raw = df.select(_group_key(group).alias("grp"), F.col(item).alias("item"), F.col(score).alias("score"), F.col(tie).alias("tie"), at.alias("at"))
+    for c in ("score", "tie"):
+        if isinstance(raw.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            raw = raw.withColumn(c, F.when(~F.isnan(c), F.col(c)))
+    rows = raw
+    if delivered:
+        order = [F.col("at").desc_nulls_last(), F.col("score").desc_nulls_last(), F.col("tie").asc_nulls_last(), F.col("grp")]
+        # rows without an item are deliveries of their own
+        own = F.when(F.col("item").isNull(), F.xxhash64("grp", "score", "tie", "at"))
+        rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("item", own).orderBy(*order))).filter("n = 1")
+    else:
+        rows = rows.distinct()
+    rows = rows.filter(F.col("score").isNotNull()).select("grp", "item", "score", "tie")
+    files = _file_count(raw)
+    # sizes are for the layout only, so repeated deliveries may count
+    sizes = raw.groupBy("grp").agg(F.count("*").alias("rows"))
+    total = raw.count()
+    hot = sizes.filter(F.col("rows") >= max(1, total * HOT_SHARE)).select(F.col("grp").alias("hot"), F.ceil(F.col("rows") * files / max(1, total)).alias("parts"))  # 1 / share rows at most
+    spread = F.coalesce(F.pmod(F.xxhash64("item"), F.col("parts")), F.lit(0))
+    rows = rows.join(F.broadcast(hot), F.col("grp") == F.col("hot"), "left").withColumn("part", spread).drop("hot", "parts")
+    rows = rows.repartition(files, "grp", "part").join(sizes.withColumnRenamed("grp", "sized"), F.col("grp") == F.col("sized"), "left")
+    rows = rows.sortWithinPartitions(F.floor(F.log2("rows")).desc(), F.col("score").desc(), "grp").select("grp", "item", "score", "tie")
     path = shared.new_path(spark, "clustered")
     rows.write.option("parquet.block.row.count.limit", ROW_GROUP_ROWS).option("parquet.page.size.row.check.min", "1000").parquet(path)
     return path
@@ -124,30 +227,34 @@ def clustered(df: DataFrame, group: list[Column], item: str, score: str, tie: st
 
 def top_n(df: DataFrame, group: list[Column], item: str, score: str, tie: str, n: int = 3, delivered: str | None = None) -> DataFrame:
     """(grp, item, score, tie, place): the first ``n`` of each group by score descending, tie, item."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     spark = df.sparkSession
-    files = [p for p, _ in shared.list_files(spark, clustered(df, group, item, score, tie, delivered))]
-    schema = T.StructType(
-        [T.StructField("grp", T.StringType()), T.StructField("item", T.LongType()), T.StructField("score", T.LongType()), T.StructField("tie", T.LongType())]
-    )
-    if not files:
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("place", T.IntegerType())]))
+    path = clustered(df, group, item, score, tie, delivered)
+    table = spark.read.parquet(path) if (files := [p for p, _ in shared.list_files(spark, path)]) else None
+    if table is None:
+        kinds = [T.StructField("grp", T.StringType()), *[T.StructField(name, df.schema[c].dataType) for name, c in (("item", item), ("score", score), ("tie", tie))]]
+        return spark.createDataFrame([], T.StructType([*kinds, T.StructField("place", T.IntegerType())]))
+    schema = T.StructType([table.schema[c] for c in ("grp", "item", "score", "tie")])
+    arrow = to_arrow_schema(schema)
     slices = spark.createDataFrame([(p,) for p in files], "path string").repartition(len(files))
 
-    def floors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = [x for path in pdf["path"] for x in _boundary_floors(path, n)]
-            yield pd.DataFrame(rows, columns=["path", "grp", "low"]).astype({"low": "Int64"})
+    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                yield _proved(file, n, arrow.field("score").type)
 
-    ends = slices.mapInPandas(floors, "path string, grp string, low long")
-    proved = ends.groupBy("grp").agg(F.max("low").alias("low")).filter(F.col("low").isNotNull())
-    per_file = ends.select("path", "grp").distinct().join(proved, "grp").groupBy("path").agg(F.collect_list(F.struct("grp", "low")).alias("floor"))  # four at most
+    kind = schema["score"].dataType.simpleString()
+    proved = slices.mapInArrow(floors, f"path string, grp string, low {kind}")
+    several = proved.groupBy("grp").agg(F.max("low").alias("low"), F.count("*").alias("files")).filter("files > 1").select("grp", "low")  # groups that are spread
+    per_file = proved.select("path", "grp").join(several, "grp").groupBy("path").agg(F.collect_list(F.struct("grp", "low")).alias("floor"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for path, floor in zip(pdf["path"], pdf["floor"]):
-                known = {x["grp"]: x["low"] for x in floor} if floor is not None else {}
-                yield from top_of_file(path, n, known)
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            for row in batch.to_pylist():
+                for part in top_of_file(row["path"], n, {x["grp"]: x["low"] for x in row["floor"] or ()}):
+                    yield part.cast(arrow) if part.schema != arrow else part
 
-    part = slices.join(per_file, "path", "left").repartition(len(files)).mapInPandas(run, schema)
+    part = slices.join(per_file, "path", "left").repartition(len(files)).mapInArrow(run, schema)
     order = Window.partitionBy("grp").orderBy(F.col("score").desc(), F.col("tie").asc_nulls_last(), F.col("item").asc())
     return part.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)

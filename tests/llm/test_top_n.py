@@ -19,8 +19,8 @@ def test_query_equals_its_sql(name, same_rows):
 def best(rows, n=3):
     last = {}
     for r in set(rows):
-        key = (r[0], r[1], r[2])
-        rank = lambda x: (str(x[5] or ""), x[3] if x[3] is not None else -(2**40), -(x[4] if x[4] is not None else 2**40))
+        key = r[2]
+        rank = lambda x: (str(x[5] or ""), x[3] if x[3] is not None else -(2**40), -(x[4] if x[4] is not None else 2**40), [-ord(ch) for ch in str((x[0], x[1]))])
         if key not in last or rank(r) > rank(last[key]):
             last[key] = r
     groups = {}
@@ -49,6 +49,8 @@ def test_against_brute_force(spark):
             rows.append(rows[-1])
         if rng.random() < 0.2:
             rows.append((*rows[-1][:3], rng.choice([None, 5, 1]), rows[-1][4], datetime(2025, 1, 1)))
+        if rng.random() < 0.1:
+            rows.append(("moved", *rows[-1][1:5], datetime(2025, 2, i % 27 + 1)))
     assert {r.item for r in got(spark, rows).select("item").collect()} == best(rows)
 
 
@@ -72,13 +74,60 @@ def test_clashing_columns(spark):
     assert top_n.top_n(df, [F.col("grp")], "item", "score", "tie").count() == 1
 
 
+def test_an_item_counts_in_its_last_group_only(spark):
+    from datetime import datetime
+
+    rows = [("a", 1, 1, 9, 1, datetime(2024, 1, 1)), ("b", 1, 1, 1, 1, datetime(2024, 2, 1)), ("a", 1, 2, 3, 1, datetime(2024, 1, 1))]
+    assert sorted((r.grp, r.item) for r in got(spark, rows).collect()) == [("a|1", 2), ("b|1", 1)]
+
+
+@pytest.mark.parametrize("kind, values", [("double", [0.2, 0.9, 0.5, float("nan"), None, -1.5]), ("string", ["b", "é", "a", "c", None, ""]), ("decimal(10,2)", None), ("date", None)])
+def test_types_are_kept(spark, kind, values):
+    from datetime import date
+    from decimal import Decimal
+
+    values = values or ([Decimal("0.20"), Decimal("0.90"), None, Decimal("-3")] if kind.startswith("dec") else [date(2020, 1, 1), None, date(2024, 5, 5), date(1999, 1, 1)])
+    rows = [(f"i{i}", "g", v, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"item string, g string, score {kind}, tie {kind}")
+    want = sorted((v for v in values if v is not None and v == v), reverse=True)[:2]
+    found = top_n.top_n(df, [F.col("g")], "item", "score", "tie", 2).orderBy("place").collect()
+    assert [r.score for r in found] == want and all(rows[int(r.item[1:])][2] == r.score for r in found)
+    assert df.schema["score"].dataType == top_n.top_n(df, [F.col("g")], "item", "score", "tie", 2).schema["score"].dataType
+
+
+def test_rows_without_an_item(spark):
+    from datetime import datetime
+
+    rows = [("g", 1, None, 5, 1, datetime(2024, 1, 1)), ("g", 1, None, 4, 1, datetime(2024, 1, 2)), ("g", 1, None, 4, 1, datetime(2024, 1, 2))]
+    assert [r.score for r in got(spark, rows).orderBy("place").collect()] == [5, 4]
+
+
+def read(spark, rows, n=3):
+    path = top_n.clustered(rows, [F.col("g")], "id", "s", "t", None)
+    skipped, kept, groups = [], 0, 0
+    for f, _ in shared.list_files(spark, path):
+        import pyarrow.parquet as pq
+
+        groups += pq.ParquetFile(shared.open_file(f)[1]).metadata.num_row_groups
+        kept += sum(len(p) for p in top_n.top_of_file(f, n, {}, skipped))
+    return len(skipped), groups, kept
+
+
 def test_row_groups_are_skipped(spark):
     n = 60_000
     rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.concat(F.lit("g"), F.col("id").cast("string"))).otherwise("hot").alias("g"), F.col("id"), (F.col("id") % 1000).alias("s"), F.lit(1).alias("t"))
-    path = top_n.clustered(rows, [F.col("g")], "id", "s", "t", None)
-    skipped, kept = [], []
-    for f, _ in shared.list_files(spark, path):
-        kept += [p for p in top_n.top_of_file(f, 3, {}, skipped)]
-    assert len(skipped) >= 4
-    assert sum(len(p) for p in kept) < n / 2
+    skipped, groups, kept = read(spark, rows)
+    assert skipped >= 0.4 * groups and kept < n / 2
     assert {r.item for r in top_n.top_n(rows, [F.col("g")], "id", "s", "t").filter("grp = 'hot'").collect()} == {1999, 2999, 4999}
+
+
+def test_row_groups_of_many_groups_are_skipped(spark):
+    """Groups of 100 rows and, between them, some of two: no row group holds one group only."""
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") % 20 == 0, F.concat(F.lit("s"), (F.col("id") / 40).cast("int").cast("string"))).otherwise(F.concat(F.lit("m"), (F.col("id") % 997).cast("string"))).alias("g"),
+        F.col("id"), (F.xxhash64("id") % 100_000).alias("s"), F.lit(1).alias("t"),
+    )
+    skipped, groups, kept = read(spark, rows)
+    assert skipped >= 0.5 * groups
+    want = rows.groupBy("g").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", F.col("id"))), False), 1, 3).alias("x")).select(F.explode("x.id"))
+    assert {r[0] for r in want.collect()} == {r.item for r in top_n.top_n(rows, [F.col("g")], "id", "s", "t").collect()}
