@@ -16,11 +16,13 @@ import heapq
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +83,11 @@ class Encoder:
         order = np.argsort(keys, kind="stable")
         self.keys, self.rank, self.made = keys[order], order.astype(np.int32), made[order]
         self.none = np.int32(len(pairs))
+        byte_of = _printable_bytes()
+        self.spelt = np.full(int(self.base), b"", object)
+        for word, i in vocab.items():
+            if all(ch in byte_of for ch in word):  # special tokens never come out of a text
+                self.spelt[i] = bytes(byte_of[ch] for ch in word)
         self.split = regex.compile(_SPLIT).findall
         self.split_ascii = re.compile(_SPLIT_ASCII).findall
         self._forget()
@@ -206,6 +213,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def ship(spark: SparkSession, path: str) -> Callable[[], Encoder]:
+    """Send the vocabulary file with the job, so that only the driver need have it. What is returned makes the encoder on an executor."""
+    spark.sparkContext.addFile(path)
+    name = os.path.basename(path)
+    return lambda: encoder(SparkFiles.get(name))
+
+
 def vocabulary_path(directory: str | None = None, name: str = VOCABULARY) -> str:
     return os.path.join(directory or TOKENIZER_DIR, name)
 
@@ -221,16 +235,34 @@ def slices(texts: list[str | None], most: int = BATCH_CHARS) -> Iterator[tuple[i
         yield begin, len(texts)
 
 
+def decoded(df: DataFrame, id_col: str, ids_col: str, path: str | None = None) -> DataFrame:
+    """(id, text): the text that a list of ids stands for; a null list stays null."""
+    make = ship(df.sparkSession, path or vocabulary_path())
+    kind = df.schema[id_col].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = make()
+        for batch in batches:
+            lists = batch.column(1)
+            parts = enc.spelt[lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)].tolist()
+            ends = np.r_[0, np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]
+            texts = [b"".join(parts[a:b]).decode() if valid else None for a, b, valid in zip(ends[:-1], ends[1:], lists.is_valid().to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+
+    schema = T.StructType([T.StructField("id", kind), T.StructField("text", T.StringType())])
+    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
 def token_ids(df: DataFrame, id_col: str, text_col: str, path: str | None = None, out: str = "ids") -> DataFrame:
     """(id, list of token ids) of every row. A narrow map: no shuffle, two columns read.
 
     Rows are kept as they are, repeats included; further columns, whatever their names, are not read.
     """
-    path = path or vocabulary_path()
+    make = ship(df.sparkSession, path or vocabulary_path())
     kind = df.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = make()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts):

@@ -9,16 +9,18 @@ ranks come from counters within the partitions plus offsets between them, so no
 frequent, is gathered in one task.
 
 An item over the capacity is cut into full containers and a remainder, which is packed like any
-other. Defined results: null and empty texts take no room and are listed under container 0; an
-empty table gives no rows; repeated rows are items of their own.
+other. Defined results: null and empty texts take no room, so their container is null; an empty table gives no
+rows; repeated rows are items of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,11 +82,41 @@ def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[i
     return made
 
 
+@dataclass
+class _Slots:
+    """Which ranks of each length go to which containers: runs of ranks, ordered by length and first rank in one key."""
+
+    key: np.ndarray
+    begin: np.ndarray
+    times: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, made: list[tuple[int, dict[int, int]]]) -> _Slots:
+        rows, base, taken = [], 0, {}
+        for times, chosen in made:
+            for n, copies in chosen.items():
+                rows.append((n, taken.get(n, 0), times, base))
+                taken[n] = taken.get(n, 0) + times * copies
+            base += times
+        table = np.array(sorted(rows), np.int64).reshape(-1, 4)
+        return cls(table[:, 0] << 48 | table[:, 1], *table[:, 1:].T)
+
+    def container(self, tokens: np.ndarray, rank: np.ndarray) -> pa.Array:
+        """The container of each item of a length with a rank; null for those that take no room."""
+        tokens, rank = tokens.astype(np.int64), rank.astype(np.int64)
+        at = np.maximum(np.searchsorted(self.key, tokens << 48 | rank, "right") - 1, 0)
+        if not len(self.key):
+            return pa.nulls(len(tokens), pa.int64())
+        return pa.array(self.first[at] + (rank - self.begin[at]) % self.times[at], mask=tokens == 0)
+
+
 def _measured(df: DataFrame, id_col: str, text_col: str, capacity: int, path: str) -> DataFrame:
     """(id, piece, tokens, part, rank): an item's rank counts the items of its length in its partition."""
+    make = bpe.ship(df.sparkSession, path)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, part = bpe.encoder(path), TaskContext.get().partitionId()
+        enc, part = make(), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for pdf in frames:
             texts = [t if isinstance(t, str) else None for t in pdf["text"]]
@@ -118,23 +150,28 @@ def pack(df: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY, pa
     items = shared.materialize(_measured(df, id_col, text_col, capacity, path or bpe.vocabulary_path()), "pack-items")
     counted = items.groupBy("tokens", "part").agg(F.count("*").alias("n"))
     histogram = {r["tokens"]: r["n"] for r in counted.groupBy("tokens").agg(F.sum("n").alias("n")).collect()}  # at most capacity + 1 rows
-    rows, base = [], 0
-    begin: dict[int, int] = {}
-    for times, chosen in patterns(histogram, capacity):
-        for n, copies in chosen.items():
-            a = begin.get(n, 0)
-            rows.append((n, a, a + times * copies, times, base))
-            begin[n] = a + times * copies
-        base += times
-    slots = spark.createDataFrame(rows, "tokens int, rank_from long, rank_to long, times long, first_container long")
+    slots = _Slots.of(patterns(histogram, capacity))
+    held = spark.sparkContext.broadcast(slots)  # a few thousand whatever the corpus: lengths are at most `capacity`
     over = Window.partitionBy("tokens").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counted.withColumn("offset", F.coalesce(F.sum("n").over(over), F.lit(0))).drop("n")
     ranked = items.join(offsets, ["tokens", "part"]).withColumn("rank", F.col("rank") + F.col("offset"))
-    # the slots number a few thousand whatever the corpus: lengths are at most `capacity`
-    placed = ranked.join(
-        F.broadcast(slots.withColumnRenamed("tokens", "slot_tokens")),
-        (F.col("tokens") == F.col("slot_tokens")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to")),
-        "left",
-    )
-    container = F.coalesce(F.col("first_container") + (F.col("rank") - F.col("rank_from")) % F.col("times"), F.lit(0))
-    return placed.select(F.col("id").alias(id_col), "piece", "tokens", container.alias("container"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = held.value.container(batch.column("tokens").to_numpy(), batch.column("rank").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "piece", "tokens")] + [got], names=["id", "piece", "tokens", "container"])
+
+    placed = ranked.select("id", "piece", "tokens", "rank").mapInArrow(place, f"id {items.schema['id'].dataType.simpleString()}, piece int, tokens int, container long")
+    return placed.withColumnRenamed("id", id_col)
+
+
+def invariants(df: DataFrame, id_col: str, placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: items, items placed, items with pieces lacking or split without need, containers over capacity, and whether there are at most 1 % more than the tokens need."""
+    by_item = placed.groupBy(id_col).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"), F.max("piece").alias("last"))
+    needed = F.greatest(F.lit(1), F.ceil(F.col("tokens") / capacity))
+    items = by_item.agg(F.count("*").alias("n_placed"), F.count_if((F.col("pieces") != needed) | (F.col("last") != F.col("pieces") - 1)).alias("n_badly_split"), F.sum("tokens").alias("tokens"))
+    filled = placed.filter(F.col("container").isNotNull()).groupBy("container").agg(F.sum("tokens").alias("filled"))
+    used = filled.agg(F.count("*").alias("n"), F.count_if(F.col("filled") > capacity).alias("n_overfull"))
+    every = df.agg(F.count_distinct(id_col).alias("n_items"))
+    few = F.coalesce(F.col("n") <= F.ceil(F.col("tokens") / capacity * 1.01), F.lit(True)).alias("few_containers")
+    return every.crossJoin(items).crossJoin(used).select("n_items", "n_placed", "n_badly_split", "n_overfull", few)  # one row each

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspan import shared
 from quillspan.functions.refs import book_id
 from quillspan.llm import bpe, cutoff, packing, scan_repair, splitter, top_n, vptree
 from quillspan.sources.tables import table
@@ -39,15 +40,25 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All chunks as pieces. Chunks of comments and sections are held against their record's whole text for the truncated flag."""
+    return _pieces(spark, sf_dir)[1]
+
+
+def _pieces(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(distinct chunks, their pieces)."""
     chunk = table(spark, sf_dir, "chunk").select("id", "resource_type", "source", "key", "text").distinct()
     comment = table(spark, sf_dir, "comments").select(F.lit("commentary").alias("resource_type"), F.col("commentator").alias("source"), "key", F.col("text").alias("whole"))
     titled = F.when(F.coalesce("title", F.lit("")) != "", F.concat_ws("\n", "title", "text")).otherwise(F.col("text"))  # as confession chunks are made
     section = table(spark, sf_dir, "section").select(F.lit("confession").alias("resource_type"), F.col("document").alias("source"), "key", titled.alias("whole"))
-    full = comment.unionByName(section).groupBy("resource_type", "source", "key").agg(F.max_by("whole", F.length("whole")).alias("whole"))
     recorded = F.coalesce(F.col("resource_type").isin("commentary", "confession"), F.lit(False))
-    keyed = chunk.filter(recorded).join(full, ["resource_type", "source", "key"], "left").select("id", "text", "whole")
+    records = comment.unionByName(section).withColumnRenamed("whole", "record")
+    keyed = splitter.against_records(chunk.filter(recorded), "text", records, "record", ["resource_type", "source", "key"]).select("id", "text", "whole")
     rest = chunk.filter(~recorded).select("id", "text", F.lit(None).cast("string").alias("whole"))
-    return splitter.split_oversized(rest.unionByName(keyed), "id", "text", whole=F.col("whole")).withColumnRenamed("id", "chunk_id")
+    return chunk, splitter.split_oversized(rest.unionByName(keyed), "id", "text", whole=F.col("whole")).withColumnRenamed("id", "chunk_id")
+
+
+def p3_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunk, pieces = _pieces(spark, sf_dir)
+    return splitter.invariants(chunk.select(F.col("id").alias("chunk_id"), "text"), "chunk_id", "text", pieces)
 
 
 def _scan(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, scan_repair.Corpus]:
@@ -83,6 +94,16 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that the ids stand for."""
+    got = bpe.decoded(p6_ids(spark, sf_dir), "doc_id", "ids")
+    return got.select("doc_id", F.sha2("text", 256).alias("sha256"))
+
+
+def p7_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.invariants(table(spark, sf_dir, "documents"), "doc_id", shared.materialize(p7_containers(spark, sf_dir), "containers"))
+
+
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -99,6 +120,7 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces,
+    "p3_invariants": p3_invariants, "p6_texts": p6_texts, "p7_invariants": p7_invariants,
     "p4_found": p4_found,
     "p4_chunks": p4_chunks,
     "p4_comments": p4_comments,
@@ -113,5 +135,9 @@ best AS (SELECT *, row_number() OVER (PARTITION BY source, book, src_chapter, sr
 SQL = {
     "p1_found": _BEST + "SELECT edge_id FROM best WHERE place <= 3",
     "p1_ranked": _BEST + "SELECT edge_id, CAST(votes AS BIGINT) AS votes, CAST(rank AS BIGINT) AS rank, place FROM best WHERE place <= 3",
+    # what must hold of the pieces, the ids and the containers of every text
+    "p3_invariants": "SELECT count(*) AS n_rows, 0::BIGINT AS n_not_whole, 0::BIGINT AS n_without_overlap, 0::BIGINT AS n_over_limit FROM (SELECT DISTINCT id, resource_type, source, key, text FROM chunk)",
+    "p6_texts": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents",
+    "p7_invariants": "SELECT count(DISTINCT doc_id) AS n_items, count(DISTINCT doc_id) AS n_placed, 0::BIGINT AS n_badly_split, 0::BIGINT AS n_overfull, true AS few_containers FROM documents",
     "p3_found": "SELECT DISTINCT id AS chunk_id FROM chunk WHERE length(trim(text, ' ' || chr(9) || chr(10) || chr(13))) > 6000",
 }

@@ -72,3 +72,9 @@ def test_slices_cover_all():
     texts = ["a" * n for n in (5, 0, 9, 2)] + [None]
     parts = list(bpe.slices(texts, 6))
     assert np.concatenate([np.arange(a, b) for a, b in parts]).tolist() == list(range(5))
+
+
+def test_ids_stand_for_the_texts(same_rows):
+    from quillspan.llm import queries
+
+    same_rows(queries.p6_texts, queries.SQL["p6_texts"])

@@ -45,7 +45,9 @@ def test_items_are_whole_and_few(spark):
     got = packed(spark, texts)
     room = {}
     for r in got:
-        room[r.container] = room.get(r.container, 0) + r.tokens
+        if r.tokens:
+            room[r.container] = room.get(r.container, 0) + r.tokens
+    assert {r.container for r in got if not r.tokens} == {None}
     sizes = {}
     for r in got:
         sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.tokens
@@ -65,7 +67,7 @@ def test_one_length_holds_most_rows(spark):
 @needs_vocabulary
 def test_empty_and_only_empty(spark):
     assert packed(spark, ["x"])[:1] and packing.pack(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").count() == 0
-    assert [(r.tokens, r.container) for r in packed(spark, [None, ""])] == [(0, 0), (0, 0)]
+    assert [(r.tokens, r.container) for r in packed(spark, [None, ""])] == [(0, None), (0, None)]
 
 
 @needs_vocabulary
@@ -77,4 +79,18 @@ def test_clashing_columns(spark):
 @needs_vocabulary
 def test_test_table_is_near_the_bound(spark, data):
     got = packing.pack(spark.read.parquet(f"{data}/documents.parquet"), "doc_id", "text").collect()
-    assert len({r.container for r in got}) <= math.ceil(sum(r.tokens for r in got) / packing.CAPACITY) + 2
+    assert len({r.container for r in got} - {None}) <= math.ceil(sum(r.tokens for r in got) / packing.CAPACITY) + 2
+
+
+@needs_vocabulary
+def test_query_equals_its_sql(same_rows):
+    from quillspan.llm import queries
+
+    same_rows(queries.p7_invariants, queries.SQL["p7_invariants"])
+
+
+@needs_vocabulary
+def test_invariants_see_what_is_wrong(spark):
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "doc_id long, text string")
+    placed = spark.createDataFrame([(1, 0, 3, 0), (1, 1, 3, 0), (2, 0, 12, 0)], "doc_id long, piece int, tokens int, container long")
+    assert packing.invariants(rows, "doc_id", placed, 16).first().asDict() == {"n_items": 3, "n_placed": 2, "n_badly_split": 1, "n_overfull": 1, "few_containers": True}

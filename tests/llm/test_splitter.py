@@ -3,7 +3,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quillspan.llm import queries
+from quillspan.llm import queries, splitter
 from quillspan.llm.splitter import cuts, split_oversized
 from pyspark.sql import functions as F
 
@@ -81,3 +81,14 @@ def test_cut_at_white_space_is_truncated(spark, tmp_path):
     assert {r.chunk_id for r in got if r.truncated} == {"cut", "short", "titled", "plain"}
     last = {r.chunk_id: r for r in got if r.piece == r.pieces - 1}
     assert len(last) == len(rows) and last["all"].pieces == 2
+
+
+def test_pieces_keep_what_must_hold(same_rows):
+    same_rows(queries.p3_invariants, queries.SQL["p3_invariants"])
+
+
+def test_invariants_see_what_is_wrong(spark):
+    rows = spark.createDataFrame([("a", "x" * 30), ("b", "y")], "id string, text string")
+    pieces = spark.createDataFrame([("a", 0, 2, 0, "x" * 20), ("a", 1, 2, 18, "z" * 12)], "id string, piece int, pieces int, begins_at int, text string")
+    got = splitter.invariants(rows, "id", "text", pieces, 15, 2).first().asDict()
+    assert got == {"n_rows": 2, "n_not_whole": 2, "n_without_overlap": 1, "n_over_limit": 1}
