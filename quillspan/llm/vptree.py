@@ -1,17 +1,19 @@
 """The k most similar vectors for every vector, by vantage-point trees with relaxed pruning.
 
-1. Vantage points are fitted on a bounded sample. Every vector belongs to its nearest one, whose node keeps
-   the radius of its ball; nodes lying together form a shard, and a node too large for one shard is
-   divided among several. A shard's tree splits off one ball after another: a vantage-point tree whose
-   inner sides are leaves, which suits vectors of many dimensions.
+1. Root vantage points are fitted on a bounded sample. Every vector belongs to the ball of its nearest one; balls lying
+   together form a shard, and a ball too large for one shard is divided among several.
 2. Copies are collapsed, first within each task, then in the shard: a direction is searched once and
    stands for all its ids, of which the k + 1 smallest are all that any answer can hold. So a direction
    with a third of all rows is one row; its further ids are joined to its answer afterwards.
-3. A task per shard answers the shard's own vectors. It searches its own tree first, then the trees of
-   the other shards in the order of their distance. A ball is pruned if the angle to its vantage point less
-   its radius exceeds the angle of the k-th best so far divided by the factor ``relax``: with factor one the
-   triangle inequality makes the search exact; larger factors prune more and may miss some. Leaves are
-   compared by one matrix product each.
+3. In a shard a vantage-point tree grows from every root: a node parts its vectors at the median of their angles to its
+   vantage point, the nearer half inside, the farther outside; each half takes its farthest vector as the next
+   vantage point, down to leaves of ``LEAF_ROWS``. So the depth follows the number of vectors, whatever that of the roots.
+4. A task per shard answers the shard's own vectors. It searches its own trees first, then those of
+   the other shards in the order of their distance. A half is pruned if the triangle inequality puts it farther away than
+   the k-th best so far, the distance being taken ``relax`` times: with factor one the search is exact; larger
+   factors prune more and may miss some. Leaves are compared by one matrix product each. Vectors whose
+   k-th best comes within ``near`` are searched a second time with factor one, so their answers are exact if the factor
+   missed none of what brought them there.
 
 The shards lie in the shared folder and are read by the tasks that need them, so vectors are shuffled
 once, whatever the number of trees a query visits. A worker keeps a bounded number of them.
@@ -38,9 +40,12 @@ K = 5
 DIMENSIONS = 64
 #: Pruning factor; 1 is exact. Recall of the k best at 6 is measured in the tests and given in the README.
 RELAX = 6.0
-#: The vantage points are fitted on so many vectors at most, all others are only assigned.
+#: The root vantage points are fitted on so many vectors at most, a dozen for each root; all others are only assigned.
 SAMPLE = 24_576
-NODE_ROWS, LEAST_NODES, MOST_NODES = 384, 8, 2048
+NODE_ROWS, LEAST_NODES, MOST_NODES = 384, 8, SAMPLE // 12
+LEAF_ROWS = 96
+#: Similarity of the k-th best from which a vector is searched again with factor one.
+NEAR = 0.9
 SHARD_ROWS = 8192
 #: Other directions kept for each vector, by similarity and then smallest id: the k best ids lie in the first k of them.
 KEPT = 8
@@ -51,21 +56,24 @@ _PAIRS = 1 << 20
 _CACHED_SHARDS = 24
 
 
-def _directions(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(ids, unit vectors, digests in two numbers each) of a batch's usable rows."""
+def _directions(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, unit vectors, vectors scaled by powers of two, digests of these in two numbers each) of a batch's usable rows."""
     import hashlib
 
     length = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
     rows = np.flatnonzero((length == dim) & ids.is_valid().to_numpy(zero_copy_only=False))
     values = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)  # nulls become NaN
-    big = np.abs(values).max(1, keepdims=True) if len(rows) else np.zeros((0, 1))
-    with np.errstate(all="ignore"):
-        scaled = values / big
-        unit = scaled / np.sqrt((scaled**2).sum(1, keepdims=True))
-    good = np.isfinite(unit).all(1) & np.isfinite(big[:, 0]) & (big[:, 0] > 0)
-    rows, unit = rows[good], np.ascontiguousarray(unit[good].astype(np.float32) + np.float32(0))
-    digests = b"".join(hashlib.blake2b(u.tobytes(), digest_size=16).digest() for u in unit)
-    return ids.take(pa.array(rows)), unit, np.frombuffer(digests, np.int64).reshape(-1, 2)
+    big = np.abs(values).max(1) if len(rows) else np.zeros(0)
+    good = np.isfinite(values).all(1) & (big > 0)
+    rows, values = rows[good], values[good]
+    raw = np.ascontiguousarray(np.ldexp(values, -np.frexp(big[good])[1][:, None]).astype(np.float32) + np.float32(0))
+    digests = b"".join(hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in raw)
+    return ids.take(pa.array(rows)), _units(raw), raw, np.frombuffer(digests, np.int64).reshape(-1, 2)
+
+
+def _units(raw: np.ndarray) -> np.ndarray:
+    wide = raw.astype(np.float64)
+    return (wide / np.sqrt((wide**2).sum(1, keepdims=True))).astype(np.float32)
 
 
 def _matrix(units, dim: int) -> np.ndarray:
@@ -94,53 +102,94 @@ def fit_vantage_points(sample: np.ndarray, count: int, rounds: int = 8, seed: in
 
 @dataclass
 class Trees:
-    """The inner nodes of all shards' trees: vantage point, radius and shard of every ball."""
+    """The roots of all shards' trees: vantage point, radius and shard of every ball."""
 
     points: np.ndarray
     node: np.ndarray  # number of the vantage point of each ball
     shard: np.ndarray
     radius: np.ndarray
-    paths: dict[int, list[str]]
+    folders: list[str]  # of each shard
+
+
+@dataclass
+class Node:
+    """A part of a ball, ``begin`` to ``end`` in the shard's order. Inner nodes have a vantage point, and for each half the least and greatest angle to it."""
+
+    begin: int
+    end: int
+    point: np.ndarray | None = None
+    halves: tuple[tuple[Node, float, float], ...] = ()
+
+    def depth(self) -> int:
+        return 1 + max((half.depth() for half, _, _ in self.halves), default=0)
+
+
+def _angles(points: np.ndarray, units: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(points @ units.T, -1, 1))
+
+
+def grow(units: np.ndarray, rows: np.ndarray, point: np.ndarray, begin: int, order: list[np.ndarray]) -> Node:
+    """The tree of some rows; their order in the shard is appended to ``order``."""
+    if len(rows) <= LEAF_ROWS:
+        order.append(rows)
+        return Node(begin, begin + len(rows))
+    angle = _angles(point[None], units[rows])[0]
+    by_angle = np.argsort(angle, kind="stable")
+    middle = len(rows) // 2
+    halves, at = [], begin
+    for part in (by_angle[:middle], by_angle[middle:]):
+        half = grow(units, rows[part], units[rows[part[-1]]], at, order)
+        halves.append((half, float(angle[part[0]]) - _SLACK, float(angle[part[-1]]) + _SLACK))
+        at = half.end
+    return Node(begin, at, point, tuple(halves))
 
 
 @dataclass
 class Shard:
-    node: np.ndarray
-    vectors: np.ndarray
+    roots: dict[int, Node]
+    node: np.ndarray  # the root of every row
+    vectors: np.ndarray  # units
+    raw: np.ndarray
     ids: list[list]  # the smallest ids of every direction
     names: np.ndarray | None = None  # the id of a direction that has one, else the list
-    norms: np.ndarray | None = None  # of the rounded units
+    norms: np.ndarray | None = None
     order: np.ndarray | None = None  # place of a direction's smallest id among the shard's
 
     def __post_init__(self) -> None:
         self.names = np.empty(len(self.ids), object)
         self.names[:] = [i[0] if len(i) == 1 else i for i in self.ids]
-        self.norms = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(1))
+        self.norms = np.sqrt((self.raw.astype(np.float64) ** 2).sum(1))
         self.order = np.empty(len(self.ids), np.int64)
         self.order[sorted(range(len(self.ids)), key=lambda i: self.ids[i][0])] = np.arange(len(self.ids))
 
+    @classmethod
+    def of(cls, node: np.ndarray, raw: np.ndarray, ids: list[list], points: np.ndarray) -> Shard:
+        units, order, roots, at = _units(raw), [], {}, 0
+        for root in np.unique(node):
+            roots[int(root)] = grow(units, np.flatnonzero(node == root), points[root], at, order)
+            at = roots[int(root)].end
+        rows = np.concatenate(order) if order else np.zeros(0, np.int64)
+        return cls(roots, node[rows], units[rows], raw[rows], [ids[i] for i in rows])
 
-_shards: OrderedDict[tuple, Shard] = OrderedDict()
 
+_shards: OrderedDict[str, Shard] = OrderedDict()
 
-def _load(paths: list[str], dim: int) -> Shard:
-    """A shard, sorted by node."""
-    key = tuple(paths)
-    if key in _shards:
-        _shards.move_to_end(key)
-        return _shards[key]
+
+def _load(trees: Trees, shard: int, dim: int) -> Shard:
+    """A shard with its trees grown."""
+    folder = trees.folders[shard]
+    if folder in _shards:
+        _shards.move_to_end(folder)
+        return _shards[folder]
+    import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
-    parts = []
-    for path in paths:
-        fs, name = shared.open_file(path)
-        parts.append(pq.read_table(name, filesystem=fs, columns=["node", "unit", "ids"], partitioning=None))
-    t = pa.concat_tables(parts)
-    node = t.column("node").to_numpy()
-    order = np.argsort(node, kind="stable")
-    ids = t.column("ids").to_pylist()
-    got = Shard(node[order], _matrix(t.column("unit").to_pylist(), dim)[order], [ids[i] for i in order])
-    _shards[key] = got
+    fs, name = shared.open_file(folder)
+    files = [f.path for f in fs.get_file_info(pafs.FileSelector(name)) if f.size and f.path.endswith(".parquet")]
+    t = pa.concat_tables([pq.read_table(f, filesystem=fs, columns=["node", "g1", "g2", "raw", "ids"], partitioning=None) for f in sorted(files)])
+    t = t.sort_by([("node", "ascending"), ("g1", "ascending"), ("g2", "ascending")])  # the same order whoever reads it
+    got = Shard.of(t.column("node").to_numpy(), _matrix(t.column("raw").to_pylist(), dim), t.column("ids").to_pylist(), trees.points)
+    _shards[folder] = got
     while len(_shards) > _CACHED_SHARDS:
         _shards.popitem(last=False)
     return got
@@ -180,36 +229,31 @@ class _Best:
         self.at[rows] = np.take_along_axis(where, top[:, :, None], 1)
 
 
-def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tuple[Shard, _Best, float]:
-    """(the shard, the best of its vectors, share of all balls visited)."""
-    own = _load(trees.paths[shard], dim)
-    x = own.vectors
-    n = len(x)
-    best = _Best(n, lambda s, row: (own if s == shard else _load(trees.paths[s], dim)).ids[row][0])
-    angle = np.arccos(np.clip(trees.points @ x.T, -1, 1))  # a row for each vantage point
-    limit = np.full(n, np.inf, np.float32)  # how near a ball must come to each query
-    floor = np.full(n, -1.5, np.float32)  # the least similarity that can still matter to it
-    to_shard = np.array([angle[trees.node[trees.shard == s]].mean() for s in range(len(trees.paths))])
-    to_shard[shard] = -1
-    x64 = x.astype(np.float64)
-    visits = 0
-
-    def visit(found: Shard, other: int, ball: int, q: np.ndarray) -> None:
-        nonlocal visits
-        a, b = np.searchsorted(found.node, [trees.node[ball], trees.node[ball] + 1])
+class _Search:
+    """The search of some of a shard's vectors."""
+
+    def __init__(self, shard: int, trees: Trees, k: int, dim: int) -> None:
+        self.shard, self.trees, self.k, self.dim = shard, trees, k, dim
+        self.own = _load(trees, shard, dim)
+        n = len(self.own.vectors)
+        self.best = _Best(n, lambda s, row: (self.own if s == shard else _load(trees, s, dim)).ids[row][0])
+        self.limit = np.full(n, np.inf, np.float32)  # how near a part must come to each query
+        self.floor = np.full(n, -1.5, np.float32)  # the least similarity that can still matter to it
+        self.raw = self.own.raw.astype(np.float64)
+        self.compared = 0
+
+    def _compare(self, found: Shard, other: int, a: int, b: int, q: np.ndarray) -> None:
         y = found.vectors[a:b]
-        if a == b:
-            return
-        visits += len(q)
+        self.compared += len(q) * (b - a)
         step = int(np.clip(_PAIRS // (b - a), 1, 4096))
         for begin in range(0, len(q), step):
             some = q[begin : begin + step]
-            sims = x[some] @ y.T
-            least = floor[some]
-            if other == shard:
+            sims = self.own.vectors[some] @ y.T
+            least = self.floor[some]
+            if other == self.shard:
                 inside = np.flatnonzero((some >= a) & (some < b))
                 sims[inside, some[inside] - a] = -2
-            if b - a > KEPT and np.isinf(limit[some[0]]):
+            if b - a > KEPT and np.isinf(self.limit[some[0]]):
                 kth = np.partition(sims, b - a - KEPT, 1)[:, b - a - KEPT]
                 least = np.maximum(least, kth - np.float32(1e-6))
             i, j = np.divmod(np.flatnonzero(sims >= least[:, None]), b - a)
@@ -219,28 +263,93 @@ def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int) -> tu
             sim = np.empty(len(rows))
             for c in range(0, len(rows), 1 << 14):
                 at = slice(c, c + (1 << 14))
-                sim[at] = np.einsum("ij,ij->i", x64[rows[at]], y[j[at]].astype(np.float64))
-            sim /= own.norms[rows] * found.norms[a + j]
-            best.add(rows, sim, other, a + j, found.order[a + j])
+                sim[at] = np.einsum("ij,ij->i", self.raw[rows[at]], found.raw[a + j[at]].astype(np.float64))
+            sim /= self.own.norms[rows] * found.norms[a + j]
+            self.best.add(rows, sim, other, a + j, found.order[a + j])
             new = rows[np.r_[True, rows[1:] != rows[:-1]]]
-            full = new[best.sim[new, k - 1] > -2]
-            limit[full] = np.arccos(np.clip(best.sim[full, k - 1], -1, 1)) / relax
-            floor[new] = np.maximum(best.sim[new, KEPT - 1] - 1e-6, -1.5)
-
-    for other in map(int, np.argsort(to_shard, kind="stable")):
-        balls = np.flatnonzero(trees.shard == other)
-        balls = balls[np.argsort(angle[trees.node[balls]].mean(1), kind="stable")]
-        if other == shard:  # each ball's own vectors before all others, so that the limits are near from the start
+            full = new[self.best.sim[new, self.k - 1] > -2]
+            self.limit[full] = np.minimum(self.limit[full], np.arccos(np.clip(self.best.sim[full, self.k - 1], -1, 1)) / self.relax)
+            self.floor[new] = np.maximum(self.best.sim[new, KEPT - 1] - 1e-6, self.floor[new])
+
+    def _visit(self, found: Shard, other: int, node: Node, q: np.ndarray, angle: np.ndarray | None) -> None:
+        """Compare ``q``, at ``angle`` from the node's vantage point, with what the node cannot rule out; the half that is nearer to most comes first."""
+        if node.point is None:
+            self._compare(found, other, node.begin, node.end, q)
+            return
+        if angle is None:
+            angle = _angles(node.point[None], self.own.vectors[q])[0]
+        middle = node.halves[0][2]
+        for half, least, most in node.halves if np.count_nonzero(angle < middle) * 2 >= len(q) else node.halves[::-1]:
+            limit = self.limit[q]
+            near = q[(angle - most <= limit) & (least - angle <= limit)]
+            if len(near):
+                self._visit(found, other, half, near, None)
+
+    def run(self, q: np.ndarray, relax: float) -> None:
+        """Search the vectors numbered ``q``."""
+        self.relax, trees = relax, self.trees
+        angle = np.full((len(trees.points), len(self.own.vectors)), np.nan, np.float32)
+        angle[:, q] = _angles(trees.points, self.own.vectors[q])
+        to_root = angle[:, q].mean(1)
+        balls_of = np.split(np.argsort(trees.shard, kind="stable"), np.cumsum(np.bincount(trees.shard, minlength=len(trees.folders)))[:-1])
+        to_shard = np.array([to_root[trees.node[b]].mean() for b in balls_of])
+        to_shard[self.shard] = -1
+        for other in map(int, np.argsort(to_shard, kind="stable")):
+            balls = balls_of[other][np.argsort(to_root[trees.node[balls_of[other]]], kind="stable")]
+            if other == self.shard:  # each ball's own vectors before all others, so that the limits are near from the start
+                for ball in balls:
+                    root = self.own.roots[int(trees.node[ball])]
+                    inside = q[(q >= root.begin) & (q < root.end)]
+                    for leaf in _leaves(root):
+                        mine = inside[(inside >= leaf.begin) & (inside < leaf.end)]
+                        if len(mine):
+                            self._compare(self.own, other, leaf.begin, leaf.end, mine)
+                            self._elsewhere(root, leaf, mine, angle[trees.node[ball]])
             for ball in balls:
-                visit(own, other, ball, np.flatnonzero(own.node == trees.node[ball]))
-        for ball in balls:
-            near = angle[trees.node[ball]] - np.float32(trees.radius[ball]) <= limit
-            if other == shard:
-                near &= own.node != trees.node[ball]
-            q = np.flatnonzero(near)
-            if len(q):
-                visit(own if other == shard else _load(trees.paths[other], dim), other, ball, q)
-    return own, best, visits / max(1, n * len(trees.node))
+                to = angle[trees.node[ball]][q]
+                near = to - np.float32(trees.radius[ball]) <= self.limit[q]
+                if other == self.shard:
+                    near &= self.own.node[q] != trees.node[ball]
+                some = q[near]
+                if len(some):
+                    found = self.own if other == self.shard else _load(trees, other, self.dim)
+                    root = found.roots[int(trees.node[ball])]
+                    self._visit(found, other, root, some, to[near] if root.point is not None else None)
+
+    def _elsewhere(self, root: Node, leaf: Node, q: np.ndarray, to_root: np.ndarray) -> None:
+        """The rest of the own tree of vectors that lie in ``leaf``."""
+        node, angle = root, to_root[q]
+        while node is not leaf:
+            inner, outer = node.halves
+            mine, other = (inner, outer) if leaf.end <= inner[0].end else (outer, inner)
+            near = (angle - other[2] <= self.limit[q]) & (other[1] - angle <= self.limit[q])
+            if near.any():
+                self._visit(self.own, self.shard, other[0], q[near], None)
+            node = mine[0]
+            if node.point is not None:
+                angle = _angles(node.point[None], self.own.vectors[q])[0]
+
+
+def _leaves(node: Node) -> Iterator[Node]:
+    if node.point is None:
+        yield node
+    for half, _, _ in node.halves:
+        yield from _leaves(half)
+
+
+def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int, near: float = NEAR) -> tuple[Shard, _Best, int]:
+    """(the shard, the best of its vectors, pairs compared)."""
+    search = _Search(shard, trees, k, dim)
+    n = len(search.own.vectors)
+    search.run(np.arange(n), relax)
+    close = np.flatnonzero(search.best.sim[:, k - 1] >= near)
+    if relax > 1 and len(close):
+        search.limit[:], search.floor[:] = np.inf, -1.5
+        # what was found bounds what is to be found; it is then found anew
+        search.limit[close] = np.arccos(np.clip(search.best.sim[close, k - 1], -1, 1)) + _SLACK
+        search.best.sim[close] = -2.0
+        search.run(close, 1.0)
+    return search.own, search.best, search.compared
 
 
 def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> tuple[list, np.ndarray, list, np.ndarray, list]:
@@ -249,7 +358,7 @@ def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> tuple[li
     good = best.sim > -1.5
     names = np.empty(best.sim.shape, object)
     for shard in np.unique(best.at[:, :, 0][good]):
-        found = _load(trees.paths[int(shard)], dim)
+        found = _load(trees, int(shard), dim)
         at = good & (best.at[:, :, 0] == shard)
         names[at] = found.names[best.at[:, :, 1][at]]
     # where all are single and no similarities tie, the rows are in their order already
@@ -316,7 +425,7 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
         points, first, parts = held.value
         few: dict[tuple[int, int], list] = {}
         for batch in batches:
-            ids, unit, g = _directions(batch.column(0), batch.column(1), dim)
+            ids, unit, raw, g = _directions(batch.column(0), batch.column(1), dim)
             if not len(unit):
                 continue
             if len(few) > 200_000:
@@ -337,15 +446,15 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
             node = sims.argmax(1)
             angle = np.arccos(np.clip(sims[np.arange(len(node)), node].astype(np.float64), -1, 1))
             shard = first[node] + np.mod(g[at, 1], parts[node])
-            raw = [unit[i].tobytes() if new[i] else None for i in at]
-            columns = [pa.array(shard.astype(np.int32)), pa.array(node.astype(np.int32)), pa.array(g[at, 0]), pa.array(g[at, 1]), pa.array(angle), pa.array(raw, pa.binary()), ids.take(pa.array(at))]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "node", "g1", "g2", "angle", "unit", "id"])
+            once = [raw[i].tobytes() if new[i] else None for i in at]
+            columns = [pa.array(shard.astype(np.int32)), pa.array(node.astype(np.int32)), pa.array(g[at, 0]), pa.array(g[at, 1]), pa.array(angle), pa.array(once, pa.binary()), ids.take(pa.array(at))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "node", "g1", "g2", "angle", "raw", "id"])
 
-    placed = df.mapInArrow(assign, f"shard int, node int, g1 long, g2 long, angle double, unit binary, id {kind}")
+    placed = df.mapInArrow(assign, f"shard int, node int, g1 long, g2 long, angle double, raw binary, id {kind}")
     # the grouping needs no further exchange: shards hold their directions whole
     placed = placed.repartition(int((first + parts).max()), "shard").groupBy("shard", "g1", "g2")
     directions = placed.agg(
-        F.first("node").alias("node"), F.first("angle").alias("angle"), F.first("unit", ignorenulls=True).alias("unit"), F.slice(F.array_sort(F.collect_set("id")), 1, k + 1).alias("ids")
+        F.first("node").alias("node"), F.first("angle").alias("angle"), F.first("raw", ignorenulls=True).alias("raw"), F.slice(F.array_sort(F.collect_set("id")), 1, k + 1).alias("ids")
     )
     path = shared.new_path(spark, "shards")
     directions.write.partitionBy("shard").parquet(path)
@@ -353,11 +462,9 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     balls = spark.read.schema(layout).parquet(path).groupBy("shard", "node").agg(F.max("angle").alias("radius")).orderBy("shard", "node").collect()  # one row a ball
     if not balls:
         return None
-    paths = {s: [p for p, _ in shared.list_files(spark, f"{path}/shard={s}")] for s in sorted({r["shard"] for r in balls})}
-    number = {s: i for i, s in enumerate(paths)}
-    return Trees(
-        points, np.array([r["node"] for r in balls]), np.array([number[r["shard"]] for r in balls]), np.array([r["radius"] for r in balls]) + _SLACK, dict(enumerate(paths.values()))
-    )
+    shards = sorted({r["shard"] for r in balls})
+    number = {shard: i for i, shard in enumerate(shards)}
+    return Trees(points, *(np.array(x) for x in ([r["node"] for r in balls], [number[r["shard"]] for r in balls])), np.array([r["radius"] for r in balls]) + _SLACK, [f"{path}/shard={x}" for x in shards])
 
 
 def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: float = RELAX, dim: int = DIMENSIONS) -> DataFrame:
@@ -383,7 +490,7 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     from pyspark.sql.pandas.types import to_arrow_type
 
     ids_type = to_arrow_type(df.schema[id_col].dataType)
-    tasks = spark.createDataFrame([(i,) for i in range(len(trees.paths))], "shard int").repartition(len(trees.paths), "shard")
+    tasks = spark.createDataFrame([(i,) for i in range(len(trees.folders))], "shard int").repartition(len(trees.folders), "shard")
     found = tasks.mapInArrow(search, f"id {kind}, near array<struct<id: {kind}, similarity: double>>, many boolean")
     found = shared.materialize(found, "similar")
     answered = found.select("id", "near")
@@ -398,7 +505,7 @@ def _further_copies(raw: DataFrame, listed: DataFrame, dim: int, kind: str) -> D
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, _, g = _directions(batch.column(0), batch.column(1), dim)
+            ids, _, _, g = _directions(batch.column(0), batch.column(1), dim)
             yield pa.RecordBatch.from_arrays([ids, pa.array(g[:, 0]), pa.array(g[:, 1])], names=["id", "g1", "g2"])
 
     copies = raw.mapInArrow(digest, f"id {kind}, g1 long, g2 long").distinct()
