@@ -10,7 +10,7 @@
    vantage point, down to leaves of ``LEAF_ROWS``. So the depth follows the number of vectors, whatever that of the roots.
 4. A task per shard answers the shard's own vectors. It searches its own trees first, then those of
    the other shards in the order of their distance. A half is pruned if the triangle inequality puts it farther away than
-   the k-th best so far, the distance being taken ``relax`` times: with factor one the search is exact; larger
+   the k-th best so far divided by the factor ``relax`` (below the roots, ``RELAX_HALVES`` at most): with factor one the search is exact; larger
    factors prune more and may miss some. Leaves are compared by one matrix product each. Vectors whose
    k-th best comes within ``near`` are searched a second time with factor one, so their answers are exact if the factor
    missed none of what brought them there.
@@ -38,12 +38,13 @@ from quillspan import shared
 
 K = 5
 DIMENSIONS = 64
-#: Pruning factor; 1 is exact. Recall of the k best at 6 is measured in the tests and given in the README.
-RELAX = 6.0
+#: Pruning factors of the roots and of the halves below them, which are less compact; with a factor of 1 both are exact.
+#: Recall of the k best is measured in the tests and given in the README.
+RELAX, RELAX_HALVES = 5.0, 2.0
 #: The root vantage points are fitted on so many vectors at most, a dozen for each root; all others are only assigned.
 SAMPLE = 24_576
 NODE_ROWS, LEAST_NODES, MOST_NODES = 384, 8, SAMPLE // 12
-LEAF_ROWS = 96
+LEAF_ROWS = 192
 #: Similarity of the k-th best from which a vector is searched again with factor one.
 NEAR = 0.9
 SHARD_ROWS = 8192
@@ -280,7 +281,7 @@ class _Search:
             angle = _angles(node.point[None], self.own.vectors[q])[0]
         middle = node.halves[0][2]
         for half, least, most in node.halves if np.count_nonzero(angle < middle) * 2 >= len(q) else node.halves[::-1]:
-            limit = self.limit[q]
+            limit = self.limit[q] * self.inner
             near = q[(angle - most <= limit) & (least - angle <= limit)]
             if len(near):
                 self._visit(found, other, half, near, None)
@@ -288,6 +289,7 @@ class _Search:
     def run(self, q: np.ndarray, relax: float) -> None:
         """Search the vectors numbered ``q``."""
         self.relax, trees = relax, self.trees
+        self.inner = np.float32(relax / min(relax, RELAX_HALVES))
         angle = np.full((len(trees.points), len(self.own.vectors)), np.nan, np.float32)
         angle[:, q] = _angles(trees.points, self.own.vectors[q])
         to_root = angle[:, q].mean(1)
@@ -322,7 +324,8 @@ class _Search:
         while node is not leaf:
             inner, outer = node.halves
             mine, other = (inner, outer) if leaf.end <= inner[0].end else (outer, inner)
-            near = (angle - other[2] <= self.limit[q]) & (other[1] - angle <= self.limit[q])
+            limit = self.limit[q] * self.inner
+            near = (angle - other[2] <= limit) & (other[1] - angle <= limit)
             if near.any():
                 self._visit(self.own, self.shard, other[0], q[near], None)
             node = mine[0]
