@@ -5,10 +5,16 @@
    texts, and the lines at page edges (short, every word capitalised), reduced to fuzzy keys without
    numbers and with letters that scanners confuse folded together. A key that repeats in the middle
    of texts is a running header; one that only ever opens texts is a section's head.
-3. Page-number lines and header lines are taken out, lines are joined: a word broken over a line
+3. A line that holds a number alone is a page's number if it stands at a page's edge: marked as one (in dashes or
+   brackets, after p.), beside a running header or a head, or where it breaks a sentence in two; or if it continues the sequence
+   of another page number of its text. A bare number elsewhere must at least lie within the range of the
+   page numbers attested at edges in the whole corpus; a capital letter or numeral, a digit or a short number
+   with a full stop is then left alone, as are years. (Texts are not whole pages in a row, so that a sequence can be
+   followed within a text only.) Page numbers and headers are taken out, lines are joined: a word broken over a line
    end is closed up unless the vocabulary knows it as a compound with its own hyphen.
 4. A word the vocabulary lacks is misread if undoing a few scanner confusions or removing specks gives a
-   word it has; names (capitals within a sentence), numerals, and words of other scripts are left alone.
+   word it has; names (capitals within a sentence), numerals, and words of other scripts are left alone. The
+   vocabulary is searched as a tree of letters, so that words of any length and any number of specks are looked up.
 
 Both tables are bounded by construction, since an entry needs a least share of all words or of all
 edge lines (``WORD_SHARE``, ``EDGE_SHARE``): at most 1 / share entries, whatever the corpus.
@@ -21,8 +27,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, fields, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,12 +45,14 @@ NAME_SHARE = 2e-6
 EDGE_SHARE = 2e-5
 #: Share of a key's lines that stand within texts, from which it is a header and not a head.
 WITHIN_SHARE = 0.2
+#: Confusions undone in one word.
+MOST_CONFUSIONS = 3
 
 # What scanners write -> what is printed.
 _CONFUSED = {
     "li": "h", "b": "h", "c": "e", "f": "ts", "i": "rl", "n": "u", "u": "n", "rn": "m", "cl": "d", "vv": "w", "v": "y", "ſ": "s",
-    "0": "o", "1": "li", "j": "i", "^": "a", "l>": "b", "o": "ce", "ﬁ": ("fi",), "ﬂ": ("fl",), "U": ("ll",), "\\'": "v", "5": "s", "8": "sb", "9": "sog",
-    "6": "b", "m": ("rn",), "l": "it", "ii": "u", "d": ("cl",), "h": ("b", "li"), "e": "c", "t": "f", "r": ("i",), "y": "v", "w": ("vv",), "q": "g", "g": "q", "I": "l", "|": "l", "!": "l",
+    "0": "o", "1": "li", "j": "i", "^": "a", "l>": "b", "o": "ce", "ﬁ": ("fi",), "ﬂ": ("fl",), "U": ("ll", "tt"), "\\'": "v", "5": "s", "8": "sb", "9": "sog",
+    "6": "b", "m": ("rn", "in"), "l": "it", "ii": "u", "d": ("cl",), "h": ("b", "li"), "e": "c", "t": "f", "r": ("i",), "y": "v", "w": ("vv",), "q": "g", "g": "q", "I": "l", "|": "l", "!": "l",
 }
 #: Rarer confusions, tried after the others: the printed pair or letter for the one seen.
 _CONFUSED_PAIR = {"n": ("ri",), "w": ("ri",), "u": ("ii",), "a": ("o",), "s": ("a",)}
@@ -56,10 +64,16 @@ _PAGE = re.compile(
     r"(?:(?=\S*\d)[0-9lIOoSsBZz|!^■•*.,;:'~]{1,6}|[lIO|]{1,3}|c?(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})|[LX]{0,4}[IVX]{1,5})"
     r"[\])}>—–\-~_.,*• ]*(?: [A-Z]\d?)?"
 )
+#: What tells a page's number by itself; numerals in capitals, which are sections' as well; ends of sentences.
+_MARKED_PAGE = re.compile(r"[\[({<—–\-~_*•]\s*\S|[Pp](?:p|g|age)?\. ?\S|fol\. ?\S")
+_CAPITAL_NUMERAL = re.compile(r"[IVXLC]+\.?")
+_SENTENCE_END = re.compile(r"[.?!:][\"”’')\]]*$")
+_DIGITS = str.maketrans("lIOoSsBZz|!", "11005582211")
 _ROMAN = re.compile(r"[IVXLCDMl1]+", re.I)
 _NUMERAL = re.compile(r"(?=.)m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
 _NUMBERISH = re.compile(r"[\dlIOoSB^|!.,:;'■•*~-]*\d[\dlIOoSB^|!.,:;'■•*~-]*|[lIO]{1,4}")
 _LOWER_WORD = re.compile(r"(?:^|\s)[^\w\s]*[^\W\d_A-Z](?:[a-z]|[^\w\s]*(?:\s|$))")
+_SMALL_NUMERAL = re.compile(r"(?<!\S)[ivxlcIVXLC1|]+[.\])]*(?!\S)")
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 _SPECK = re.compile(r"[^\w\-]|_")
 _LATIN = re.compile(r"[A-Za-zſﬁﬂ0-9]")
@@ -69,7 +83,7 @@ _OTHER_SCRIPT = re.compile(r"[^\W\d_A-Za-zÀ-ɏſﬁﬂ]")
 def edge_key(line: str) -> str:
     """A line at a page edge without its numbers, confusable letters folded; empty if it is no such line."""
     s = line.strip()
-    if not 3 <= len(s) <= 60 or s[-1] in ",;—-" or _LOWER_WORD.search(s):
+    if not 3 <= len(s) <= 60 or s[-1] in ",;—-" or _LOWER_WORD.search(_SMALL_NUMERAL.sub(" ", s)):
         return ""
     if sum(ch.islower() for ch in s) > 0.3 * len(s) and not re.search(r"(?:^|\s)\W*\d", s):
         return ""  # capitals at word beginnings only, and no number: names at the end of a paragraph
@@ -85,11 +99,58 @@ def edge_key(line: str) -> str:
 
 
 def is_page_number(line: str) -> bool:
-    """A number or numeral alone in its line, perhaps misread, in brackets, or with the letter of a sheet."""
+    """A number or numeral alone in its line, perhaps misread, in brackets, or with the letter of a sheet: it may be a page's."""
     s = line.strip()
     return 0 < len(s) <= 14 and re.search(r"[0-9a-zA-Z]", s) is not None and _PAGE.fullmatch(s) is not None
 
 
+def page_value(line: str) -> int | None:
+    """The number that a page-number line shows, letters read as the digits they stand for; None for a numeral or one beyond reading."""
+    bare = re.sub(r"^(?:[Pp](?:p|g|age)?|fol)\.?(?= ?[0-9])", "", re.sub(r"^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "", line)).strip()
+    bare = re.sub(r" [A-Z]\d?$", "", bare).translate(_DIGITS)
+    return int(bare) if bare.isdecimal() and len(bare) < 10 else None
+
+
+def _at_edge(lines: list[str], at: int, headers: set[int]) -> bool:
+    """Whether a page-number line shows by its form or place that a page ends there."""
+    s = lines[at]
+    if _MARKED_PAGE.match(s):
+        return True
+    before = next((i for i in range(at - 1, -1, -1) if lines[i]), None)
+    after = next((i for i in range(at + 1, len(lines)) if lines[i]), None)
+    if before in headers or after in headers:
+        return True
+    if _CAPITAL_NUMERAL.fullmatch(s) or (len(s) == 1 and s.isupper()):
+        return False
+    if before is None or after is None:
+        return after is not None and lines[after][:1].islower()
+    return not _SENTENCE_END.search(lines[before]) and (len(s) > 1 or lines[after][:1].islower())
+
+
+def page_numbers(lines: list[str], headers: set[int], most: int) -> set[int]:
+    """The lines of a text that are page numbers. ``headers``: its running headers and heads; ``most``: the greatest number attested at edges in the corpus."""
+    may = [i for i, s in enumerate(lines) if s and i not in headers and is_page_number(s)]
+    value = {i: page_value(lines[i]) for i in may}
+    sure = {i for i in may if _at_edge(lines, i, headers) and (_MARKED_PAGE.match(lines[i]) or value[i] is None or not most or value[i] <= most)}
+    known = {value[i] for i in sure} - {None}
+    filled = [i for i, s in enumerate(lines) if s]
+    for i in may:
+        s, v = lines[i], value[i]
+        outermost = i in (filled[0], filled[-1])
+        if i in sure or _CAPITAL_NUMERAL.fullmatch(s) or (len(s) == 1 and s.isupper()):
+            continue
+        follows = len(s) > 1 and v is not None and bool(known & {v - 1, v + 1})
+        if len(s) == 1:
+            likely = s == "l" or outermost  # no word, but a one
+        elif s[-1] == ".":
+            likely = v is not None and v <= most and (v >= 100 or (outermost and v >= 10))  # shorter ones may number the items of a list
+        else:
+            likely = v is None or v <= most
+        if follows or likely:
+            sure.add(i)
+    return sure
+
+
 def _near(a: str, b: str, most: int) -> bool:
     if abs(len(a) - len(b)) > most:
         return False
@@ -103,6 +164,39 @@ def _near(a: str, b: str, most: int) -> bool:
     return row[-1] <= most
 
 
+class Fuzzy:
+    """Keys that can be found with a few edits: with so many parts that one of them is free of edits, looked up where the edits may have moved it."""
+
+    def __init__(self, keys: frozenset[str], edits: Callable[[int], int]) -> None:
+        self.edits, self.parts = edits, {}
+        for key in keys:
+            for at, part in self._cut(len(key)):
+                self.parts.setdefault((len(key), at, key[at : at + part]), []).append(key)
+
+    def _cut(self, length: int) -> Iterator[tuple[int, int]]:
+        """(begin, length) of the parts of keys of a length."""
+        n = min(length, self.edits(length + self.edits(length) + 1) + 1)
+        bounds = [length * i // n for i in range(n + 1)] if n else []
+        yield from ((a, b - a) for a, b in zip(bounds, bounds[1:]))
+
+    def has(self, key: str, most: int | None = None) -> bool:
+        most = self.edits(len(key)) if most is None else most
+        seen = set()
+        for length in range(max(0, len(key) - most), len(key) + most + 1):
+            for at, part in self._cut(length):
+                for begin in range(max(0, at - most), min(len(key) - part, at + most) + 1):
+                    for other in self.parts.get((length, at, key[begin : begin + part]), ()):
+                        if other not in seen:
+                            seen.add(other)
+                            if _near(key, other, most):
+                                return True
+        return False
+
+
+def _edits(length: int) -> int:
+    return 1 + length // 12
+
+
 @dataclass
 class Corpus:
     """What all texts together say."""
@@ -110,30 +204,44 @@ class Corpus:
     words: dict[str, int] = field(default_factory=dict)
     headers: frozenset[str] = frozenset()
     heads: frozenset[str] = frozenset()
-    head_words: frozenset[str] = frozenset()
     names: frozenset[str] = frozenset()
 
+    page_most: int = 0
+
     def __post_init__(self) -> None:
         self._undone: dict[str, str | None] = {}
-        self._keys: dict[str, bool] = {}
+        self._keys: dict[str, tuple[bool, bool]] = {}
+        self._fuzzy_headers, self._fuzzy_heads = Fuzzy(self.headers, _edits), Fuzzy(self.heads, _edits)
+        self._openings = {" ".join(k.split()[:2]) for k in self.headers if len(k.split()) > 2}
+        self._tree: dict | None = None
 
     def __getstate__(self):
-        return {"words": self.words, "headers": self.headers, "heads": self.heads, "head_words": self.head_words, "names": self.names}
+        return {x.name: getattr(self, x.name) for x in fields(self)}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
         self.__post_init__()
 
-    def is_header(self, key: str) -> bool:
+    def _kind(self, key: str) -> tuple[bool, bool]:
+        """Whether a key is a header's, and a head's, with a few edits."""
         if key not in self._keys:
-            hit = key in self.headers
-            if not hit and key not in self.heads and len(key) >= 8:
-                hit = any(_near(key, k, 1 + len(key) // 12) for k in self.headers) and not any(_near(key, k, 1) for k in self.heads)
+            if len(self._keys) > 200_000:
+                self._keys.clear()
+            header = key in self.headers
+            if not header and key not in self.heads and len(key) >= 8:
+                header = self._fuzzy_headers.has(key) and not self._fuzzy_heads.has(key, 1)
                 two = " ".join(key.split()[:2])
-                hit = hit or (len(two) >= 6 and two != key and any(k.startswith(two + " ") for k in self.headers))
-            self._keys[key] = hit
+                header = header or (len(two) >= 6 and two != key and two in self._openings)
+            head = key in self.heads or (len(key) > 4 and self._fuzzy_heads.has(key))
+            self._keys[key] = header, head
         return self._keys[key]
 
+    def is_header(self, key: str) -> bool:
+        return self._kind(key)[0]
+
+    def is_head(self, key: str) -> bool:
+        return self._kind(key)[1]
+
     def printed(self, seen: str) -> str | None:
         """The ordinary word that ``seen`` is a misreading of; None if it is none."""
         if seen not in self._undone:
@@ -143,43 +251,62 @@ class Corpus:
         return self._undone[seen]
 
     def _undo(self, seen: str) -> str | None:
-        best: str | None = None
-        rank: tuple[int, int] = (9, 0)
-        starts = {seen}
-        specks = [m.start() for m in _SPECK.finditer(seen)]
-        if len(specks) > 3 or len(seen) > 40:
-            return None
-        for at in reversed(specks):
-            grown = set()
-            for s in starts:
-                grown.add(s[:at] + s[at + 1 :])
-                grown.add(s)
-                grown.update(s[:at] + ch + s[at + 1 :] for ch in "abcdefghijklmnopqrstuvwxyz")
-            starts = grown
-            if len(starts) > 3000:
-                break
-        level = starts
-        for depth in range(4):
-            for s in level:
-                w = s.lower()
-                if w in self.words and w != seen.lower():
-                    score = (depth, -self.words[w])
-                    if score < rank:
-                        best, rank = w, score
-            if best is not None or depth == 3 or len(level) > 4000:
-                return best
-            level = {t for s in level for t in _once(s, depth == 0)}
-        return best
-
-
-def _once(s: str, rare: bool) -> Iterator[str]:
-    for table in (_CONFUSED, _CONFUSED_PAIR) if rare else (_CONFUSED,):
-        for seen, printed in table.items():
-            at = s.find(seen)
-            while at >= 0:
-                for p in printed:
-                    yield s[:at] + p + s[at + len(seen) :]
-                at = s.find(seen, at + 1)
+        """The word with the fewest confusions to undo, of these the most frequent."""
+        if self._tree is None:
+            self._tree = {}
+            for word in self.words:
+                node = self._tree
+                for ch in word:
+                    node = node.setdefault(ch, {})
+                node[""] = word
+        own = seen.lower()
+        for most in range(MOST_CONFUSIONS + 1):
+            found = {w for w in self._reached(seen, most) if w != own}
+            if found:
+                return max(found, key=lambda w: (self.words[w], w))
+        return None
+
+    def _reached(self, seen: str, most: int) -> set[str]:
+        """Words from which ``most`` confusions, and any specks, make ``seen``."""
+        found: set[str] = set()
+        todo = [(0, self._tree, most, True)]  # place in ``seen``, place in the tree, confusions left, whether a rare one is
+        been = set()
+        while todo:
+            at, node, left, rare = todo.pop()
+            if (at, id(node), left, rare) in been:
+                continue
+            been.add((at, id(node), left, rare))
+            if at == len(seen):
+                if not left and "" in node:
+                    found.add(node[""])
+                continue
+            ch = seen[at]
+            if (after := node.get(ch.lower())) is not None and len(ch.lower()) == 1:
+                todo.append((at + 1, after, left, rare))
+            if _SPECK.match(ch):  # taken out, or in a letter's place
+                todo.append((at + 1, node, left, rare))
+                todo.extend((at + 1, after, left, rare) for letter, after in node.items() if letter and letter.isascii() and letter.isalpha())
+            if left:
+                for table in (_BY_FIRST, _RARE_BY_FIRST) if rare else (_BY_FIRST,):
+                    for wrong, right in table.get(ch, ()):
+                        if seen.startswith(wrong, at):
+                            for letters in right:
+                                after = node
+                                for x in letters:
+                                    after = after.get(x) if after is not None else None
+                                if after is not None:
+                                    todo.append((at + len(wrong), after, left - 1, rare and table is _BY_FIRST))
+        return found
+
+
+def _by_first(table: dict[str, object]) -> dict[str, list[tuple[str, tuple[str, ...]]]]:
+    out: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
+    for wrong, right in table.items():
+        out.setdefault(wrong[0], []).append((wrong, tuple(right)))
+    return out
+
+
+_BY_FIRST, _RARE_BY_FIRST = _by_first(_CONFUSED), _by_first(_CONFUSED_PAIR)
 
 
 def _lines(text: str) -> list[str]:
@@ -188,18 +315,19 @@ def _lines(text: str) -> list[str]:
 
 def kinds_of_lines(lines: list[str], corpus: Corpus) -> list[str]:
     """blank, page_no, header, head or body for each line."""
+    keys = [edge_key(s) if s else "" for s in lines]
+    lone = {i for i, key in enumerate(keys) if key and not is_page_number(lines[i])}
+    headers = {i for i in lone if corpus.is_header(keys[i])}
+    pages = page_numbers(lines, headers | {i for i in lone if corpus.is_head(keys[i])}, corpus.page_most)
     out, opening = [], True
-    for s in lines:
+    for i, (s, key) in enumerate(zip(lines, keys)):
         if not s:
             out.append("blank")
-            continue
-        if is_page_number(s):
+        elif i in pages:
             out.append("page_no")
-            continue
-        key = edge_key(s)
-        if key and corpus.is_header(key):
+        elif i in headers:
             out.append("header")
-        elif key and opening and (key in corpus.heads or any(_near(key, k, 1 + len(key) // 12) for k in corpus.heads if len(k) > 5)):
+        elif key and opening and corpus.is_head(key):
             out.append("head")
         else:
             out.append("body")
@@ -282,7 +410,14 @@ def _respelt(paragraph: str, corpus: Corpus) -> tuple[str, bool]:
         if bare.endswith("'") or bare.startswith("'"):
             bare = bare.strip("'")
         at = piece.find(bare)
-        if bare and (word := _misread(bare, begins or head, corpus, head)) is not None:
+        word = _misread(bare, begins or head, corpus, head) if bare else None
+        if word is None and len(bare) > 2 and bare.islower() and bare not in corpus.words and not _NUMERAL.fullmatch(bare):
+            # a mark at the word's end may stand for a letter
+            for more in (piece[at : at + len(bare) + 1], piece[max(0, at - 1) : at + len(bare)]):
+                if len(more) > len(bare) and (word := _misread(more, begins or head, corpus, head)) is not None:
+                    at, bare = piece.find(more), more
+                    break
+        if word is not None:
             if bare[:1].isupper() or (begins and not head):
                 word = word[:1].upper() + word[1:]
             pieces[i] = piece[:at] + (word.upper() if head else word) + piece[at + len(bare) :]
@@ -295,8 +430,8 @@ def _misread(seen: str, may_be_capital: bool, corpus: Corpus, head: bool = False
     low = seen.lower()
     if len(seen) < 2 or low in corpus.words or not _LATIN.search(seen) or _OTHER_SCRIPT.search(seen) or not re.search(r"[a-zA-Zſﬁﬂ]", seen):
         return None
-    if head and (seen.upper() in corpus.head_words or _ROMAN.fullmatch(seen)):
-        return None
+    if head and ((seen.isupper() and seen.isalpha()) or _ROMAN.fullmatch(seen)):
+        return None  # what a head is printed in is the corpus's own
     if seen[0].isupper() and (not may_be_capital or low in corpus.names):
         return None
     if _NUMERAL.fullmatch(low) or re.fullmatch(r"[\d.,:;lIO-]+", seen) or low.endswith(("'s", "’s")) and low[:-2] in corpus.words:
@@ -366,7 +501,36 @@ def learn(chunks: DataFrame) -> Corpus:
     kept_keys = keys.join(F.broadcast(total), F.col("n") >= F.greatest(F.lit(2), F.ceil(F.col("total") * EDGE_SHARE))).select("key", "n", "within").collect()  # 1 / share rows at most
     headers = frozenset(r["key"] for r in kept_keys if r["within"] > WITHIN_SHARE * r["n"])
     heads = frozenset(r["key"] for r in kept_keys if r["within"] <= WITHIN_SHARE * r["n"])
-    return Corpus(words, headers, heads, frozenset(w for k in heads for w in k.split()), names)
+    corpus = Corpus(words, headers, heads, names)
+    return replace(corpus, page_most=_attested(chunks, corpus))
+
+
+def _attested(chunks: DataFrame, corpus: Corpus) -> int:
+    """The greatest page number at page edges, rare ones beyond the others left out."""
+    held = chunks.sparkSession.sparkContext.broadcast((corpus.headers, corpus.heads))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Corpus({}, *held.value)
+        for pdf in frames:
+            found = []
+            for text in pdf["text"]:
+                lines = _lines(text)
+                may = [i for i, s in enumerate(lines) if s and is_page_number(s)]
+                if may:
+                    headers = {j for i in may for j in _beside(lines, i) if (key := edge_key(lines[j])) and known.is_header(key)}
+                    found += [v for i in may if (v := page_value(lines[i])) is not None and _at_edge(lines, i, headers)]
+            yield pd.DataFrame({"page": pd.Series(found, dtype="int64")})
+
+    pages = chunks.filter(F.col("scanned") & F.col("text").isNotNull()).select("text").mapInPandas(run, "page long")
+    row = pages.agg(F.percentile_approx("page", 0.99, 10_000).alias("most")).first()
+    return int(row["most"] * 1.1) if row["most"] is not None else 0
+
+
+def _beside(lines: list[str], at: int) -> list[int]:
+    """The lines next to one that are not blank."""
+    before = next((i for i in range(at - 1, -1, -1) if lines[i]), None)
+    after = next((i for i in range(at + 1, len(lines)) if lines[i]), None)
+    return [i for i in (before, after) if i is not None]
 
 
 #: Sources up to this number are broadcast to their texts; more are joined, with the texts salted.

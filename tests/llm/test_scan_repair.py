@@ -1,9 +1,12 @@
 """Scanned text: each kind of noise, and what is none."""
 
+import random
+from dataclasses import replace
+
 import pytest
 
 from quillspan.llm import queries, scan_repair
-from quillspan.llm.scan_repair import Corpus, analyse, edge_key, is_page_number
+from quillspan.llm.scan_repair import Corpus, analyse, edge_key, is_page_number, page_numbers
 
 WORDS = "the of and river mountain harvest inheritance wonderful therefore establishes soul-stirring well-known far-off prudent there was neither tower nor we have here a who restores shall be before olive deliver dim writer this".split()
 
@@ -11,7 +14,7 @@ WORDS = "the of and river mountain harvest inheritance wonderful therefore estab
 @pytest.fixture(scope="module")
 def corpus():
     key = edge_key("THE LANTERN OF HYMNS. 12")
-    return Corpus({w: 100 for w in WORDS}, frozenset({key, edge_key("HYMN THE FIRST. 3"), edge_key("[HYMN CIV.")}), frozenset({edge_key("EXPLANATORY NOTES."), edge_key("HYMN IV.")}), frozenset({"HYMN"}), frozenset({"harvett"}))
+    return Corpus({w: 100 for w in WORDS}, frozenset({key, edge_key("HYMN THE FIRST. 3"), edge_key("[HYMN CIV.")}), frozenset({edge_key("EXPLANATORY NOTES."), edge_key("HYMN IV.")}), names=frozenset({"harvett"}))
 
 
 @pytest.mark.parametrize("line", ["12", "[12]", "- 12 -", "— 112 —", "p. 377", "12.", "l2", "9O1", "115 P", "xiv", "4l1", "1^7"])
@@ -104,3 +107,50 @@ def test_test_table(spark, data):
     assert got.columns == ["chunk_id", "noise"] and {r.noise for r in got.collect()} <= {"hyphen", "misread", "header", "page_no"}
     assert queries.p4_chunks(spark, data).select("chunk_id").distinct().count() == spark.read.parquet(f"{data}/chunk.parquet").select("id").distinct().count()
     assert queries.p4_comments(spark, data).count() > 0
+
+
+@pytest.mark.parametrize("line", ["I", "O", "II.", "VI", "1.", "5", "1689"])
+def test_numbers_of_the_text_stay(corpus, line):
+    """What may be a list's number, a section's numeral or a year is left where nothing shows a page's edge."""
+    known = replace(corpus, page_most=500)
+    text = f"the river of the mountain.\n{line}\nThe harvest and the river."
+    assert analyse(text, known) == (f"the river of the mountain. {line} The harvest and the river.", [])
+
+
+@pytest.mark.parametrize("text", ["the river of\n{}\nthe mountain", "the river.\n{}\nHYMN THE FIRST. 3\nThe mountain", "{}\nthe mountain and the river", "the river of\n\n{}\n\nthe mountain"])
+@pytest.mark.parametrize("line", ["12", "- 12 -", "p. 377", "12.", "xiv"])
+def test_page_numbers_at_edges(corpus, text, line):
+    assert "page_no" in analyse(text.format(line), replace(corpus, page_most=500))[1]
+
+
+def test_page_numbers_in_sequence(corpus):
+    known = replace(corpus, page_most=500)
+    assert page_numbers(["the river of", "12", "the mountain.", "13.", "The harvest."], set(), 500) == {1, 3}
+    assert page_numbers(["the mountain.", "13.", "The harvest."], set(), 500) == set()
+    assert analyse("the river of\n1689\nthe mountain", known) == ("the river of 1689 the mountain", [])
+
+
+def test_fuzzy_keys_are_those_near_by_brute_force():
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ABC ") for _ in range(n))
+    keys = frozenset(word(rng.randint(1, 40)) for _ in range(300))
+    index = scan_repair.Fuzzy(keys, scan_repair._edits)
+    for _ in range(400):
+        k = list(rng.choice(sorted(keys)))
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(k) + 1)
+            k[at : at + rng.randint(0, 1)] = rng.choice(["", "A", "B"])
+        k = "".join(k)
+        assert index.has(k) == any(scan_repair._near(k, x, scan_repair._edits(len(k))) for x in keys), k
+
+
+def test_words_of_any_length_and_with_any_specks(corpus):
+    long = "x" * 50 + "river"
+    known = replace(corpus, words=corpus.words | {long: 9})
+    assert known.printed("r.i•v^e'r") == "river" and known.printed("x" * 50 + "riv•r") == long and known.printed("r•i•v•e•r") == "river"
+    assert known.printed("thc") == "the" and known.printed("zzz") is None
+
+
+def test_misread_words_of_heads(corpus):
+    known = replace(corpus, words=corpus.words | {"this": 9})
+    assert analyse("WORKS UPON fHIS HYMN.\n\nthe river", known) == ("WORKS UPON THIS HYMN.\n\nthe river", ["misread"])
