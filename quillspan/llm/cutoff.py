@@ -53,7 +53,10 @@ ORDERS = (1, 2, 3, 4, 5, 6, 8, 10, 12)
 BACKOFF = 8.0
 #: Log-odds beyond which more evidence changes nothing.
 CERTAIN = 12.0
+#: Characters of a text's end looked at first; twice as many, and so on, where they do not hold what is looked for.
 _TAIL = 400
+#: Contexts that some text ends in, up to which they are sent to the tasks that count contexts; more are joined afterwards.
+BROADCAST_CONTEXTS = 4_000_000
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+|\n+|[^\w\s]|_")
 _MARKS = (
@@ -65,6 +68,7 @@ _MARKS = (
     ("dash", re.compile(r"(?<=[^\W_])\s*[-–—]+\s*\Z")),
     ("quoted", re.compile(r"(?<=[^\W_])\s*[\"”’»]+\s*\Z")),
 )
+_LETTERS = re.compile(r"[^\W\d_]*(?:['’][^\W\d_]+)*\Z")
 _STOP = re.compile(r"[.?!।。؟][\"”’»')\]]*\Z")
 _HAS_STOP = re.compile(r"[^\W\d_]{2,}[.?!।。؟][\"”’»')\]]*(?:\s|\Z)")
 #: Marks that begin a context, that end a line or sentence, and that show a finished clause.
@@ -81,11 +85,37 @@ def ending(text: str) -> tuple[str, str]:
     """(text without what was put after its end, kind of that)."""
     s = text.rstrip()
     for kind, mark in _MARKS:
-        if m := mark.search(s, max(0, len(s) - 60)):
+        begin = max(0, len(s) - 60)
+        m = mark.search(s, begin)
+        while m and m.start() == begin and begin:  # it may begin before
+            begin = max(0, begin - 2 * (len(s) - begin))
+            m = mark.search(s, begin)
+        if m:
             return s[: m.start()].rstrip(), kind
     return s, "plain"
 
 
+def last_tokens(body: str) -> list[str]:
+    """The tokens of the end: as many as the longest context sees, and the one that a cut in the middle may have harmed, or all."""
+    size = _TAIL
+    while size < len(body):
+        tokens = _TOKEN.findall(body[-size:])
+        if len(tokens) > ORDERS[-1] + 1:
+            return tokens[1:]
+        size *= 2
+    return _TOKEN.findall(body)
+
+
+def last_letters(body: str) -> str:
+    """The word, or piece of one, that a text ends in."""
+    size = 60
+    while True:
+        found = _LETTERS.search(body[-size:])
+        if found.start() or size >= len(body):
+            return found.group(0)
+        size *= 2
+
+
 def style_of(text: str) -> str:
     """s: full stops end its sentences; v: it has none, as verse, lists and headings."""
     return "s" if _HAS_STOP.search(text[: max(0, len(text) - 1)]) else "v"
@@ -241,8 +271,12 @@ class Words:
 _BATCH_TOKENS = 150_000
 
 
-def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
-    """(h, total, ends, stops): occurrences of every context, those where a line ends, those before a stop or comma. The row h = -1 sums them all."""
+def _count_contexts(texts: DataFrame, reduction: Reduction, wanted: np.ndarray | None) -> DataFrame:
+    """(h, total, ends, stops): occurrences of every context, those where a line ends, those before a stop or comma. The row h = -1 sums them all.
+
+    ``wanted``: the only contexts to count, in order; None counts all.
+    """
+    held = None if wanted is None else texts.sparkSession.sparkContext.broadcast(wanted)
 
     def counted_in(batch: _Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         inner = np.ones(len(batch.codes), bool)
@@ -255,6 +289,12 @@ def _count_contexts(texts: DataFrame, reduction: Reduction) -> DataFrame:
         line_end = newline & ~batch.has(_ENDS) & (last | ((then & np.uint64(_SMALL)) == 0))
         stop = (after & np.uint64(_FINISHED)) != 0
         seen = [inner & batch.longer[j] for j in batch.contexts]
+        if held is not None and len(held.value):
+            for at, h in zip(seen, batch.contexts.values()):
+                rows = np.flatnonzero(at)
+                values = h[rows].astype(np.int64)
+                place = np.minimum(np.searchsorted(held.value, values), len(held.value) - 1)
+                at[rows[held.value[place] != values]] = False
         h = np.concatenate([x[m] for x, m in zip(batch.contexts.values(), seen)])
         marks = [np.concatenate([x[m] for m in seen]) for x in (line_end, stop)]
         sums = np.array([inner.sum(), (line_end & inner).sum(), (stop & inner).sum()], np.int64)
@@ -306,7 +346,7 @@ def _summed(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[first], np.add.reduceat(counts[order], first, axis=0)
 
 
-_END = "id {id}, source string, kind string, chars int, bytes int, tail_hash long, letters string, stopped boolean, contexts array<bigint>"
+_END = "id {id}, source string, kind string, chars int, bytes int, text_hash long, letters string, stopped boolean, contexts array<bigint>"
 
 
 def text_ends(texts: DataFrame, reduction: Reduction) -> DataFrame:
@@ -321,10 +361,10 @@ def text_ends(texts: DataFrame, reduction: Reduction) -> DataFrame:
             for key, source, lang, text in zip(pdf["id"], pdf["source"], pdf["lang"], pdf["text"]):
                 body, kind = ending(text)
                 stopped = not body or _STOP.search(body) is not None
-                digest = xxhash.xxh64_intdigest(re.sub(r"[\W\d_]+", "", text[-600:])[-150:]) >> 1
-                letters = "" if stopped else re.search(r"[^\W\d_]*(?:['’][^\W\d_]+)*\Z", body[-60:]).group(0)
+                digest = xxhash.xxh64_intdigest(re.sub(r"[\W\d_]+", "", text)) >> 1
+                letters = "" if stopped else last_letters(body)
                 rows.append([key, source, kind, len(text), len(text.encode()), digest, letters, stopped, []])
-                if not stopped and (tokens := _TOKEN.findall(body[-_TAIL:])):
+                if not stopped and (tokens := last_tokens(body)):
                     open_ends.append((len(rows) - 1, (tokens, lang, style_of(body))))
             if open_ends:
                 batch = coder.batch([t for _, t in open_ends])
@@ -332,14 +372,14 @@ def text_ends(texts: DataFrame, reduction: Reduction) -> DataFrame:
                 longer = np.stack([x[batch.ends - 1] for x in batch.longer.values()], 1)
                 for (i, _), contexts, use in zip(open_ends, at, longer):
                     rows[i][-1] = contexts[use].tolist()
-            yield pd.DataFrame(rows, columns=["id", "source", "kind", "chars", "bytes", "tail_hash", "letters", "stopped", "contexts"])
+            yield pd.DataFrame(rows, columns=["id", "source", "kind", "chars", "bytes", "text_hash", "letters", "stopped", "contexts"])
 
     return texts.mapInPandas(run, _END.format(id=texts.schema["id"].dataType.simpleString()))
 
 
 def piles(ends: DataFrame, unit: str) -> DataFrame:
     """(source, upto): lengths just below which a source's distinct texts pile up."""
-    counted = ends.dropDuplicates(["source", "tail_hash", unit]).groupBy("source", unit).agg(F.count("*").alias("n"))
+    counted = ends.dropDuplicates(["source", "text_hash", unit]).groupBy("source", unit).agg(F.count("*").alias("n"))
     by = Window.partitionBy("source").orderBy(unit)
     near, above, below = (F.coalesce(F.sum("n").over(by.rangeBetween(a, b)), F.lit(0)) for a, b in ((1 - REACH, 0), (1, 2 * REACH), (-25 * REACH, -REACH)))
     found = counted.withColumns({"near": near, "above": above, "below": below})
@@ -372,33 +412,46 @@ class Contexts:
         return float(np.log(p / self.base_end)), float(np.log(q / self.base_stop))
 
 
-def _shares(table: pd.DataFrame, rounds: int = 15) -> pd.DataFrame:
-    """Shares of (cut, whole ending, whole clause) per (source, kind), from counts of log-odds: EM, each group drawn to its kind, each kind to all."""
-    odds = np.stack([np.ones(len(table)), np.exp(table["as_end"]), np.exp(table["as_clause"])], 1)
-    n = table["n"].to_numpy(float)[:, None]
-    group, kind = pd.factorize(table["source"] + "\0" + table["kind"])[0], pd.factorize(table["kind"])[0]
-    kind_of = np.zeros(group.max() + 1, int) if len(group) else np.zeros(0, int)
-    kind_of[group] = kind
-    shares = np.full((len(table), 3), 1 / 3)
+_BINS = ("kind", "as_end", "as_clause", "n")
+_SHARES = "source string, kind string, share_cut double, share_ending double, share_clause double"
+
+
+def _kind_shares(table: pd.DataFrame, rounds: int = 15) -> dict[str, np.ndarray]:
+    """Shares of (cut, whole ending, whole clause) of each kind of ending, from counts of log-odds: EM, each kind drawn to all."""
+    odds, n = _odds(table), table["n"].to_numpy(float)[:, None]
+    kind, names = pd.factorize(table["kind"])
+    shares = np.full((len(names), 3), 1 / 3)
     for _ in range(rounds):
-        post = shares * odds
+        post = shares[kind] * odds
         post = post / post.sum(1, keepdims=True) * n
+        sums = np.zeros((len(names), 3))
+        np.add.at(sums, kind, post)
         every = post.sum(0) / max(n.sum(), 1)
-        by_kind = np.zeros((kind.max() + 1, 3)) if len(kind) else np.zeros((0, 3))
-        np.add.at(by_kind, kind, post)
-        by_kind = (by_kind + 2 * every) / (by_kind.sum(1, keepdims=True) + 2)
-        own = np.zeros((len(kind_of), 3))
-        np.add.at(own, group, post)
-        own = (own + 4 * by_kind[kind_of]) / (own.sum(1, keepdims=True) + 4)
-        shares = own[group]
-    out = table[["source", "kind"]].assign(cut=shares[:, 0], ending=shares[:, 1], clause=shares[:, 2])
-    return out.drop_duplicates(["source", "kind"])
+        shares = (sums + 2 * every) / (sums.sum(1, keepdims=True) + 2)
+    return dict(zip(names, shares))
+
+
+def _odds(table: pd.DataFrame) -> np.ndarray:
+    return np.stack([np.ones(len(table)), np.exp(table["as_end"].to_numpy(float)), np.exp(table["as_clause"].to_numpy(float))], 1)
+
+
+def _own_shares(table: pd.DataFrame, kinds: dict[str, np.ndarray], rounds: int = 15) -> list[tuple[str, float, float, float]]:
+    """The same for each kind of ending of one source, drawn to the kind's."""
+    out = []
+    for kind, rows in table.groupby("kind"):
+        odds, n, share = _odds(rows), rows["n"].to_numpy(float)[:, None], kinds[kind]
+        for _ in range(rounds):
+            post = share * odds
+            sums = (post / post.sum(1, keepdims=True) * n).sum(0)
+            share = (sums + 4 * kinds[kind]) / (sums.sum() + 4)
+        out.append((kind, *map(float, share)))
+    return out
 
 
 def _weighed(ends: DataFrame, counted: DataFrame, whole: DataFrame, words: Words) -> DataFrame:
     """``ends`` with the log-odds. ``counted``: what the texts hold of the ends' contexts; ``whole``: the ends to learn from."""
     spark = ends.sparkSession
-    once = whole.dropDuplicates(["tail_hash"]).select(F.explode("contexts").alias("h"))
+    once = whole.dropDuplicates(["text_hash"]).select(F.explode("contexts").alias("h"))
     once = once.groupBy("h").agg(F.count("*").alias("total")).select("h", "total", F.col("total").alias("ends"), F.lit(0).cast("long").alias("stops"))
     sums = counted.filter("h = -1").first()
     t, e, s = (float(sums[c]) if sums else 0.0 for c in ("total", "ends", "stops"))
@@ -430,12 +483,21 @@ def _weighed(ends: DataFrame, counted: DataFrame, whole: DataFrame, words: Words
 
 
 def _decided(weighed: DataFrame) -> DataFrame:
-    spark = weighed.sparkSession
-    source = F.coalesce("source", F.lit(""))
-    grouped = weighed.groupBy(source.alias("source"), "kind", F.round("as_end", 1).alias("as_end"), F.round("as_clause", 1).alias("as_clause")).agg(F.count("*").alias("n"))
-    shares = _shares(grouped.toArrow().to_pandas())  # one row per source, kind and tenths of log-odds, which are clipped
-    rows = [tuple(map(str, r[:2])) + tuple(map(float, r[2:])) for r in shares.itertuples(index=False)]
-    prior = spark.createDataFrame(rows, "p_source string, p_kind string, share_cut double, share_ending double, share_clause double")
+    """``weighed`` with the shares of its source and kind, the likelihood of a cut, and the decision.
+
+    Counts of tenths of clipped log-odds by kind come to the driver (241 x 241 a kind at most); those by source are each
+    worked on in a task of its own.
+    """
+    source = F.coalesce("source", F.lit("\0"))
+    tenths = [F.round("as_end", 1).alias("as_end"), F.round("as_clause", 1).alias("as_clause")]
+    counts = weighed.groupBy(source.alias("source"), "kind", *tenths).agg(F.count("*").alias("n"))
+    kinds = _kind_shares(counts.groupBy(*_BINS[:3]).agg(F.sum("n").alias("n")).orderBy(*_BINS[:3]).toArrow().to_pandas())
+
+    def per_source(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = _own_shares(pdf.sort_values(list(_BINS[:3])), kinds)
+        return pd.DataFrame([(pdf["source"].iloc[0], *r) for r in rows], columns=[x.split()[0] for x in _SHARES.split(", ")])
+
+    prior = counts.groupBy("source").applyInPandas(per_source, _SHARES).select(F.col("source").alias("p_source"), F.col("kind").alias("p_kind"), "share_cut", "share_ending", "share_clause")
     out = weighed.join(prior, (source == F.col("p_source")) & (F.col("kind") == F.col("p_kind"))).drop("p_source", "p_kind")
     whole = F.col("share_ending") * F.exp("as_end") + F.col("share_clause") * F.exp("as_clause")
     return out.withColumn("p_cut", F.col("share_cut") / (F.col("share_cut") + whole)).withColumn("cut", F.col("p_cut") > 0.5)
@@ -458,8 +520,12 @@ def judged(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col:
     reduction = Reduction({g: frozenset(w) for g, w in frequent.items()}, closing)
     ends = shared.materialize(text_ends(texts, reduction), "cut-ends")
     wanted = ends.select(F.explode("contexts").alias("h")).distinct().unionByName(ends.sparkSession.createDataFrame([(-1,)], "h long"))
+    wanted, wanted_path = shared.written(wanted, "cut-wanted")
     # only the contexts that some text ends in are ever looked up
-    counted = shared.materialize(_count_contexts(texts, reduction).join(wanted, "h", "left_semi"), "cut-contexts")
+    few = wanted.limit(BROADCAST_CONTEXTS + 1).count() <= BROADCAST_CONTEXTS
+    only = np.sort(wanted.toArrow().column("h").to_numpy()) if few else None
+    counted = _count_contexts(texts, reduction, only)
+    counted = shared.materialize(counted if few else counted.join(wanted, "h", "left_semi"), "cut-contexts")
     limits = {unit: piles(ends, unit) for unit in ("chars", "bytes")}
     unstopped = ends.filter(~F.col("stopped"))
     for unit, found in limits.items():
@@ -467,9 +533,9 @@ def judged(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col:
         at = at.withColumn(f"at_{unit}", F.lit(True))
         unstopped = unstopped.join(at, F.col("source").eqNullSafe(F.col("l_source")) & (F.col(unit) == F.col("l_size")), "left").drop("l_source", "l_size")
     piled = F.coalesce("at_chars", F.lit(False)) | F.coalesce("at_bytes", F.lit(False))
-    unstopped = unstopped.withColumn("kind", F.when(piled, F.concat("kind", F.lit("@limit"))).otherwise(F.col("kind"))).select("id", "source", "kind", "tail_hash", "letters", "contexts")
+    unstopped = unstopped.withColumn("kind", F.when(piled, F.concat("kind", F.lit("@limit"))).otherwise(F.col("kind"))).select("id", "source", "kind", "text_hash", "letters", "contexts")
     first = _decided(_weighed(unstopped.withColumn("counted", F.lit(True)), counted, unstopped, words))
-    first = shared.materialize(first.withColumn("counted", ~F.col("cut")).select("id", "source", "kind", "tail_hash", "letters", "contexts", "counted"), "cut-first")
+    first = shared.materialize(first.withColumn("counted", ~F.col("cut")).select("id", "source", "kind", "text_hash", "letters", "contexts", "counted"), "cut-first")
     out = _decided(_weighed(first, counted, first.filter("counted"), words))
     return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "kind", "as_end", "as_clause", "share_cut", "p_cut", "cut")
 
