@@ -36,6 +36,15 @@ class HashingEncoder:
         return out / np.where(norm > 0, norm, 1)
 
 
+def query_instruction(model: Encoder) -> str:
+    """What the model wants before a query; passages are encoded as they are."""
+    return getattr(model, "query_instruction", "")
+
+
+def query_vector(model: Encoder, query: str) -> list[float]:
+    return [float(x) for x in model.encode([query_instruction(model) + query])[0]]
+
+
 def partition(current: DataFrame, prior: DataFrame, id_col: str) -> DataFrame:
     """(id, action): reused, encoded, or dropped from the prior set."""
     a = current.select(id_col).distinct().withColumn("_c", F.lit(True))

@@ -21,6 +21,13 @@ def resolves(df: DataFrame, spine_df: DataFrame, book: str, chapter: str, verse:
     return joined.withColumn(out, F.coalesce(hit, F.lit(False))).drop("spine_book", "spine_chapter", "spine_length")
 
 
+def malformed(df: DataFrame, books: DataFrame, book: str, chapter: str, verse: Column) -> DataFrame:
+    """Rows whose reference is none under any numbering: an unknown book, or a chapter or verse below one. ``books``: (book)."""
+    known = books.select(F.col("book").alias("_known")).distinct()
+    joined = df.join(known, df[book] == F.col("_known"), "left")
+    return joined.filter(F.col("_known").isNull() | ~F.coalesce((joined[chapter] >= 1) & (verse >= 1), F.lit(False))).drop("_known")
+
+
 def range_hits(refs: DataFrame, ranges: DataFrame, keys: list[str], point: str, start: str, end: str, how: str = "left_semi") -> DataFrame:
     """References whose point lies in a range with equal keys (left_semi), or in none (left_anti)."""
     r = ranges.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(start).alias("_s"), F.col(end).alias("_e"))

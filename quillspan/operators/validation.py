@@ -12,6 +12,10 @@ from quillspan.functions import text as tx
 from quillspan.operators import membership
 
 
+#: Length from which a block is long.
+LONG_BLOCK = tx.LONG_BLOCK
+
+
 def edge_statistics(crossref: DataFrame) -> DataFrame:
     """One row over all edges as delivered, exact repeats once."""
     rows = crossref.distinct()
@@ -83,14 +87,18 @@ def confession_statistics(section: DataFrame, spine: DataFrame) -> DataFrame:
         F.count("*").alias("n_sections"), *[F.countDistinct(c).alias(f"n_{c}s") for c in ("chapter", "question", "article", "lords_day")], F.sum(F.coalesce(F.size("proof_texts"), F.lit(0)).cast("long")).alias("n_proofs")
     )
     stats = stats.withColumn("n_proofs", F.greatest("n_proofs", F.lit(0)))
-    proofs = rows.select("document", F.explode("proof_texts").alias("p")).select("document", F.upper(F.trim("p.book")).alias("book"), "p.chapter", "p.verse_start", "p.verse_end")
-    proofs = membership.resolves(proofs, spine, "book", "chapter", F.col("verse_start"), "start_ok")
-    proofs = membership.resolves(proofs, spine, "book", "chapter", F.col("verse_end"), "end_ok")
-    bad = (~F.col("start_ok")).cast("int") + (F.col("verse_end").isNotNull() & ~F.col("end_ok")).cast("int")
-    bad_ends = proofs.groupBy("document").agg(F.sum(bad).alias("n_bad_ends"))
+    bad_ends = bad_proofs(rows, spine).groupBy("document").agg(F.count("*").alias("n_bad_ends"))
     return stats.join(bad_ends, "document", "left").withColumn("n_bad_ends", F.coalesce("n_bad_ends", F.lit(0).cast("long")))
 
 
+def bad_proofs(section: DataFrame, spine: DataFrame) -> DataFrame:
+    """(document, book, chapter, verse): each start, and each end that is given, of a proof text that does not resolve."""
+    proofs = section.select("document", F.explode("proof_texts").alias("p")).select("document", F.upper(F.trim("p.book")).alias("book"), "p.chapter", "p.verse_start", "p.verse_end")
+    ends = F.array(F.struct(F.lit(True).alias("given"), F.col("verse_start").alias("verse")), F.struct(F.col("verse_end").isNotNull().alias("given"), F.col("verse_end").alias("verse")))
+    rows = proofs.select("document", "book", "chapter", F.explode(ends).alias("e")).filter("e.given").select("document", "book", "chapter", "e.verse")
+    return membership.resolves(rows, spine, "book", "chapter", F.col("verse"), "ok").filter("not ok").drop("ok")
+
+
 def entry_statistics(chunk: DataFrame, long_definition: int = tx.LONG_DEFINITION) -> DataFrame:
     """One row a lexicon: entries by kind of definition."""
     rows = chunk.filter(F.col("resource_type") == "lexicon").select("source", "id", "key", "text").distinct()
@@ -99,6 +107,33 @@ def entry_statistics(chunk: DataFrame, long_definition: int = tx.LONG_DEFINITION
     return rows.withColumn("kind", kind).groupBy("source", "kind").agg(F.count("*").alias("n"), F.countDistinct("key").alias("n_keys"))
 
 
+def classified_entries(entry: DataFrame, long_definition: int = tx.LONG_DEFINITION) -> DataFrame:
+    """``entry`` with kind, long and occurrence (of its key in its lexicon).
+
+    kind: not used; defined; meaning elsewhere (in derivation or usage only); no meaning (of a numbered dictionary); stub (of another).
+    """
+    from pyspark.sql import Window
+
+    has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    numbered = F.col("lexicon") == "strongs"
+    kind = F.when(F.coalesce("not_used", F.lit(False)), "not used").when(has("definition"), "defined").when(~numbered, "stub").when(has("derivation") | has("kjv_def"), "meaning elsewhere").otherwise("no meaning")
+    rows = entry.withColumn("kind", kind).withColumn("long", (F.col("kind") == "defined") & (F.length("definition") > long_definition))
+    keyed = F.when(has("strongs"), F.col("strongs"))
+    by = Window.partitionBy("lexicon", "language", keyed).orderBy(F.coalesce("raw_key", F.lit("")), F.coalesce("definition", F.lit("")))
+    return rows.withColumn("occurrence", F.when(keyed.isNotNull(), F.row_number().over(by)).otherwise(1))
+
+
+def lexicon_statistics(entry: DataFrame) -> DataFrame:
+    """One row a lexicon and language: entries, linked, distinct and repeated keys, unused numbers, defined, long and undefined entries."""
+    rows = classified_entries(entry)
+    linked = F.coalesce(F.col("strongs"), F.lit("")) != ""
+    of = lambda kind: F.count_if(F.col("kind") == kind)
+    return rows.groupBy("lexicon", "language").agg(
+        F.count("*").alias("n_entries"), F.count_if(linked).alias("n_linked"), F.count_distinct(F.when(linked, F.col("strongs"))).alias("n_keys"), F.count_if((F.col("occurrence") > 1) & (F.col("lexicon") == "strongs")).alias("n_duplicates"),
+        of("not used").alias("n_not_used"), of("defined").alias("n_defined"), F.count_if("long").alias("n_long"), of("meaning elsewhere").alias("n_meaning_elsewhere"), of("no meaning").alias("n_no_meaning"), of("stub").alias("n_stubs"),
+    )
+
+
 def garble_statistics(comments: DataFrame) -> DataFrame:
     """(commentator, n, mean_ratio, n_rough): shares of garbled words per commentator."""
     rows = comments.filter(F.col("text").isNotNull()).select("commentator", "key", "text").distinct().withColumn("ratio", tx.garble_ratio(F.col("text")))

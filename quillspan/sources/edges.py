@@ -10,7 +10,7 @@ from quillspan.functions.text import strip
 from quillspan.sources.files import lines
 
 
-def parse(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse(files: DataFrame, codes: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(edges, rejects) of files with a header line and rows source, target, votes.
 
     Rank counts the accepted rows of a source verse in file order. A reject keeps its line number, text and reason.
@@ -19,7 +19,7 @@ def parse(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     cols = F.split("line", "\t", -1)
     get = lambda i: F.get(cols, F.lit(i))
     votes = F.when(F.trim(get(2)).rlike(r"^[+-]?[0-9]+$"), F.trim(get(2)).try_cast("int"))
-    rows = rows.withColumns({"n": F.size(cols), "votes": votes, "src": citations.osis_point(get(0)), "tgt": citations.osis_range(get(1))})
+    rows = rows.withColumns({"n": F.size(cols), "votes": votes, "src": citations.osis_point(get(0), codes), "tgt": citations.osis_range(get(1), codes)})
     reason = (
         F.when(F.col("n") < 3, "too few columns").when(F.col("votes").isNull(), "non-integer votes").when(F.col("src").isNull(), "unparseable source").when(F.col("tgt").isNull(), "unparseable target")
     )

@@ -41,6 +41,14 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def model_provenance(spark: SparkSession, folder: str, name: str, revision: str) -> DataFrame:
+    """(name, revision, n_files, bytes, sha256) of a model's files: the digest is over their sorted 'path:digest' lines, paths within the folder."""
+    rows = digests(spark, folder).withColumn("at", F.regexp_replace("path", r"^.*?/" + re.escape(folder.rstrip("/").rsplit("/", 1)[-1]) + "/", ""))
+    lines_ = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "at", "sha256"))), "\n")
+    made = rows.agg(F.count("*").alias("n_files"), F.sum("bytes").alias("bytes"), F.sha2(lines_, 256).alias("sha256"))
+    return made.select(F.lit(name).alias("name"), F.lit(revision).alias("revision"), "n_files", "bytes", "sha256")
+
+
 def zip_members(spark: SparkSession, path: str, pattern: str = r"\.(?:usfm|sfm)$", member: str | None = None) -> DataFrame:
     """(path, member, text) of the zip's members whose name matches, or of the one named, by name."""
     wanted = re.compile(pattern, re.I)

@@ -255,7 +255,7 @@ def test_lifecycle(spark, tmp_path, data):
     assert meta["n_encoded"] == 1
     assert pipeline.index(spark, t, f"{tmp_path}/again", prior=t, prior_revision=meta["revision"])["n_reused"] == 1
     assert "translations" in pipeline.validate(spark, t)
-    assert int(pipeline.package(spark, t, f"{tmp_path}/pack", ["kjv"])) > 0
+    assert pipeline.package(spark, t, f"{tmp_path}/pack", "kjv", "none", t, t)["total_bytes"] > 0
 
 
 def test_vectors_compare(spark):
