@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspan import shared
 from quillspan.functions import text as tx
 from quillspan.operators.ordered import dense_ids
 
@@ -27,11 +28,11 @@ def terms(posts: DataFrame) -> DataFrame:
     return dense_ids(posts.groupBy("term").agg(F.count("*").alias("df")), ["term"], "term_id")
 
 
-def stats(docs: DataFrame, vocab_size: Column | None = None) -> DataFrame:
+def stats(docs: DataFrame) -> DataFrame:
     """(key, value) rows: n_docs, avgdl, total_tokens, vocab_size, k1, b."""
-    sums = docs.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("total"))
-    vocab = docs.select(F.explode("tokens").alias("term")).distinct().agg(F.count("*").alias("vocab"))
-    one = sums.join(F.broadcast(vocab))
+    # tokens are made once: all sums come from the terms' counts, and the number of documents needs no tokens
+    counts = docs.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    one = docs.agg(F.count("*").alias("n_docs")).crossJoin(counts.agg(F.count("*").alias("vocab"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")))  # one row each
     avgdl = F.when(F.col("n_docs") > 0, F.col("total") / F.col("n_docs")).otherwise(0.0)
     pairs = [("n_docs", F.col("n_docs")), ("avgdl", F.round(avgdl, 6)), ("total_tokens", F.col("total")), ("vocab_size", F.col("vocab")), ("k1", F.lit(K1)), ("b", F.lit(B))]
     return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("key"), v.cast("double").alias("value")) for k, v in pairs])).alias("x")).select("x.key", "x.value")
@@ -43,7 +44,9 @@ def scored(docs: DataFrame, query: list[str]) -> DataFrame:
     The query's postings alone are counted: the term filter runs before the explosion's shuffle.
     """
     want = F.array(*[F.lit(t) for t in sorted(set(query))])
-    hits = docs.select("doc", "len", F.explode(F.filter("tokens", lambda t: F.array_contains(want, t))).alias("term"))
+    # written out with the query's tokens only, as the scores and the corpus scalars both need every document's length
+    docs = shared.materialize(docs.select("doc", "len", F.filter("tokens", lambda t: F.array_contains(want, t)).alias("tokens")), "scored")
+    hits = docs.select("doc", "len", F.explode("tokens").alias("term"))
     tf = hits.groupBy("doc", "len", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     one = docs.agg(F.count("*").alias("n"), F.avg("len").alias("avgdl"))

@@ -50,21 +50,24 @@ def rolled_up(df: DataFrame, keys: list[str], start: str, end: str, text: str, w
     )
 
 
-def gaps(df: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """(keys, gap_start, gap_end): the runs of numbers missing from 1 to the greatest present."""
-    present = df.select(*keys, F.col(number).alias("_n")).filter(F.col("_n") >= 1).distinct()
-    by = Window.partitionBy(*keys).orderBy("_n")
-    before = F.coalesce(F.lag("_n").over(by), F.lit(0))
-    return present.withColumn("_before", before).filter(F.col("_n") > F.col("_before") + 1).select(*keys, (F.col("_before") + 1).alias("gap_start"), (F.col("_n") - 1).alias("gap_end"))
+def gaps(df: DataFrame, keys: list[str], start: str, end: str | None = None, upto: DataFrame | None = None) -> DataFrame:
+    """(keys, gap_start, gap_end): the runs of numbers from 1 that no number, or span from ``start`` to ``end``, covers.
+
+    They reach to the greatest number covered, or to ``upto`` (keys, expected), whose keys may have no rows at all. No span is spread out.
+    """
+    spans = df.select(*keys, F.col(start).alias("_s"), F.col(end or start).alias("_e")).filter((F.col("_e") >= F.col("_s")) & (F.col("_e") >= 1)).distinct()
+    if upto is not None:
+        beyond = upto.filter("expected >= 1").select(*keys, (F.col("expected") + 1).cast(spans.schema["_s"].dataType).alias("_s"), (F.col("expected") + 1).cast(spans.schema["_e"].dataType).alias("_e"))
+        spans = spans.join(beyond.select(*keys, F.col("_s").alias("_stop")), keys, "left").filter(F.col("_stop").isNull() | (F.col("_s") < F.col("_stop"))).drop("_stop").unionByName(beyond)
+    by = Window.partitionBy(*keys).orderBy("_s", "_e")
+    before = F.greatest(F.coalesce(F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lit(0))
+    return spans.withColumn("_before", before).filter(F.col("_s") > F.col("_before") + 1).select(*keys, (F.col("_before") + 1).alias("gap_start"), (F.col("_s") - 1).alias("gap_end"))
 
 
 def missing_numbers(df: DataFrame, keys: list[str], number: str, expected: DataFrame | None = None) -> DataFrame:
-    """(keys, missing): numbers from 1 to the expected count, or to the greatest seen, that are absent."""
-    seen = df.filter(F.col(number).isNotNull()).select(*keys, F.col(number).alias("_n")).distinct()
-    upto = (expected if expected is not None else seen.groupBy(*keys).agg(F.max("_n").alias("expected"))).filter(F.col("expected") >= 1)
-    every = upto.select(*keys, F.explode(F.sequence(F.lit(1).cast("int"), F.col("expected").cast("int"))).alias("missing"))
-    on = [every[k].eqNullSafe(seen[k]) for k in keys] + [every["missing"] == seen["_n"]]
-    return every.join(seen, on, "left_anti")
+    """(keys, missing): numbers from 1 to the expected count, or to the greatest seen, that are absent. Only what is missing is spread out."""
+    runs = gaps(df.filter(F.col(number).isNotNull()), keys, number, upto=expected)
+    return runs.select(*keys, F.explode(F.sequence(F.col("gap_start").cast("int"), F.col("gap_end").cast("int"))).alias("missing"))
 
 
 def repaired_sequence(df: DataFrame, keys: list[str], marker: str, order: list[Column], out: str = "number") -> DataFrame:
@@ -75,7 +78,7 @@ def repaired_sequence(df: DataFrame, keys: list[str], marker: str, order: list[C
 
 
 def carried_forward(df: DataFrame, keys: list[str], value: str | Column, order: list[Column], out: str) -> DataFrame:
-    """The last value that is not null so far."""
+    """The last value that is not null so far. For keys of moderate size, such as a file's; see ``spread_forward``."""
     value = F.col(value) if isinstance(value, str) else value
     return df.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
@@ -88,6 +91,49 @@ def anchored(df: DataFrame, keys: list[str], value: Column, order: list[Column],
     return df.withColumn(out, F.coalesce(before, after))
 
 
+def _blocks(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """``df`` with _block: rows are range-partitioned by keys and order, so a key that holds a third of all rows lies in many blocks, in their order. Written out, so blocks stay what they are."""
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return shared.materialize(df.repartitionByRange(parts, *keys, *order).withColumn("_block", F.spark_partition_id()), "blocks")
+
+
+def _with_block_values(rows: DataFrame, keys: list[str], values: DataFrame) -> DataFrame:
+    """``rows`` joined with ``values``, of which there is one row for a key and block."""
+    renamed = values.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in values.columns if c not in keys and c != "_block"], F.col("_block").alias("_b"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_block") == F.col("_b")]
+    return rows.join(renamed, on).drop(*[f"_k_{k}" for k in keys], "_b", "_block")
+
+
+def spread_rank(df: DataFrame, keys: list[str], order: list[Column], out: str = "rank") -> DataFrame:
+    """As ``running_rank``, with no key in one task: ranks within blocks, shifted by the rows of the key's blocks before."""
+    rows = _blocks(df, keys, order)
+    counts = rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order)))
+    return _with_block_values(ranked, keys, counts.withColumn("_before", before).drop("_n")).withColumn(out, F.col("_r") + F.col("_before")).drop("_r", "_before")
+
+
+def spread_forward(df: DataFrame, keys: list[str], value: str | Column, order: list[Column], out: str, anchor: str | None = None) -> DataFrame:
+    """As ``carried_forward``, and as ``anchored`` in the column ``anchor``, with no key in one task: within blocks, then what the key's other blocks end and begin with."""
+    value = F.col(value) if isinstance(value, str) else value
+    rows = _blocks(df.withColumn("_v", value), keys, order)
+    by = Window.partitionBy(*keys, "_block").orderBy(*order)
+    filled = rows.withColumn("_last", F.last("_v", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    place = filled.withColumn("_i", F.row_number().over(by)).filter(F.col("_v").isNotNull())
+    ends = rows.select(*keys, "_block").distinct().join(
+        place.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_block").alias("_b")).agg(F.min_by("_v", "_i").alias("_first_v"), F.max_by("_v", "_i").alias("_last_v")),
+        [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_block") == F.col("_b")], "left",
+    ).drop(*[f"_k_{k}" for k in keys], "_b")
+    of_key = Window.partitionBy(*keys).orderBy("_block")
+    carried = F.last("_last_v", ignorenulls=True).over(of_key.rowsBetween(Window.unboundedPreceding, -1))
+    earliest = F.first("_first_v", ignorenulls=True).over(of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ends = ends.withColumns({"_carried": carried, "_earliest": earliest}).drop("_first_v", "_last_v")
+    both = _with_block_values(filled, keys, ends).withColumn(out, F.coalesce("_last", "_carried"))
+    if anchor:
+        both = both.withColumn(anchor, F.coalesce(F.col(out), F.col("_earliest")))
+    return both.drop("_v", "_last", "_carried", "_earliest")
+
+
 def segments(df: DataFrame, keys: list[str], position: str, end: Column, order: list[Column], out: str = "segment_end") -> DataFrame:
     """Each row's segment ends where the next begins, the last at ``end``."""
     return df.withColumn(out, F.coalesce(F.lead(position).over(Window.partitionBy(*keys).orderBy(*order)), end))

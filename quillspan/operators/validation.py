@@ -54,7 +54,7 @@ def translation_statistics(verse: DataFrame) -> DataFrame:
 def chapter_lengths(verse: DataFrame) -> DataFrame:
     """(translation, book, chapter, expected, got): the last verse of every chapter of the spine, 0 where it is missing."""
     every = membership.spine(verse)
-    expected = every.crossJoin(F.broadcast(verse.select("translation").distinct()))  # spine x translations: a few rows for every chapter
+    expected = every.crossJoin(verse.select("translation").distinct())  # spine x translations: a few rows for every chapter
     got = verse.groupBy("translation", "book", "chapter").agg(F.max("verse_end").alias("got"))
     both = expected.join(got, ["translation", "book", "chapter"], "left").withColumn("got", F.coalesce("got", F.lit(0)))
     return both.select("translation", "book", "chapter", F.col("n_verses").alias("expected"), "got")
@@ -164,9 +164,10 @@ def examples(rows: DataFrame, key: str, order: list[Column], cap: int = 25) -> D
     """The first ``cap`` rows of each kind, each with the number beyond them: a report's capped list."""
     from pyspark.sql import Window
 
-    by = Window.partitionBy(key)
-    numbered = rows.withColumns({"_n": F.row_number().over(by.orderBy(*order)), "more": F.greatest(F.count("*").over(by) - cap, F.lit(0))})
-    return numbered.filter(F.col("_n") <= cap).drop("_n")
+    # each task keeps its own first rows of a key before the shuffle, and the counts are partial sums
+    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_n") <= cap).drop("_n")
+    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.greatest(F.count("*") - cap, F.lit(0)).alias("more"))
+    return first.join(counts, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def tagged_statistics(words: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:

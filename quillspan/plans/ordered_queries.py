@@ -29,7 +29,7 @@ def rank_in_source(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "crossref").filter(c("votes").isNotNull())
     rows = rows.select("source", book_id(c("src_book")).alias("book"), "src_chapter", "src_verse", "edge_id", "votes", "loaded_at").distinct()
     keys = ["source", "book", "src_chapter", "src_verse"]
-    return ordered.running_rank(rows, keys, [c("loaded_at"), c("edge_id"), c("votes")], "position").select(*keys, "edge_id", "votes", c("position").cast("long").alias("position"))
+    return ordered.spread_rank(rows, keys, [c("loaded_at"), c("edge_id"), c("votes")], "position").select(*keys, "edge_id", "votes", c("position").cast("long").alias("position"))
 
 
 def occurrence_suffix(spark: SparkSession, d: str) -> DataFrame:
@@ -50,8 +50,7 @@ def keep_longest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def coverage_gaps(spark: SparkSession, d: str) -> DataFrame:
-    spread = _verse(spark, d).select("translation", "book", "chapter", F.explode(F.sequence("verse_start", "verse_end")).alias("verse"))
-    return ordered.gaps(spread, ["translation", "book", "chapter"], "verse")
+    return ordered.gaps(_verse(spark, d), ["translation", "book", "chapter"], "verse_start", "verse_end")
 
 
 def missing_sequence(spark: SparkSession, d: str) -> DataFrame:
@@ -67,8 +66,7 @@ def sequence_repair(spark: SparkSession, d: str) -> DataFrame:
 def forward_fill(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "comments").select("commentator", "key", "ord", "passage", "text").distinct()
     order = [c("ord"), c("key"), c("text")]
-    rows = ordered.carried_forward(rows, ["commentator"], "passage", order, "carried")
-    rows = ordered.anchored(rows, ["commentator"], c("passage"), order, "anchor")
+    rows = ordered.spread_forward(rows, ["commentator"], "passage", order, "carried", "anchor")
     return rows.select("commentator", "key", "ord", "carried", "anchor")
 
 

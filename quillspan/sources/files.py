@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillspan import shared
 
@@ -116,11 +117,22 @@ def require(directory: str, mandatory: list[str], optional: list[str]) -> list[s
 
 
 def sqlite_table(spark: SparkSession, path: str, query: str, schema: str) -> DataFrame:
-    """Rows of a SQLite query. The file is read on the driver, so it is meant for interchange files."""
+    """Rows of a query on each SQLite file that the path names, read on the executors, a task a file, and passed on in batches."""
     import sqlite3
 
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-        return spark.createDataFrame(db.execute(query).fetchall(), schema)
+    names = [f.name for f in StructType.fromDDL(schema)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for content in pdf["content"]:
+                db = sqlite3.connect(":memory:")
+                db.deserialize(content)
+                rows = db.execute(query)
+                while batch := rows.fetchmany(10_000):
+                    yield pd.DataFrame(batch, columns=names, dtype=object)
+                db.close()
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
 
 
 def prior_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame | None:

@@ -263,3 +263,34 @@ def test_vectors_compare(spark):
     got = dense.compared(a, a, "i", "v").first()
     assert tuple(got) == (2, 0.0, 1.0)
     assert np.isclose(np.linalg.norm(incremental.HashingEncoder().encode(["word"])[0]), 1)
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.6])
+def test_spread_computations_equal_the_plain_ones(spark, hot):
+    rng = np.random.default_rng(5)
+    rows = [(None if rng.random() < 0.1 else "hot" if rng.random() < hot else f"k{int(rng.integers(9))}", int(i), int(i) if rng.random() < 0.2 else None) for i in rng.permutation(600)]
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    order = [F.col("o")]
+    plain = ordered.anchored(ordered.carried_forward(ordered.running_rank(df, ["k"], order), ["k"], "v", order, "f"), ["k"], F.col("v"), order, "a")
+    spread = ordered.spread_forward(ordered.spread_rank(df, ["k"], order), ["k"], "v", order, "f", "a")
+    show = lambda frame: sorted(map(str, frame.select("k", "o", "v", "rank", "f", "a").collect()))
+    assert show(plain) == show(spread)
+
+
+def test_gaps_of_spans_of_any_length(spark):
+    df = spark.createDataFrame([("a", 3, 5), ("a", 4, 4), ("a", 9, 2_000_000_000), ("b", 1, 1), ("c", 5, 4), ("d", -3, 2)], "k string, s int, e int")
+    assert sorted(map(tuple, ordered.gaps(df, ["k"], "s", "e").collect())) == [("a", 1, 2), ("a", 6, 8)]
+    upto = spark.createDataFrame([("b", 3), ("x", 2), ("a", 4), ("d", 0)], "k string, expected int")
+    got = ordered.missing_numbers(df.filter("k <> 'a'"), ["k"], "s", upto)
+    assert sorted(map(tuple, got.collect())) == [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 2), ("b", 3), ("c", 1), ("c", 2), ("c", 3), ("c", 4), ("x", 1), ("x", 2)]
+
+
+def test_sqlite_is_read_by_tasks(spark, tmp_path):
+    import sqlite3
+
+    for name in ("a", "b"):
+        with sqlite3.connect(tmp_path / f"{name}.sqlite") as db:
+            db.execute("CREATE TABLE t (i INTEGER, s TEXT)")
+            db.executemany("INSERT INTO t VALUES (?, ?)", [(1, name), (None, None)])
+    got = files.sqlite_table(spark, f"{tmp_path}/*.sqlite", "SELECT i, s FROM t", "i int, s string")
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "a"), (1, "b"), (None, None), (None, None)]
