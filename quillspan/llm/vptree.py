@@ -40,7 +40,7 @@ K = 5
 DIMENSIONS = 64
 #: Pruning factors of the roots and of the halves below them, which are less compact; with a factor of 1 both are exact.
 #: Recall of the k best is measured in the tests and given in the README.
-RELAX, RELAX_HALVES = 5.0, 2.0
+RELAX, RELAX_HALVES = 6.0, 2.0
 #: The root vantage points are fitted on so many vectors at most, a dozen for each root; all others are only assigned.
 SAMPLE = 24_576
 NODE_ROWS, LEAST_NODES, MOST_NODES = 384, 8, SAMPLE // 12

@@ -88,3 +88,22 @@ def test_test_table(spark, data):
     found = queries.p8_found(spark, data)
     assert found.columns == ["doc_id"] and found.count() == found.distinct().count()
     assert queries.p8_sources(spark, data).count() > 0
+
+
+def test_ends_are_seen_whole():
+    """However long the last words, the clause or the marks are."""
+    long = "x" * 500
+    assert cutoff.last_letters(f"a {long}") == long and cutoff.last_letters("ends.") == "" and cutoff.last_letters("the king’s") == "king’s"
+    words = [f"{long}{chr(97 + i)}" for i in range(20)]
+    assert cutoff.last_tokens(" ".join(words))[-13:] == words[-13:] and cutoff.last_tokens("two words") == ["two", "words"]
+    assert cutoff.ending("and then" + "." * 300) == ("and then", "dots") and cutoff.ending("and then" + "�" * 90) == ("and then", "broken")
+
+
+def test_shares_of_sources_apart_from_the_driver():
+    import pandas as pd
+
+    rows = [("a", "plain", -6.0, -6.0, 90), ("a", "plain", 6.0, 6.0, 10), ("b", "plain", -6.0, -6.0, 5), ("b", "plain", 6.0, 6.0, 95)]
+    table = pd.DataFrame(rows, columns=["source", *cutoff._BINS])
+    kinds = cutoff._kind_shares(table.groupby(list(cutoff._BINS[:3]), as_index=False)["n"].sum())
+    cut = {s: cutoff._own_shares(part, kinds)[0][1] for s, part in table.groupby("source")}
+    assert 0.8 < cut["a"] < 0.95 and cut["b"] < 0.12
