@@ -119,12 +119,11 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutoff.per_source(table(spark, sf_dir, "documents"), *_DOCUMENT)
 
 
-QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces,
-    "p3_invariants": p3_invariants, "p6_texts": p6_texts, "p7_invariants": p7_invariants,
-    "p4_found": p4_found,
-    "p4_chunks": p4_chunks,
-    "p4_comments": p4_comments,
-    "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources}
+# of each problem, pN_found or the query of its result comes first
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_ranked, p2_found, p2_neighbours, p3_found, p3_pieces, p3_invariants, p4_found, p4_chunks, p4_comments, p6_ids, p6_texts, p7_containers, p7_invariants, p8_found, p8_sources)
+}
 
 _BEST = """
 WITH last AS (SELECT * FROM (SELECT DISTINCT edge_id, source, upper(trim(src_book)) AS book, src_chapter, src_verse, votes, rank, loaded_at FROM crossref)
