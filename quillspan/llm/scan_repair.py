@@ -67,6 +67,7 @@ _PAGE = re.compile(
 #: What tells a page's number by itself; numerals in capitals, which are sections' as well; ends of sentences.
 _MARKED_PAGE = re.compile(r"[\[({<—–\-~_*•]\s*\S|[Pp](?:p|g|age)?\. ?\S|fol\. ?\S")
 _CAPITAL_NUMERAL = re.compile(r"[IVXLC]+\.?")
+_BEGINS_AFTER = re.compile(r"[.?!:\"“][\"”’')\]]*$")
 _SENTENCE_END = re.compile(r"[.?!:][\"”’')\]]*$")
 _DIGITS = str.maketrans("lIOoSsBZz|!", "11005582211")
 _ROMAN = re.compile(r"[IVXLCDMl1]+", re.I)
@@ -368,7 +369,8 @@ def analyse(text: str, corpus: Corpus) -> tuple[str, list[str]]:
             paragraphs.append(s)
             current, gap, edge = "", False, False
         else:
-            broken = _BROKEN.search(current) if current else None
+            hanging = current[-1:] in _HYPHENS and bool(current)
+            broken = _BROKEN.search(current, max(0, current.rfind(" "))) if hanging else None
             first = re.match(r"[^\W\d_]\S*", s)
             if broken and first and (edge or not gap) and not broken.group(1).endswith("-"):
                 left = re.search(r"[^\W\d_](?:[^\s]*)$", current[: broken.start(2)])
@@ -409,9 +411,10 @@ def _respelt(paragraph: str, corpus: Corpus) -> tuple[str, bool]:
         bare = piece.strip("\"“”‘’()[]?!.,;:")
         if bare.endswith("'") or bare.startswith("'"):
             bare = bare.strip("'")
-        at = piece.find(bare)
-        word = _misread(bare, begins or head, corpus, head) if bare else None
-        if word is None and len(bare) > 2 and bare.islower() and bare not in corpus.words and not _NUMERAL.fullmatch(bare):
+        unknown = bool(bare) and bare.lower() not in corpus.words
+        at = piece.find(bare) if unknown else 0
+        word = _misread(bare, begins or head, corpus, head) if unknown else None
+        if unknown and word is None and len(bare) > 2 and bare.islower() and not _NUMERAL.fullmatch(bare):
             # a mark at the word's end may stand for a letter
             for more in (piece[at : at + len(bare) + 1], piece[max(0, at - 1) : at + len(bare)]):
                 if len(more) > len(bare) and (word := _misread(more, begins or head, corpus, head)) is not None:
@@ -422,7 +425,7 @@ def _respelt(paragraph: str, corpus: Corpus) -> tuple[str, bool]:
                 word = word[:1].upper() + word[1:]
             pieces[i] = piece[:at] + (word.upper() if head else word) + piece[at + len(bare) :]
             changed = True
-        begins = bool(re.search(r"[.?!:\"“][\"”’')\]]*$", piece))
+        begins = not (piece[-1].isalpha() or piece[-1] in ",;") and _BEGINS_AFTER.search(piece) is not None
     return "".join(pieces) if changed else paragraph, changed
 
 

@@ -206,19 +206,22 @@ def clustered(df: DataFrame, group: list[Column], item: str, score: str, tie: st
     if delivered:
         order = [F.col("at").desc_nulls_last(), F.col("score").desc_nulls_last(), F.col("tie").asc_nulls_last(), F.col("grp")]
         # rows without an item are deliveries of their own
-        own = F.when(F.col("item").isNull(), F.xxhash64("grp", "score", "tie", "at"))
+        own = F.when(F.col("item").isNull(), F.struct("grp", "score", "tie", "at"))
         rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("item", own).orderBy(*order))).filter("n = 1")
     else:
         rows = rows.distinct()
     rows = rows.filter(F.col("score").isNotNull()).select("grp", "item", "score", "tie")
     files = _file_count(raw)
     # sizes are for the layout only, so repeated deliveries may count
-    sizes = raw.groupBy("grp").agg(F.count("*").alias("rows"))
-    total = raw.count()
-    hot = sizes.filter(F.col("rows") >= max(1, total * HOT_SHARE)).select(F.col("grp").alias("hot"), F.ceil(F.col("rows") * files / max(1, total)).alias("parts"))  # 1 / share rows at most
-    spread = F.coalesce(F.pmod(F.xxhash64("item"), F.col("parts")), F.lit(0))
+    total = max(1, raw.count())
+    parts = F.when(F.col("rows") >= max(1, total * HOT_SHARE), F.ceil(F.col("rows") * files / total)).otherwise(1).cast("int")
+    sizes = raw.groupBy("grp").agg(F.count("*").alias("rows")).withColumn("parts", parts)
+    hot = sizes.filter("parts > 1").select(F.col("grp").alias("hot"), "parts")  # 1 / share rows at most
+    spread = F.coalesce(F.pmod(F.xxhash64("item", "tie"), F.col("parts")), F.lit(0)).cast("int")
     rows = rows.join(F.broadcast(hot), F.col("grp") == F.col("hot"), "left").withColumn("part", spread).drop("hot", "parts")
-    rows = rows.repartition(files, "grp", "part").join(sizes.withColumnRenamed("grp", "sized"), F.col("grp") == F.col("sized"), "left")
+    # joined by group and part, as the rows are placed: no group is gathered
+    sizes = sizes.select(F.col("grp").alias("sized"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("sized_part"), "rows")
+    rows = rows.repartition(files, "grp", "part").join(sizes, (F.col("grp") == F.col("sized")) & (F.col("part") == F.col("sized_part")), "left")
     rows = rows.sortWithinPartitions(F.floor(F.log2("rows")).desc(), F.col("score").desc(), "grp").select("grp", "item", "score", "tie")
     path = shared.new_path(spark, "clustered")
     rows.write.option("parquet.block.row.count.limit", ROW_GROUP_ROWS).option("parquet.page.size.row.check.min", "1000").parquet(path)

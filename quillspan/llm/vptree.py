@@ -493,7 +493,7 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     from pyspark.sql.pandas.types import to_arrow_type
 
     ids_type = to_arrow_type(df.schema[id_col].dataType)
-    tasks = spark.createDataFrame([(i,) for i in range(len(trees.folders))], "shard int").repartition(len(trees.folders), "shard")
+    tasks = spark.range(0, len(trees.folders), 1, len(trees.folders)).select(F.col("id").cast("int").alias("shard"))  # one each
     found = tasks.mapInArrow(search, f"id {kind}, near array<struct<id: {kind}, similarity: double>>, many boolean")
     found = shared.materialize(found, "similar")
     answered = found.select("id", "near")
