@@ -43,8 +43,19 @@ def confession_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunking.confession(table(spark, d, "section"))[0].select("id", "source", "anchor", "key", "text_checksum", "truncated")
 
 
+def entries(spark: SparkSession, d: str) -> DataFrame:
+    """Dictionary entries as the lexicon chunks show them: a head before the first dash, and what follows it."""
+    rows = table(spark, d, "chunk").filter("resource_type = 'lexicon'").select("source", "key", "text").distinct()
+    dash = F.instr("text", " — ")
+    none = F.lit(None).cast("string")
+    return rows.select(
+        c("source").alias("lexicon"), F.lit("greek").alias("language"), c("key").alias("strongs"), none.alias("raw_key"), F.when(dash > 0, F.substring(c("text"), F.lit(1), dash - 1)).alias("lemma"), none.alias("translit"),
+        F.when(dash > 0, F.substring(c("text"), dash + 3, F.length("text"))).otherwise(c("text")).alias("definition"), none.alias("derivation"), none.alias("kjv_def"), F.lit(False).alias("not_used"),
+    )
+
+
 def all_chunks(spark: SparkSession, d: str) -> DataFrame:
-    parts = [chunking.scripture(chunking.scripture_windows(table(spark, d, "verse"))), chunking.commentary(table(spark, d, "comments")), chunking.confession(table(spark, d, "section"))]
+    parts = [chunking.scripture(chunking.scripture_windows(table(spark, d, "verse"))), chunking.commentary(table(spark, d, "comments")), chunking.confession(table(spark, d, "section")), chunking.lexicon(entries(spark, d))]
     chunks, skips = chunking.extracted(parts)
     made = chunks.groupBy("resource_type").agg(F.count("*").alias("n_chunks"), F.count_if("truncated").alias("n_truncated"))
     lost = skips.groupBy("resource_type").agg(F.count("*").alias("n_skipped"))
@@ -313,6 +324,8 @@ _SECTIONS = (
     + _strip("CASE WHEN coalesce(title, '') <> '' THEN title || chr(10) || text ELSE text END")
     + " AS whole, " + _strip("coalesce(text, '')") + " AS body FROM (SELECT DISTINCT document, key, title, text FROM section))"
 )
+_ENTRIES = """e AS (SELECT source, key, CASE WHEN instr(text, ' — ') > 0 THEN substr(text, instr(text, ' — ') + 3) ELSE text END AS definition,
+  CASE WHEN instr(text, ' — ') > 0 THEN substr(text, 1, instr(text, ' — ') - 1) END AS lemma FROM (SELECT DISTINCT source, key, text FROM chunk WHERE resource_type = 'lexicon'))"""
 _MADE = "sha256(substr(whole, 1, 6000)) AS text_checksum, length(whole) > 6000 AS truncated"
 _SCORES = """, q AS (SELECT doc_id, len(tokens) AS dl, unnest(tokens) AS term FROM docs), tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM q WHERE term IN ('covenant', 'river', 'mercy') GROUP BY ALL),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL), s AS (SELECT count(*) AS n, avg(len(tokens)) AS avgdl FROM docs),
@@ -346,9 +359,9 @@ SQL = {
       SELECT {_id("'commentary'", 'commentator', 'anchor', 'text_checksum')} AS id, commentator AS source, anchor, book, chapter, nullif(verse_start, 0) AS verse_start, nullif(verse_end, 0) AS verse_end, key, text_checksum, truncated FROM x""",
     "confession_chunks": f"""WITH {_SECTIONS}, x AS (SELECT *, {_MADE} FROM se WHERE body <> '')
       SELECT {_id("'confession'", 'document', 'anchor', 'text_checksum')} AS id, document AS source, anchor, key, text_checksum, truncated FROM x""",
-    "all_chunks": f"""WITH {_WINDOWS}, {_COMMENTS}, {_SECTIONS}, e AS (SELECT 'scripture' AS resource_type, whole <> '' AS kept, length(whole) > 6000 AS t FROM sc
-      UNION ALL SELECT 'commentary', whole <> '', length(whole) > 6000 FROM co UNION ALL SELECT 'confession', body <> '', length(whole) > 6000 FROM se)
-      SELECT resource_type, count(*) FILTER (WHERE kept) AS n_chunks, count(*) FILTER (WHERE kept AND t) AS n_truncated, count(*) FILTER (WHERE NOT kept) AS n_skipped FROM e GROUP BY ALL""",
+    "all_chunks": f"""WITH {_WINDOWS}, {_COMMENTS}, {_SECTIONS}, {_ENTRIES}, lx AS (SELECT coalesce(trim(definition), '') <> '' AS kept, length({_strip("coalesce(nullif(lemma, '') || ' — ', '') || definition")}) > 6000 AS t FROM e), a AS (SELECT 'scripture' AS resource_type, whole <> '' AS kept, length(whole) > 6000 AS t FROM sc
+      UNION ALL SELECT 'commentary', whole <> '', length(whole) > 6000 FROM co UNION ALL SELECT 'confession', body <> '', length(whole) > 6000 FROM se UNION ALL SELECT 'lexicon', kept, t FROM lx)
+      SELECT resource_type, count(*) FILTER (WHERE kept) AS n_chunks, count(*) FILTER (WHERE kept AND t) AS n_truncated, count(*) FILTER (WHERE NOT kept) AS n_skipped FROM a GROUP BY ALL""",
     "type_source_counts": "SELECT resource_type, source, count(*) AS n FROM (SELECT DISTINCT id, resource_type, source FROM chunk) GROUP BY ALL",
     "doc_token_lengths": f"WITH {_DOCS.format(w='')} SELECT doc_id, len(tokens) AS n_tokens FROM docs",
     "bm25_postings": f"WITH {_DOCS.format(w='')} SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM docs) GROUP BY ALL",

@@ -72,24 +72,13 @@ def comments_build(spark: SparkSession, d: str) -> DataFrame:
     return built.groupBy("book", "chapter", "verse_start", "verse_end", "text").agg(F.count("*").alias("n"))
 
 
-def _entries(spark: SparkSession, d: str) -> DataFrame:
-    """Dictionary entries as the lexicon chunks show them: a head before the first dash, and what follows it."""
-    rows = table(spark, d, "chunk").filter("resource_type = 'lexicon'").select("source", "key", "text").distinct()
-    dash = F.instr("text", " — ")
-    none = F.lit(None).cast("string")
-    return rows.select(
-        c("source").alias("lexicon"), F.lit("greek").alias("language"), c("key").alias("strongs"), none.alias("raw_key"), F.when(dash > 0, F.substring(c("text"), F.lit(1), dash - 1)).alias("lemma"), none.alias("translit"),
-        F.when(dash > 0, F.substring(c("text"), dash + 3, F.length("text"))).otherwise(c("text")).alias("definition"), none.alias("derivation"), none.alias("kjv_def"), F.lit(False).alias("not_used"),
-    )
-
-
 def lexicon_chunks(spark: SparkSession, d: str) -> DataFrame:
-    made, _ = chunking.lexicon(_entries(spark, d))
+    made, _ = chunking.lexicon(corpus_queries.entries(spark, d))
     return made.select("id", "source", "anchor", "key", "text_checksum", "truncated")
 
 
 def lexicon_entries(spark: SparkSession, d: str) -> DataFrame:
-    return validation.lexicon_statistics(_entries(spark, d))
+    return validation.lexicon_statistics(corpus_queries.entries(spark, d))
 
 
 def scoped_search(spark: SparkSession, d: str) -> DataFrame:
@@ -128,8 +117,6 @@ def finding_totals(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (verse_build, crossref_build, section_build, comments_build, lexicon_chunks, lexicon_entries, scoped_search, pack_rows, malformed_refs, finding_totals)}
 
 _SQUEEZED = r"nullif(trim(regexp_replace({}, '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '')"
-_ENTRIES = """e AS (SELECT source, key, CASE WHEN instr(text, ' — ') > 0 THEN substr(text, instr(text, ' — ') + 3) ELSE text END AS definition,
-  CASE WHEN instr(text, ' — ') > 0 THEN substr(text, 1, instr(text, ' — ') - 1) END AS lemma FROM (SELECT DISTINCT source, key, text FROM chunk WHERE resource_type = 'lexicon'))"""
 _SCOPE_DOCS = corpus_queries._DOCS.replace(
     "SELECT doc_id, coalesce(text, '') AS t FROM documents {w}",
     """SELECT id AS doc_id, arg_min(coalesce(text, ''), coalesce(text, '')) AS t FROM chunk
@@ -153,9 +140,9 @@ SQL = {
     "comments_build": f"""WITH r AS (SELECT DISTINCT commentator, key, ord, book, chapter, verse_start, verse_end, component, text FROM comments),
       k AS (SELECT commentator FROM r GROUP BY commentator HAVING avg((component IS NULL)::INT) >= 0.5), x AS (SELECT book, chapter, coalesce(verse_start, 0) AS verse_start, verse_end AS e, {_SQUEEZED.format('text')} AS text FROM r WHERE commentator IN (SELECT commentator FROM k))
       SELECT book, chapter, verse_start, CASE WHEN verse_start > 0 AND coalesce(e, 0) >= verse_start THEN e ELSE verse_start END AS verse_end, text, count(*) AS n FROM x WHERE text IS NOT NULL GROUP BY ALL""",
-    "lexicon_chunks": f"""WITH {_ENTRIES}, t AS (SELECT source, source || ':' || coalesce(nullif(key, ''), nullif(lemma, ''), '') AS anchor, coalesce(nullif(key, ''), nullif(lemma, '')) AS key, {corpus_queries._strip("coalesce(nullif(lemma, '') || ' — ', '') || definition")} AS whole FROM e WHERE coalesce(trim(definition), '') <> ''),
+    "lexicon_chunks": f"""WITH {corpus_queries._ENTRIES}, t AS (SELECT source, source || ':' || coalesce(nullif(key, ''), nullif(lemma, ''), '') AS anchor, coalesce(nullif(key, ''), nullif(lemma, '')) AS key, {corpus_queries._strip("coalesce(nullif(lemma, '') || ' — ', '') || definition")} AS whole FROM e WHERE coalesce(trim(definition), '') <> ''),
       x AS (SELECT *, {corpus_queries._MADE} FROM t) SELECT {corpus_queries._id("'lexicon'", 'source', 'anchor', 'text_checksum')} AS id, source, anchor, key, text_checksum, truncated FROM x""",
-    "lexicon_entries": f"""WITH {_ENTRIES} SELECT source AS lexicon, 'greek' AS language, count(*) AS n_entries, count(*) FILTER (WHERE coalesce(key, '') <> '') AS n_linked, count(DISTINCT nullif(key, '')) AS n_keys, 0::BIGINT AS n_duplicates, 0::BIGINT AS n_not_used,
+    "lexicon_entries": f"""WITH {corpus_queries._ENTRIES} SELECT source AS lexicon, 'greek' AS language, count(*) AS n_entries, count(*) FILTER (WHERE coalesce(key, '') <> '') AS n_linked, count(DISTINCT nullif(key, '')) AS n_keys, 0::BIGINT AS n_duplicates, 0::BIGINT AS n_not_used,
       count(*) FILTER (WHERE coalesce(definition, '') <> '') AS n_defined, count(*) FILTER (WHERE length(definition) > 4000) AS n_long, 0::BIGINT AS n_meaning_elsewhere, 0::BIGINT AS n_no_meaning, count(*) FILTER (WHERE coalesce(definition, '') = '') AS n_stubs FROM e GROUP BY source""",
     "scoped_search": f"""WITH {_SCOPE_DOCS}{corpus_queries._STATS} UNION ALL SELECT 'n_vectors', count(*)::DOUBLE FROM (SELECT DISTINCT chunk_id, vector FROM embedding WHERE len(vector) = 64) WHERE chunk_id IN (SELECT doc_id FROM docs)""",
     "pack_rows": """SELECT CASE WHEN translation = (SELECT min(translation) FROM verse) THEN 'bundled' ELSE 'on_demand' END AS pack, 'verse' AS name, count(*) AS n FROM verse GROUP BY ALL

@@ -98,8 +98,10 @@ def _proofs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def range_semi(spark: SparkSession, d: str) -> DataFrame:
-    refs = _proofs(spark, d).join(table(spark, d, "verse").select("translation").distinct(), how="cross")  # a few translations
-    return membership.range_hits(refs, table(spark, d, "verse"), ["translation", "book", "chapter"], "verse", "verse_start", "verse_end")
+    """References and the translations that have their verse."""
+    ranges = table(spark, d, "verse").select("translation", c("book").alias("_b"), c("chapter").alias("_c"), c("verse_start").alias("_s"), c("verse_end").alias("_e")).distinct()
+    hits = _proofs(spark, d).join(ranges, (c("book") == c("_b")) & (c("chapter") == c("_c")) & c("verse").between(c("_s"), c("_e")))
+    return hits.drop("_b", "_c", "_s", "_e").distinct()
 
 
 def range_anti(spark: SparkSession, d: str) -> DataFrame:
@@ -148,7 +150,7 @@ def full_outer_reconcile(spark: SparkSession, d: str) -> DataFrame:
 def inject_missing(spark: SparkSession, d: str) -> DataFrame:
     rows = _verse(spark, d).select("translation", "book", "chapter", "verse_start", "text", "omitted")
     spine = membership.spine(table(spark, d, "verse")).select("book", "chapter", F.explode(F.sequence(F.lit(1), "n_verses")).alias("verse_start"))
-    expected = spine.crossJoin(F.broadcast(rows.select("translation").distinct()))  # a few translations
+    expected = spine.crossJoin(rows.select("translation").distinct())  # the numbers of the canon for each translation: what is to be there
     full = membership.injected(rows, expected, ["translation", "book", "chapter", "verse_start"], {"text": F.lit(""), "omitted": F.lit(True)})
     return full.groupBy("translation", "book").agg(F.count("*").alias("n"), F.count_if("omitted").alias("n_omitted"))
 

@@ -244,10 +244,12 @@ def build_library(spark: SparkSession, library: dict, folder: str, out: str, onl
 
 
 def provenance(spark: SparkSession, library: dict, at: Callable[[str], str] = str) -> DataFrame:
-    """(resource, id, name, version, license, url, retrieved, checksum, shortcode) of every source that is described; the checksum is over all its files."""
+    """(resource, id, name, version, license, url, retrieved, checksum, shortcode) of every source whose files are there; the checksum is over all of them."""
     out = None
     for resource in ("translations", "confessions", "commentaries", "lexicons", "tagged", "edges"):
         for name, source in sorted(library.get(resource, {}).items()):
+            if not shared.exists(spark, at(source["files"])):
+                continue  # not fetched, and not built
             digest = packaging.combined_checksum(files.digests(spark, at(source["files"])))
             kept = {k: source.get(k) for k in ("name", "version", "license", "url", "retrieved", "shortcode")}
             row = digest.select(F.lit(resource).alias("resource"), F.lit(name).alias("id"), *[F.lit(v).cast("string").alias(k) for k, v in kept.items() if k != "shortcode"], F.col("sha256").alias("checksum"), F.lit(kept["shortcode"]).cast("string").alias("shortcode"))
