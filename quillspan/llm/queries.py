@@ -29,7 +29,8 @@ def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = p2_neighbours(spark, sf_dir).filter(F.col("similarity") >= 0.9)
+    """Pairs of at least 0.9; of each vector's five best only those are searched for."""
+    near = vptree.similar(table(spark, sf_dir, "embedding"), "chunk_id", "vector", relax=vptree.RELAX_LEAST, least=0.9)
     return near.select(F.least("chunk_id", "neighbour").alias("chunk_id_a"), F.greatest("chunk_id", "neighbour").alias("chunk_id_b")).distinct()
 
 

@@ -14,9 +14,12 @@
    factors prune more and may miss some. Leaves are compared by one matrix product each. Vectors whose
    k-th best comes within ``near`` are searched a second time with factor one, so their answers are exact if the factor
    missed none of what brought them there.
+5. Where only answers of a ``least`` similarity are wanted, its angle bounds every search from the start, in one pass with one factor at all
+   depths. A ball is then pruned by planes too: its vectors are nearer to its vantage point than to any other, so they lie
+   beyond the plane halfway between that and the query's own, whose distance is known. With factor one that is exact as well.
 
-The shards lie in the shared folder and are read by the tasks that need them, so vectors are shuffled
-once, whatever the number of trees a query visits. A worker keeps a bounded number of them.
+The shards lie in the shared folder, each with its grown trees, and are read by the tasks that need them, so vectors are shuffled
+once, whatever the number of trees a query visits. Their rows grow with the vectors, as every task may read all of them; a worker keeps a bounded number of rows.
 
 Defined results: vectors that are null, of another length, all zero, or hold a null, NaN or infinity take no
 part; length does not matter; equal similarities (to nine decimals) order by id, however many tie; exact repeats of a row count once; fewer than k others give fewer rows; an empty table gives none.
@@ -24,14 +27,17 @@ part; length does not matter; equal similarities (to nine decimals) order by id,
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan import shared
@@ -41,20 +47,26 @@ DIMENSIONS = 64
 #: Pruning factors of the roots and of the halves below them, which are less compact; with a factor of 1 both are exact.
 #: Recall of the k best is measured in the tests and given in the README.
 RELAX, RELAX_HALVES = 6.0, 2.0
+#: The factor, at all depths, of a search of which only answers from a least similarity on are wanted.
+RELAX_LEAST = 2.5
 #: The root vantage points are fitted on so many vectors at most, a dozen for each root; all others are only assigned.
 SAMPLE = 24_576
 NODE_ROWS, LEAST_NODES, MOST_NODES = 384, 8, SAMPLE // 12
 LEAF_ROWS = 192
 #: Similarity of the k-th best from which a vector is searched again with factor one.
 NEAR = 0.9
-SHARD_ROWS = 8192
+#: Every task reads the shards it cannot rule out, so their number is kept, while they grow from the least rows to the most that fit a worker.
+SHARDS, SHARD_ROWS, MOST_SHARD_ROWS = 48, 8192, 1 << 17
 #: Other directions kept for each vector, by similarity and then smallest id: the k best ids lie in the first k of them.
 KEPT = 8
 #: Angles near zero are known to so much, as units are rounded.
 _SLACK = 1e-3
 #: Pairs compared at once.
 _PAIRS = 1 << 20
-_CACHED_SHARDS = 24
+#: Balls whose cosines to all of a shard's vectors are held at once.
+_BALLS = 32
+#: Rows of the shards that a worker keeps.
+_CACHED_ROWS = 24 * 8192
 
 
 def _directions(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -109,7 +121,7 @@ class Trees:
     node: np.ndarray  # number of the vantage point of each ball
     shard: np.ndarray
     radius: np.ndarray
-    folders: list[str]  # of each shard
+    files: list[str]  # of each shard
 
 
 @dataclass
@@ -147,51 +159,83 @@ def grow(units: np.ndarray, rows: np.ndarray, point: np.ndarray, begin: int, ord
 
 @dataclass
 class Shard:
+    """A shard's directions in the order of its trees. Local files are mapped, so that only what is looked at is read."""
+
     roots: dict[int, Node]
     node: np.ndarray  # the root of every row
     vectors: np.ndarray  # units
     raw: np.ndarray
-    ids: list[list]  # the smallest ids of every direction
-    names: np.ndarray | None = None  # the id of a direction that has one, else the list
-    norms: np.ndarray | None = None
-    order: np.ndarray | None = None  # place of a direction's smallest id among the shard's
-
-    def __post_init__(self) -> None:
-        self.names = np.empty(len(self.ids), object)
-        self.names[:] = [i[0] if len(i) == 1 else i for i in self.ids]
-        self.norms = np.sqrt((self.raw.astype(np.float64) ** 2).sum(1))
-        self.order = np.empty(len(self.ids), np.int64)
-        self.order[sorted(range(len(self.ids)), key=lambda i: self.ids[i][0])] = np.arange(len(self.ids))
-
-    @classmethod
-    def of(cls, node: np.ndarray, raw: np.ndarray, ids: list[list], points: np.ndarray) -> Shard:
-        units, order, roots, at = _units(raw), [], {}, 0
-        for root in np.unique(node):
-            roots[int(root)] = grow(units, np.flatnonzero(node == root), points[root], at, order)
-            at = roots[int(root)].end
-        rows = np.concatenate(order) if order else np.zeros(0, np.int64)
-        return cls(roots, node[rows], units[rows], raw[rows], [ids[i] for i in rows])
+    ids: pa.Array  # the smallest ids of every direction
+    norms: np.ndarray
+    order: np.ndarray  # place of a direction's smallest id among the shard's
 
+    def several(self) -> np.ndarray:
+        """Whether each direction has several ids."""
+        return pc.list_value_length(self.ids).to_numpy(zero_copy_only=False) > 1
 
-_shards: OrderedDict[str, Shard] = OrderedDict()
+    def names(self, rows: np.ndarray) -> np.ndarray:
+        """The id of each direction that has one, else the list."""
+        names = np.empty(len(rows), object)
+        names[:] = [i[0] if len(i) == 1 else i for i in self.ids.take(pa.array(rows)).to_pylist()]
+        return names
 
+    @cached_property
+    def least_ids(self) -> list:
+        return pc.list_element(self.ids, 0).to_pylist()
 
-def _load(trees: Trees, shard: int, dim: int) -> Shard:
-    """A shard with its trees grown."""
-    folder = trees.folders[shard]
-    if folder in _shards:
-        _shards.move_to_end(folder)
-        return _shards[folder]
+
+def _write_shard(folder: str, path: str, dim: int, points: np.ndarray) -> list[tuple[int, float]]:
+    """Grow the trees of a shard's table in ``folder`` and write the shard to ``path``; (root, radius) of its balls."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
     fs, name = shared.open_file(folder)
     files = [f.path for f in fs.get_file_info(pafs.FileSelector(name)) if f.size and f.path.endswith(".parquet")]
-    t = pa.concat_tables([pq.read_table(f, filesystem=fs, columns=["node", "g1", "g2", "raw", "ids"], partitioning=None) for f in sorted(files)])
-    t = t.sort_by([("node", "ascending"), ("g1", "ascending"), ("g2", "ascending")])  # the same order whoever reads it
-    got = Shard.of(t.column("node").to_numpy(), _matrix(t.column("raw").to_pylist(), dim), t.column("ids").to_pylist(), trees.points)
-    _shards[folder] = got
-    while len(_shards) > _CACHED_SHARDS:
+    t = pa.concat_tables([pq.read_table(f, filesystem=fs, columns=["node", "g1", "g2", "angle", "raw", "ids"], partitioning=None) for f in sorted(files)])
+    t = t.sort_by([("node", "ascending"), ("g1", "ascending"), ("g2", "ascending")])
+    node, raw = t.column("node").to_numpy(), _matrix(t.column("raw").to_pylist(), dim)
+    units, order, roots, at = _units(raw), [], {}, 0
+    for root in np.unique(node):
+        roots[int(root)] = grow(units, np.flatnonzero(node == root), points[root], at, order)
+        at = roots[int(root)].end
+    rows = np.concatenate(order)
+    ids = t.column("ids").combine_chunks().take(pa.array(rows))
+    place = np.empty(len(rows), np.int64)
+    place[pc.sort_indices(pc.list_element(ids, 0)).to_numpy()] = np.arange(len(rows))
+    raw = np.ascontiguousarray(raw[rows])
+    norms = np.sqrt((raw.astype(np.float64) ** 2).sum(1))
+    columns = {"node": pa.array(node[rows]), "raw": pa.FixedSizeBinaryArray.from_buffers(pa.binary(dim * 4), len(rows), [None, pa.py_buffer(raw)]), "ids": ids, "norm": pa.array(norms), "order": pa.array(place)}
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).replace_schema_metadata({"roots": pickle.dumps(roots)})
+    fs, name = shared.open_file(path)
+    fs.create_dir(name.rsplit("/", 1)[0])
+    attempt = f"{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(attempt) as out, pa.ipc.new_file(out, batch.schema) as file:
+        file.write_batch(batch)
+    fs.move(attempt, name)
+    angle = t.column("angle").to_numpy()
+    return [(root, float(angle[node == root].max())) for root in roots]
+
+
+_shards: OrderedDict[str, Shard] = OrderedDict()
+
+
+def _load(trees: Trees, shard: int, dim: int) -> Shard:
+    """A shard with its trees."""
+    import pyarrow.fs as pafs
+
+    path = trees.files[shard]
+    if path in _shards:
+        _shards.move_to_end(path)
+        return _shards[path]
+    fs, name = shared.open_file(path)
+    if isinstance(fs, pafs.LocalFileSystem):
+        fs = pafs.LocalFileSystem(use_mmap=True)
+    batch = pa.ipc.open_file(fs.open_input_file(name)).get_batch(0)
+    node, norms, order = (batch.column(c).to_numpy() for c in ("node", "norm", "order"))
+    raw = np.frombuffer(batch.column("raw").buffers()[1], np.float32)[: batch.num_rows * dim].reshape(-1, dim)
+    got = Shard(pickle.loads(batch.schema.metadata[b"roots"]), node, raw * (1 / norms).astype(np.float32)[:, None], raw, batch.column("ids"), norms, order)
+    _shards[path] = got
+    while len(_shards) > 2 and sum(len(s.vectors) for s in _shards.values()) > _CACHED_ROWS:
         _shards.popitem(last=False)
     return got
 
@@ -233,13 +277,14 @@ class _Best:
 class _Search:
     """The search of some of a shard's vectors."""
 
-    def __init__(self, shard: int, trees: Trees, k: int, dim: int) -> None:
+    def __init__(self, shard: int, trees: Trees, k: int, dim: int, least: float = -1.0) -> None:
         self.shard, self.trees, self.k, self.dim = shard, trees, k, dim
+        self.reach = np.inf if least <= -1 else float(np.arccos(least)) + _SLACK  # how far away an answer can be
         self.own = _load(trees, shard, dim)
         n = len(self.own.vectors)
-        self.best = _Best(n, lambda s, row: (self.own if s == shard else _load(trees, s, dim)).ids[row][0])
+        self.best = _Best(n, lambda s, row: (self.own if s == shard else _load(trees, s, dim)).least_ids[row])
         self.limit = np.full(n, np.inf, np.float32)  # how near a part must come to each query
-        self.floor = np.full(n, -1.5, np.float32)  # the least similarity that can still matter to it
+        self.floor = np.full(n, -1.5 if least <= -1 else least - 1e-6, np.float32)  # the least similarity that can still matter to it
         self.raw = self.own.raw.astype(np.float64)
         self.compared = 0
 
@@ -289,13 +334,11 @@ class _Search:
     def run(self, q: np.ndarray, relax: float) -> None:
         """Search the vectors numbered ``q``."""
         self.relax, trees = relax, self.trees
-        self.inner = np.float32(relax / min(relax, RELAX_HALVES))
-        angle = np.full((len(trees.points), len(self.own.vectors)), np.nan, np.float32)
-        angle[:, q] = _angles(trees.points, self.own.vectors[q])
-        to_root = angle[:, q].mean(1)
-        balls_of = np.split(np.argsort(trees.shard, kind="stable"), np.cumsum(np.bincount(trees.shard, minlength=len(trees.folders)))[:-1])
+        self.inner = np.float32(relax / min(relax, RELAX_HALVES) if np.isinf(self.reach) else 1)
+        to_root = -(trees.points @ self.own.vectors[q].mean(0))
+        balls_of = np.split(np.argsort(trees.shard, kind="stable"), np.cumsum(np.bincount(trees.shard, minlength=len(trees.files)))[:-1])
         to_shard = np.array([to_root[trees.node[b]].mean() for b in balls_of])
-        to_shard[self.shard] = -1
+        to_shard[self.shard] = -9
         for other in map(int, np.argsort(to_shard, kind="stable")):
             balls = balls_of[other][np.argsort(to_root[trees.node[balls_of[other]]], kind="stable")]
             if other == self.shard:  # each ball's own vectors before all others, so that the limits are near from the start
@@ -306,22 +349,39 @@ class _Search:
                         mine = inside[(inside >= leaf.begin) & (inside < leaf.end)]
                         if len(mine):
                             self._compare(self.own, other, leaf.begin, leaf.end, mine)
-                            self._elsewhere(root, leaf, mine, angle[trees.node[ball]])
-            for ball in balls:
-                to = angle[trees.node[ball]][q]
-                near = to - np.float32(trees.radius[ball]) <= self.limit[q]
-                if other == self.shard:
-                    near &= self.own.node[q] != trees.node[ball]
-                some = q[near]
-                if len(some):
-                    found = self.own if other == self.shard else _load(trees, other, self.dim)
-                    root = found.roots[int(trees.node[ball])]
-                    self._visit(found, other, root, some, to[near] if root.point is not None else None)
-
-    def _elsewhere(self, root: Node, leaf: Node, q: np.ndarray, to_root: np.ndarray) -> None:
+                            self._elsewhere(root, leaf, mine)
+            found = None
+            for begin in range(0, len(balls), _BALLS):
+                some_balls = balls[begin : begin + _BALLS]
+                cosines = trees.points[trees.node[some_balls]] @ self.own.vectors[q].T
+                beyond = self._beyond(trees.node[some_balls], cosines, q)
+                for ball, cosine, out in zip(some_balls, cosines, beyond, strict=True):
+                    near = np.flatnonzero(~out)
+                    if other == self.shard:
+                        near = near[self.own.node[q[near]] != trees.node[ball]]
+                    to = np.arccos(np.clip(cosine[near], -1, 1))
+                    inside = to - np.float32(trees.radius[ball]) <= self.limit[q[near]]
+                    near, to = near[inside], to[inside]
+                    if len(near):
+                        found = found or (self.own if other == self.shard else _load(trees, other, self.dim))
+                        root = found.roots[int(trees.node[ball])]
+                        self._visit(found, other, root, q[near], to if root.point is not None else None)
+
+    def _beyond(self, nodes: np.ndarray, cosines: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether each ball lies farther away than the limit by the plane that parts it from the query's own ball: a ball's vectors are nearer to its point than to any other."""
+        if np.isinf(self.reach):  # limits as wide as those of the k best lie behind all planes
+            return np.zeros(cosines.shape, bool)
+        points = self.trees.points
+        width = np.sqrt(np.maximum(2 - 2 * (points[nodes] @ points.T), 0))
+        own = np.einsum("ij,ij->i", points[self.own.node[q]], self.own.vectors[q])
+        edge = np.sin(np.minimum(self.limit[q] * self.inner + np.float32(_SLACK), np.float32(np.pi / 2)))
+        return own - cosines > edge * width[:, self.own.node[q]] + np.float32(1e-5)
+
+    def _elsewhere(self, root: Node, leaf: Node, q: np.ndarray) -> None:
         """The rest of the own tree of vectors that lie in ``leaf``."""
-        node, angle = root, to_root[q]
+        node = root
         while node is not leaf:
+            angle = _angles(node.point[None], self.own.vectors[q])[0]
             inner, outer = node.halves
             mine, other = (inner, outer) if leaf.end <= inner[0].end else (outer, inner)
             limit = self.limit[q] * self.inner
@@ -329,8 +389,6 @@ class _Search:
             if near.any():
                 self._visit(self.own, self.shard, other[0], q[near], None)
             node = mine[0]
-            if node.point is not None:
-                angle = _angles(node.point[None], self.own.vectors[q])[0]
 
 
 def _leaves(node: Node) -> Iterator[Node]:
@@ -340,13 +398,14 @@ def _leaves(node: Node) -> Iterator[Node]:
         yield from _leaves(half)
 
 
-def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int, near: float = NEAR) -> tuple[Shard, _Best, int]:
+def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int, near: float = NEAR, least: float = -1.0) -> tuple[Shard, _Best, int]:
     """(the shard, the best of its vectors, pairs compared)."""
-    search = _Search(shard, trees, k, dim)
+    search = _Search(shard, trees, k, dim, least)
     n = len(search.own.vectors)
+    search.limit[:] = search.reach / relax
     search.run(np.arange(n), relax)
     close = np.flatnonzero(search.best.sim[:, k - 1] >= near)
-    if relax > 1 and len(close):
+    if relax > 1 and least <= -1 and len(close):
         search.limit[:], search.floor[:] = np.inf, -1.5
         # what was found bounds what is to be found; it is then found anew
         search.limit[close] = np.arccos(np.clip(search.best.sim[close, k - 1], -1, 1)) + _SLACK
@@ -361,43 +420,43 @@ def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> tuple[li
     good = best.sim > -1.5
     names = np.empty(best.sim.shape, object)
     for shard in np.unique(best.at[:, :, 0][good]):
-        found = _load(trees, int(shard), dim)
         at = good & (best.at[:, :, 0] == shard)
-        names[at] = found.names[best.at[:, :, 1][at]]
+        names[at] = _load(trees, int(shard), dim).names(best.at[:, :, 1][at])
+    own_names, several = own.names(np.arange(len(good))), own.several()
     # where all are single and no similarities tie, the rows are in their order already
-    several = np.array([len(i) > 1 for i in own.ids]) if own.ids else np.zeros(0, bool)
     tied = ((sims[:, 1 : k + 2] == sims[:, : k + 1]) & good[:, 1 : k + 2]).any(1)
     plain = ~several & ~tied & ~np.vectorize(lambda x: isinstance(x, list), otypes=[bool])(names).any(1)
     first = good[plain][:, :k]
-    ids, sizes, many = [own.ids[i][0] for i in np.flatnonzero(plain)], [first.sum(1)], [False] * int(plain.sum())
+    ids, sizes, many = own_names[plain].tolist(), [first.sum(1)], [False] * int(plain.sum())
     listed, near = names[plain][:, :k][first].tolist(), [sims[plain][:, :k][first]]
     for q in np.flatnonzero(~plain):
-        some = [(-1.0, i) for i in own.ids[q]]
+        mine = own_names[q] if several[q] else [own_names[q]]
+        some = [(-1.0, i) for i in mine]
         for j in np.flatnonzero(good[q]):
             some += [(-float(sims[q, j]), i) for i in (names[q, j] if isinstance(names[q, j], list) else [names[q, j]])]
         some = sorted(some)[: k + 1]
-        for i in own.ids[q]:
+        for i in mine:
             others = [(x, -d) for d, x in some if x != i][:k]
             ids.append(i)
-            many.append(len(own.ids[q]) > k)
+            many.append(len(mine) > k)
             sizes.append([len(others)])
             listed += [x for x, _ in others]
             near.append([s for _, s in others])
     return ids, np.concatenate(sizes).astype(np.int64), listed, np.concatenate(near).astype(float), many
 
 
-def _plan_shards(counts: dict[int, int], nodes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first shard, number of shards) of every node: neighbours share one, large nodes get several."""
+def _plan_shards(counts: dict[int, int], nodes: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first shard, number of shards) of every node: neighbours share one of so many rows, large nodes get several."""
     first, parts = np.zeros(nodes, np.int64), np.ones(nodes, np.int64)
     at, filled = 0, 0
     for node in range(nodes):
         n = counts.get(node, 0)
-        if n > SHARD_ROWS:
+        if n > rows:
             at += filled > 0
-            first[node], parts[node] = at, -(-n // SHARD_ROWS)
+            first[node], parts[node] = at, -(-n // rows)
             at, filled = at + int(parts[node]), 0
             continue
-        if filled and filled + n > SHARD_ROWS:
+        if filled and filled + n > rows:
             at, filled = at + 1, 0
         first[node] = at
         filled += n
@@ -421,7 +480,7 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
         units = np.eye(1, dim, dtype=np.float32)  # a sample of unusable vectors only; all others meet at one point
     points = fit_vantage_points(np.unique(units, axis=0), int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)))
     share = np.bincount((units @ points.T).argmax(1), minlength=len(points)) / len(units)
-    first, parts = _plan_shards({i: int(np.ceil(s * total)) for i, s in enumerate(share)}, len(points))
+    first, parts = _plan_shards({i: int(np.ceil(s * total)) for i, s in enumerate(share)}, len(points), int(np.clip(total // SHARDS, SHARD_ROWS, max(SHARD_ROWS, MOST_SHARD_ROWS))))
     held = spark.sparkContext.broadcast((points, first, parts))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,17 +520,32 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     )
     path = shared.new_path(spark, "shards")
     directions.write.partitionBy("shard").parquet(path)
-    layout = "node int, g1 long, g2 long, angle double, shard int"
-    balls = spark.read.schema(layout).parquet(path).groupBy("shard", "node").agg(F.max("angle").alias("radius")).orderBy("shard", "node").collect()  # one row a ball
-    if not balls:
+    folders = [f"{path}/shard={shard}" for shard in range(int((first + parts).max()))]
+    folders = [folder for folder in folders if shared.exists(spark, folder)]
+    if not folders:
         return None
-    shards = sorted({r["shard"] for r in balls})
-    number = {shard: i for i, shard in enumerate(shards)}
-    return Trees(points, *(np.array(x) for x in ([r["node"] for r in balls], [number[r["shard"]] for r in balls])), np.array([r["radius"] for r in balls]) + _SLACK, [f"{path}/shard={x}" for x in shards])
+    grown = shared.new_path(spark, "trees")
+    files = [f"{grown}/{i}.arrow" for i in range(len(folders))]
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                balls = _write_shard(folders[i], files[i], dim, held.value[0])
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(balls), pa.int32()), pa.array([b[0] for b in balls], pa.int32()), pa.array([b[1] for b in balls])], names=["shard", "node", "radius"])
+
+    balls = _numbered(spark, len(folders)).mapInArrow(plant, "shard int, node int, radius double").orderBy("shard", "node").collect()  # one row a ball
+    shared.release(spark, path)
+    shard, node, radius = (np.array([r[c] for r in balls]) for c in ("shard", "node", "radius"))
+    return Trees(points, node, shard, radius + _SLACK, files)
+
+
+def _numbered(spark: SparkSession, n: int) -> DataFrame:
+    """(shard) from 0, a task each."""
+    return spark.range(0, n, 1, n).select(F.col("id").cast("int").alias("shard"))
 
 
-def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: float = RELAX, dim: int = DIMENSIONS) -> DataFrame:
-    """(id, place, neighbour, similarity): the ``k`` most similar vectors of every usable vector."""
+def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: float = RELAX, dim: int = DIMENSIONS, least: float = -1.0) -> DataFrame:
+    """(id, place, neighbour, similarity): the ``k`` most similar vectors of every usable vector, as far as they are as similar as ``least``."""
     spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
     raw = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
@@ -484,7 +558,7 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                own, best, _ = search_shard(shard, held.value, k, relax, dim)
+                own, best, _ = search_shard(shard, held.value, k, relax, dim, least=least)
                 ids, n, listed, near, many = answers(own, best, held.value, k, dim)
                 offsets = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(listed, ids_type), pa.array(near)], names=["id", "similarity"]))
@@ -493,13 +567,14 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     from pyspark.sql.pandas.types import to_arrow_type
 
     ids_type = to_arrow_type(df.schema[id_col].dataType)
-    tasks = spark.range(0, len(trees.folders), 1, len(trees.folders)).select(F.col("id").cast("int").alias("shard"))  # one each
-    found = tasks.mapInArrow(search, f"id {kind}, near array<struct<id: {kind}, similarity: double>>, many boolean")
+    found = _numbered(spark, len(trees.files)).mapInArrow(search, f"id {kind}, near array<struct<id: {kind}, similarity: double>>, many boolean")
     found = shared.materialize(found, "similar")
     answered = found.select("id", "near")
     if not found.filter("many").isEmpty():
         answered = answered.unionByName(_further_copies(raw, found.filter("many").select("id", "near"), dim, kind))
     rows = answered.select("id", F.posexplode("near").alias("at", "x"))
+    if least > -1:
+        rows = rows.filter(F.col("x.similarity") >= least)
     return rows.select(F.col("id").alias(id_col), (F.col("at") + 1).alias("place"), F.col("x.id").alias("neighbour"), F.col("x.similarity").alias("similarity"))
 
 

@@ -98,3 +98,47 @@ def test_many_scaled_copies_order_by_id(spark, monkeypatch, shard_rows):
     got = found(spark, rows, relax=1.0)
     first = sorted(names)
     assert {n: got[n] for n in names} == {n: [x for x in first[:6] if x != n][:5] for n in names}
+
+
+def with_near_copies(n, seed=4):
+    """Clustered vectors, and near copies of a fifth of them, of six to a group at times."""
+    rng = np.random.default_rng(seed)
+    rows = clustered(n, seed)
+    for i in range(0, n, 5):
+        for j in range(1 + 6 * (i % 50 == 0)):
+            rows.append((f"w{i:05d}-{j}", [float(x) for x in np.float32(np.asarray(rows[i][1]) + rng.normal(size=64) * rng.uniform(0.05, 0.6))]))
+    return rows
+
+
+def pairs_from(rows, least, k=5):
+    m = {i: np.asarray(v, float) / np.linalg.norm(v) for i, v in rows}
+    return {(a, b) for a, near in brute(rows, k).items() for b in near if round(float(m[a] @ m[b]), 9) >= least}
+
+
+@pytest.mark.parametrize("relax", [1.0, vptree.RELAX_LEAST])
+def test_least_similarity_is_the_filter_of_all(spark, monkeypatch, relax):
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 300)
+    monkeypatch.setattr(vptree, "NODE_ROWS", 40)
+    rows = with_near_copies(700) + [("one", [1.0] * 64), ("one as long", [2.0] * 64)]
+    want = pairs_from(rows, 0.9)
+    got = vptree.similar(spark.createDataFrame(rows, "id string, vector array<float>"), "id", "vector", relax=relax, least=0.9).collect()
+    assert len(want) > 300 and {(r.id, r.neighbour) for r in got} == want and all(r.similarity >= 0.9 for r in got)
+
+
+def test_least_similarity_compares_few_pairs(spark):
+    rng = np.random.default_rng(6)  # no clusters, so that little can be pruned for the k best
+    rows = [(f"v{i:05d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(8000, 64)).astype(np.float32))]
+    df = spark.createDataFrame(rows, "id string, vector array<float>")
+    trees = vptree.build(df, 5, 64)
+    every, few = (sum(vptree.search_shard(s, trees, 5, *how)[2] for s in range(len(trees.files))) for how in ((vptree.RELAX, 64), (vptree.RELAX_LEAST, 64, vptree.NEAR, 0.9)))
+    assert few < every * 0.6  # 0.48 with the 20 roots of so few vectors
+
+
+def test_shards_grow_with_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 20)
+    monkeypatch.setattr(vptree, "NODE_ROWS", 10)
+    monkeypatch.setattr(vptree, "SHARDS", 4)
+    rows = clustered(900, 9)
+    trees = vptree.build(spark.createDataFrame(rows, "id string, vector array<float>"), 5, 64)
+    assert len(trees.files) <= 8
+    assert found(spark, rows, relax=1.0) == brute(rows)
