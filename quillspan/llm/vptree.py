@@ -17,6 +17,10 @@
 5. Where only answers of a ``least`` similarity are wanted, its angle bounds every search from the start, in one pass with one factor at all
    depths. A ball is then pruned by planes too: its vectors are nearer to its vantage point than to any other, so they lie
    beyond the plane halfway between that and the query's own, whose distance is known. With factor one that is exact as well.
+6. With a larger factor such answers come from a forest instead: at each level of a tree stand orthogonal vantage points and their
+   opposites, and a vector goes to the nearest, down to a cell for every ``CELL_ROWS`` vectors. Vectors so near to each other fall into one
+   cell of a tree with a known chance, so there are as many trees as leave one of ``MISSED`` at the least similarity apart in all, and fewer above it. A
+   query sees its own cells only, so its cost grows far less than the vectors. What a cell holds is sifted by sketches of ``BITS`` signs before vectors are read.
 
 The shards lie in the shared folder, each with its grown trees, and are read by the tasks that need them, so vectors are shuffled
 once, whatever the number of trees a query visits. Their rows grow with the vectors, as every task may read all of them; a worker keeps a bounded number of rows.
@@ -63,8 +67,18 @@ KEPT = 8
 _SLACK = 1e-3
 #: Pairs compared at once.
 _PAIRS = 1 << 20
+#: Pairs of a common cell sifted at once.
+_SIFTED = 1 << 16
 #: Balls whose cosines to all of a shard's vectors are held at once.
 _BALLS = 32
+#: Vectors for each cell of a forest's tree, and the share of pairs of just the least similarity that lie in no common cell.
+CELL_ROWS, MISSED = 8, 2e-4
+#: Trees beyond which a forest is no gain.
+MOST_TREES = 256
+#: Signs of a vector's sketch, and how many standard deviations more of them may differ than do on average at the least similarity.
+BITS, DEVIATIONS = 256, 4.5
+#: Vectors of the shards whose cells are held in one file, and trees that a task plants.
+GROUP_ROWS, TREES_A_TASK = 1 << 22, 4
 #: Rows of the shards that a worker keeps.
 _CACHED_ROWS = 24 * 8192
 
@@ -122,6 +136,83 @@ class Trees:
     shard: np.ndarray
     radius: np.ndarray
     files: list[str]  # of each shard
+    forest: Forest | None = None
+
+
+@dataclass
+class Forest:
+    """Trees without backtracking: the vantage points of every level, and where the cells of each group of shards lie."""
+
+    centre: np.ndarray
+    sizes: tuple[int, ...]  # vantage points of each level, without their opposites
+    frames: np.ndarray  # of every tree, side by side
+    planes: np.ndarray  # of the sketches
+    differ: tuple[int, int]  # signs that may differ of the first 64, and of all
+    first: np.ndarray | None = None  # row in its group of every shard's first
+    groups: tuple[tuple[int, ...], ...] = ()  # the shards of each
+    folder: str = ""
+
+    @property
+    def cells(self) -> int:
+        return int(np.prod([2 * d for d in self.sizes], dtype=np.int64))
+
+    @property
+    def count(self) -> int:
+        return self.frames.shape[1] // sum(self.sizes)
+
+    def file(self, group: int, tree: int) -> str:
+        return f"{self.folder}/{group}-{tree}.arrow"
+
+    def cell(self, units: np.ndarray, trees: range) -> np.ndarray:
+        """The cell of every vector in each of some trees."""
+        width = sum(self.sizes)
+        out = np.zeros((len(trees), len(units)), np.int32)
+        frames = np.ascontiguousarray(self.frames[:, trees.start * width : trees.stop * width])
+        held = np.empty((2, 1024, frames.shape[1]), np.float32)
+        for begin in range(0, len(units), 1024):
+            some = slice(begin, min(begin + 1024, len(units)))
+            at = np.arange(some.stop - begin)
+            near = np.matmul(units[some] - self.centre, frames, out=held[0, : len(at)])
+            size = np.abs(near, out=held[1, : len(at)])
+            for i in range(len(trees)):
+                c = i * width
+                for d in self.sizes:
+                    best = size[:, c : c + d].argmax(1)
+                    out[i, some] = out[i, some] * (2 * d) + 2 * best + (near[at, c + best] < 0)
+                    c += d
+        return out
+
+    def sketch(self, units: np.ndarray) -> np.ndarray:
+        signs = [np.packbits(units[b : b + 8192] @ self.planes > 0, axis=1) for b in range(0, len(units), 8192)]
+        return np.concatenate([np.zeros((0, BITS // 8), np.uint8), *signs])
+
+
+def _frames(rng: np.random.Generator, sizes: tuple[int, ...], dim: int) -> np.ndarray:
+    """Orthogonal vantage points for the levels of one tree."""
+    return np.concatenate([np.linalg.qr(rng.normal(size=(dim, dim)))[0][:, :d] for d in sizes], 1).astype(np.float32)
+
+
+def fit_forest(sample: np.ndarray, total: int, least: float, seed: int = 11) -> Forest | None:
+    """As many trees as ``least`` calls for, by the share of pairs of just that similarity that fall into one cell; none if there would be too many."""
+    rng, dim = np.random.default_rng(seed), sample.shape[1]
+    left, sizes = max(2.0, min(total, GROUP_ROWS * 4) / CELL_ROWS), []  # a group's file lists every cell
+    while left >= 2:
+        sizes.append(int(min(1 << (dim.bit_length() - 1), 1 << int(np.log2(left / 2)))))
+        left /= 2 * sizes[-1]
+    planes = rng.normal(size=(dim, BITS)).astype(np.float32)
+    apart = np.arccos(least) / np.pi
+    differ = tuple(int(np.ceil(n * apart + DEVIATIONS * np.sqrt(n * apart * (1 - apart)))) for n in (64, BITS))
+    forest = Forest(sample.mean(0), tuple(sizes), np.concatenate([_frames(rng, tuple(sizes), dim) for _ in range(8)], 1), planes, differ)
+    x = sample[rng.integers(0, len(sample), 8192)].astype(np.float64)
+    across = rng.normal(size=x.shape)
+    across -= (across * x).sum(1, keepdims=True) * x
+    y = least * x + np.sqrt(1 - least**2) * across / np.maximum(np.linalg.norm(across, axis=1, keepdims=True), 1e-9)
+    met = float((forest.cell(x.astype(np.float32), range(8)) == forest.cell(y.astype(np.float32), range(8))).mean())
+    count = int(np.ceil(np.log(MISSED) / np.log1p(-min(met, 0.999)))) if met > 0 else MOST_TREES + 1
+    if count > MOST_TREES:
+        return None
+    forest.frames = np.concatenate([_frames(rng, tuple(sizes), dim) for _ in range(count)], 1)
+    return forest
 
 
 @dataclass
@@ -163,11 +254,18 @@ class Shard:
 
     roots: dict[int, Node]
     node: np.ndarray  # the root of every row
-    vectors: np.ndarray  # units
     raw: np.ndarray
     ids: pa.Array  # the smallest ids of every direction
     norms: np.ndarray
     order: np.ndarray  # place of a direction's smallest id among the shard's
+    sketches: np.ndarray | None = None
+
+    @cached_property
+    def vectors(self) -> np.ndarray:
+        return self.units(0, len(self.raw))
+
+    def units(self, begin: int, end: int) -> np.ndarray:
+        return self.raw[begin:end] * (1 / self.norms[begin:end]).astype(np.float32)[:, None]
 
     def several(self) -> np.ndarray:
         """Whether each direction has several ids."""
@@ -184,8 +282,26 @@ class Shard:
         return pc.list_element(self.ids, 0).to_pylist()
 
 
-def _write_shard(folder: str, path: str, dim: int, points: np.ndarray) -> list[tuple[int, float]]:
-    """Grow the trees of a shard's table in ``folder`` and write the shard to ``path``; (root, radius) of its balls."""
+def _write_batch(path: str, batch: pa.RecordBatch) -> None:
+    fs, name = shared.open_file(path)
+    fs.create_dir(name.rsplit("/", 1)[0])
+    attempt = f"{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(attempt) as out, pa.ipc.new_file(out, batch.schema) as file:
+        file.write_batch(batch)
+    fs.move(attempt, name)
+
+
+def _read_batch(path: str) -> pa.RecordBatch:
+    import pyarrow.fs as pafs
+
+    fs, name = shared.open_file(path)
+    if isinstance(fs, pafs.LocalFileSystem):
+        fs = pafs.LocalFileSystem(use_mmap=True)
+    return pa.ipc.open_file(fs.open_input_file(name)).get_batch(0)
+
+
+def _write_shard(folder: str, path: str, dim: int, points: np.ndarray, forest: Forest | None = None) -> list[tuple[int, float, int]]:
+    """Grow the trees of a shard's table in ``folder``, unless a forest stands for them, and write the shard to ``path``; (root, radius, rows) of its balls."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
@@ -196,7 +312,12 @@ def _write_shard(folder: str, path: str, dim: int, points: np.ndarray) -> list[t
     node, raw = t.column("node").to_numpy(), _matrix(t.column("raw").to_pylist(), dim)
     units, order, roots, at = _units(raw), [], {}, 0
     for root in np.unique(node):
-        roots[int(root)] = grow(units, np.flatnonzero(node == root), points[root], at, order)
+        rows = np.flatnonzero(node == root)
+        if forest is None:
+            roots[int(root)] = grow(units, rows, points[root], at, order)
+        else:
+            order.append(rows)
+            roots[int(root)] = Node(at, at + len(rows))
         at = roots[int(root)].end
     rows = np.concatenate(order)
     ids = t.column("ids").combine_chunks().take(pa.array(rows))
@@ -205,15 +326,27 @@ def _write_shard(folder: str, path: str, dim: int, points: np.ndarray) -> list[t
     raw = np.ascontiguousarray(raw[rows])
     norms = np.sqrt((raw.astype(np.float64) ** 2).sum(1))
     columns = {"node": pa.array(node[rows]), "raw": pa.FixedSizeBinaryArray.from_buffers(pa.binary(dim * 4), len(rows), [None, pa.py_buffer(raw)]), "ids": ids, "norm": pa.array(norms), "order": pa.array(place)}
+    if forest is not None:
+        columns["sketch"] = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(rows), [None, pa.py_buffer(forest.sketch(units[rows]))])
     batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).replace_schema_metadata({"roots": pickle.dumps(roots)})
-    fs, name = shared.open_file(path)
-    fs.create_dir(name.rsplit("/", 1)[0])
-    attempt = f"{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(attempt) as out, pa.ipc.new_file(out, batch.schema) as file:
-        file.write_batch(batch)
-    fs.move(attempt, name)
+    _write_batch(path, batch)
     angle = t.column("angle").to_numpy()
-    return [(root, float(angle[node == root].max())) for root in roots]
+    return [(root, float(angle[node == root].max()), int(np.count_nonzero(node == root))) for root in roots]
+
+
+def _plant_trees(trees: Trees, group: int, some: range, dim: int) -> None:
+    """Write the cells of a group's vectors in some trees: where each cell begins, then the rows cell by cell."""
+    forest = trees.forest
+    cell = []
+    for s in forest.groups[group]:
+        found = _load(trees, s, dim)
+        cell += [forest.cell(found.units(b, b + (1 << 16)), some) for b in range(0, len(found.raw), 1 << 16)]
+    cell = np.concatenate(cell, 1)
+    for i, tree in enumerate(some):
+        begins = np.zeros(forest.cells + 1, np.int32)
+        np.cumsum(np.bincount(cell[i], minlength=forest.cells), out=begins[1:])
+        rows = np.argsort(cell[i], kind="stable").astype(np.int32)
+        _write_batch(forest.file(group, tree), pa.RecordBatch.from_arrays([pa.array(np.r_[begins, rows])], names=["cells"]))
 
 
 _shards: OrderedDict[str, Shard] = OrderedDict()
@@ -221,21 +354,18 @@ _shards: OrderedDict[str, Shard] = OrderedDict()
 
 def _load(trees: Trees, shard: int, dim: int) -> Shard:
     """A shard with its trees."""
-    import pyarrow.fs as pafs
-
     path = trees.files[shard]
     if path in _shards:
         _shards.move_to_end(path)
         return _shards[path]
-    fs, name = shared.open_file(path)
-    if isinstance(fs, pafs.LocalFileSystem):
-        fs = pafs.LocalFileSystem(use_mmap=True)
-    batch = pa.ipc.open_file(fs.open_input_file(name)).get_batch(0)
+    batch = _read_batch(path)
     node, norms, order = (batch.column(c).to_numpy() for c in ("node", "norm", "order"))
     raw = np.frombuffer(batch.column("raw").buffers()[1], np.float32)[: batch.num_rows * dim].reshape(-1, dim)
-    got = Shard(pickle.loads(batch.schema.metadata[b"roots"]), node, raw * (1 / norms).astype(np.float32)[:, None], raw, batch.column("ids"), norms, order)
+    got = Shard(pickle.loads(batch.schema.metadata[b"roots"]), node, raw, batch.column("ids"), norms, order)
+    if "sketch" in batch.schema.names:
+        got.sketches = np.frombuffer(batch.column("sketch").buffers()[1], np.uint64)[: batch.num_rows * BITS // 64].reshape(-1, BITS // 64)
     _shards[path] = got
-    while len(_shards) > 2 and sum(len(s.vectors) for s in _shards.values()) > _CACHED_ROWS:
+    while len(_shards) > 2 and sum(len(s.raw) for s in _shards.values()) > _CACHED_ROWS:
         _shards.popitem(last=False)
     return got
 
@@ -398,8 +528,92 @@ def _leaves(node: Node) -> Iterator[Node]:
         yield from _leaves(half)
 
 
+def _runs(begins: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(some runs, their lengths, all places from begin to end of each), of about so many places at a time."""
+    sizes = ends - begins
+    until = np.cumsum(sizes, dtype=np.int64)
+    at, total = 0, int(until[-1]) if len(until) else 0
+    shift, i = begins - (until - sizes), 0
+    for j in np.unique(np.searchsorted(until, np.arange(most, total + most, most)).clip(0, len(until) - 1) + 1).tolist():
+        if total > at:
+            yield slice(i, j), sizes[i:j], np.arange(at, int(until[j - 1])) + np.repeat(shift[i:j], sizes[i:j])
+        at, i = int(until[j - 1]), j
+
+
+def search_forest(shard: int, trees: Trees, dim: int, least: float) -> tuple[Shard, _Best, int]:
+    """(the shard, the best of its vectors from the least similarity on, pairs sifted)."""
+    forest, own = trees.forest, _load(trees, shard, dim)
+    n = len(own.raw)
+    best = _Best(n, lambda s, row: (own if s == shard else _load(trees, s, dim)).least_ids[row])
+    floor = np.full(n, least - 1e-6)
+    home = next(g for g, shards in enumerate(forest.groups) if shard in shards)
+    start, sifted = int(forest.first[shard]), 0
+
+    def settle(q: np.ndarray, row: np.ndarray, shards: tuple[int, ...]) -> None:
+        pair = np.unique(row.astype(np.int64) * n + q)
+        row, q = np.divmod(pair, n)
+        edges = np.r_[np.searchsorted(row, forest.first[list(shards)]), len(row)]
+        for other, a, b in zip(shards, edges[:-1], edges[1:], strict=True):
+            for c in range(a, b, 1 << 14):
+                at = slice(c, min(c + (1 << 14), b))
+                found, rows, some = _load(trees, other, dim), row[at] - forest.first[other], q[at]
+                sim = np.einsum("ij,ij->i", own.raw[some].astype(np.float64), found.raw[rows].astype(np.float64)) / (own.norms[some] * found.norms[rows])
+                known = ((best.at[some, :, 0] == other) & (best.at[some, :, 1] == rows[:, None]) & (best.sim[some] > -1.5)).any(1)
+                use = (sim >= floor[some]) & ~known
+                if use.any():
+                    some, rows = some[use], rows[use]
+                    best.add(some, sim[use], other, rows, found.order[rows])
+                    floor[some] = np.maximum(floor[some], best.sim[some, KEPT - 1] - 1e-6)
+
+    placed = []  # of every tree, its own vectors by cell, and their cells
+    for group in (home, *(g for g in range(len(forest.groups)) if g != home)):
+        shards = forest.groups[group]
+        sketches = np.concatenate([_load(trees, s, dim).sketches for s in shards])
+        first_word, own_word = np.ascontiguousarray(sketches[:, 0]), np.ascontiguousarray(own.sketches[:, 0])
+        met, waiting, first_cell = [], 0, np.empty(len(sketches), np.int32)
+        for tree in range(forest.count):
+            begins, rows = _cells(forest, group, tree)
+            if tree == 0 or group == home:
+                all_cells = np.repeat(np.arange(forest.cells, dtype=np.int32), np.diff(begins))
+            if group == home:
+                mine = np.flatnonzero((rows >= start) & (rows < start + n))
+                placed.append((rows[mine] - np.int32(start), all_cells[mine]))
+            if tree == 0:
+                first_cell[rows] = all_cells
+                own_first = np.empty(n, np.int32)
+                own_first[placed[0][0]] = placed[0][1]
+            q, cell = placed[tree]
+            words = own_word[q]
+            for run, sizes, place in _runs(begins[cell], begins[cell + 1], _SIFTED):
+                b = rows[place]
+                sifted += len(b)
+                like = np.flatnonzero(np.bitwise_count(np.repeat(words[run], sizes) ^ first_word[b]) <= forest.differ[0])
+                a, b = np.repeat(q[run], sizes)[like], b[like]
+                keep = np.bitwise_count(own.sketches[a] ^ sketches[b]).sum(1, dtype=np.int32) <= forest.differ[1]
+                if group == home:
+                    keep &= b != a + start
+                if tree:  # those of a common first cell are settled there
+                    keep &= own_first[a] != first_cell[b]
+                met.append((a[keep], b[keep]))
+                waiting += len(met[-1][0])
+                if waiting > _PAIRS:
+                    settle(*map(np.concatenate, zip(*met, strict=True)), shards)
+                    met, waiting = [], 0
+        if met:
+            settle(*map(np.concatenate, zip(*met, strict=True)), shards)
+    return own, best, sifted
+
+
+def _cells(forest: Forest, group: int, tree: int) -> tuple[np.ndarray, np.ndarray]:
+    """(where each cell begins, and at last ends, rows of the group by cell)."""
+    both = _read_batch(forest.file(group, tree)).column(0).to_numpy()
+    return both[: forest.cells + 1], both[forest.cells + 1 :]
+
+
 def search_shard(shard: int, trees: Trees, k: int, relax: float, dim: int, near: float = NEAR, least: float = -1.0) -> tuple[Shard, _Best, int]:
     """(the shard, the best of its vectors, pairs compared)."""
+    if trees.forest is not None:
+        return search_forest(shard, trees, dim, least)
     search = _Search(shard, trees, k, dim, least)
     n = len(search.own.vectors)
     search.limit[:] = search.reach / relax
@@ -422,21 +636,24 @@ def answers(own: Shard, best: _Best, trees: Trees, k: int, dim: int) -> tuple[li
     for shard in np.unique(best.at[:, :, 0][good]):
         at = good & (best.at[:, :, 0] == shard)
         names[at] = _load(trees, int(shard), dim).names(best.at[:, :, 1][at])
-    own_names, several = own.names(np.arange(len(good))), own.several()
+    several = own.several()
+    some = good.any(1) | several  # all others have no answer
+    own_names = np.empty(len(good), object)
+    own_names[some] = own.names(np.flatnonzero(some))
     # where all are single and no similarities tie, the rows are in their order already
     tied = ((sims[:, 1 : k + 2] == sims[:, : k + 1]) & good[:, 1 : k + 2]).any(1)
-    plain = ~several & ~tied & ~np.vectorize(lambda x: isinstance(x, list), otypes=[bool])(names).any(1)
+    plain = some & ~several & ~tied & ~np.vectorize(lambda x: isinstance(x, list), otypes=[bool])(names).any(1)
     first = good[plain][:, :k]
     ids, sizes, many = own_names[plain].tolist(), [first.sum(1)], [False] * int(plain.sum())
     listed, near = names[plain][:, :k][first].tolist(), [sims[plain][:, :k][first]]
-    for q in np.flatnonzero(~plain):
+    for q in np.flatnonzero(some & ~plain):
         mine = own_names[q] if several[q] else [own_names[q]]
-        some = [(-1.0, i) for i in mine]
+        all_of = [(-1.0, i) for i in mine]
         for j in np.flatnonzero(good[q]):
-            some += [(-float(sims[q, j]), i) for i in (names[q, j] if isinstance(names[q, j], list) else [names[q, j]])]
-        some = sorted(some)[: k + 1]
+            all_of += [(-float(sims[q, j]), i) for i in (names[q, j] if isinstance(names[q, j], list) else [names[q, j]])]
+        all_of = sorted(all_of)[: k + 1]
         for i in mine:
-            others = [(x, -d) for d, x in some if x != i][:k]
+            others = [(x, -d) for d, x in all_of if x != i][:k]
             ids.append(i)
             many.append(len(mine) > k)
             sizes.append([len(others)])
@@ -463,8 +680,8 @@ def _plan_shards(counts: dict[int, int], nodes: int, rows: int) -> tuple[np.ndar
     return first, parts
 
 
-def build(df: DataFrame, k: int, dim: int) -> Trees | None:
-    """Shards and trees of all usable vectors of ``df``: (id, vector)."""
+def build(df: DataFrame, k: int, dim: int, least: float = -1.0) -> Trees | None:
+    """Shards and trees of all usable vectors of ``df``: (id, vector). With a ``least`` similarity they are held by a forest for it, if that is a gain."""
     spark = df.sparkSession
     kind = df.schema["id"].dataType.simpleString()
     total = df.count()
@@ -478,7 +695,9 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     units = np.concatenate([np.zeros((0, dim), np.float32), *(_directions(b.column(0), b.column(1), dim)[1] for b in sample.to_batches())])
     if not len(units):
         units = np.eye(1, dim, dtype=np.float32)  # a sample of unusable vectors only; all others meet at one point
-    points = fit_vantage_points(np.unique(units, axis=0), int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)))
+    forest = fit_forest(units, total, least) if least > -1 else None
+    # shards of a forest are any vectors, so one root does
+    points = fit_vantage_points(np.unique(units, axis=0), int(np.clip(total // NODE_ROWS, LEAST_NODES, MOST_NODES)) if forest is None else 1)
     share = np.bincount((units @ points.T).argmax(1), minlength=len(points)) / len(units)
     first, parts = _plan_shards({i: int(np.ceil(s * total)) for i, s in enumerate(share)}, len(points), int(np.clip(total // SHARDS, SHARD_ROWS, max(SHARD_ROWS, MOST_SHARD_ROWS))))
     held = spark.sparkContext.broadcast((points, first, parts))
@@ -530,13 +749,41 @@ def build(df: DataFrame, k: int, dim: int) -> Trees | None:
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in batch.column(0).to_pylist():
-                balls = _write_shard(folders[i], files[i], dim, held.value[0])
-                yield pa.RecordBatch.from_arrays([pa.array([i] * len(balls), pa.int32()), pa.array([b[0] for b in balls], pa.int32()), pa.array([b[1] for b in balls])], names=["shard", "node", "radius"])
+                balls = _write_shard(folders[i], files[i], dim, held.value[0], forest)
+                columns = [pa.array([i] * len(balls), pa.int32()), pa.array([b[0] for b in balls], pa.int32()), pa.array([b[1] for b in balls]), pa.array([b[2] for b in balls], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "node", "radius", "n"])
 
-    balls = _numbered(spark, len(folders)).mapInArrow(plant, "shard int, node int, radius double").orderBy("shard", "node").collect()  # one row a ball
+    balls = _numbered(spark, len(folders)).mapInArrow(plant, "shard int, node int, radius double, n long").orderBy("shard", "node").collect()  # one row a ball
     shared.release(spark, path)
-    shard, node, radius = (np.array([r[c] for r in balls]) for c in ("shard", "node", "radius"))
-    return Trees(points, node, shard, radius + _SLACK, files)
+    shard, node, radius, n = (np.array([r[c] for r in balls]) for c in ("shard", "node", "radius", "n"))
+    trees = Trees(points, node, shard, radius + _SLACK, files, forest)
+    if forest is not None:
+        _plant_forest(spark, trees, np.bincount(shard, n, len(files)).astype(np.int64), dim)
+    return trees
+
+
+def _plant_forest(spark: SparkSession, trees: Trees, rows: np.ndarray, dim: int) -> None:
+    """Write the cells of all trees, group by group of shards with so many ``rows``."""
+    forest, groups, first, filled = trees.forest, [[]], [], 0
+    for shard, n in enumerate(rows.tolist()):
+        if filled and filled + n > GROUP_ROWS:
+            groups.append([])
+            filled = 0
+        groups[-1].append(shard)
+        first.append(filled)
+        filled += n
+    forest.groups, forest.first, forest.folder = tuple(map(tuple, groups)), np.array(first, np.int64), shared.new_path(spark, "forest")
+    parts = [(g, t) for g in range(len(groups)) for t in range(0, forest.count, TREES_A_TASK)]
+    held = spark.sparkContext.broadcast(trees)
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                group, tree = parts[i]
+                _plant_trees(held.value, group, range(tree, min(tree + TREES_A_TASK, held.value.forest.count)), dim)
+            yield batch
+
+    _numbered(spark, len(parts)).mapInArrow(plant, "shard int").write.format("noop").mode("overwrite").save()
 
 
 def _numbered(spark: SparkSession, n: int) -> DataFrame:
@@ -550,7 +797,7 @@ def similar(df: DataFrame, id_col: str, vector_col: str, k: int = K, relax: floa
     kind = df.schema[id_col].dataType.simpleString()
     raw = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     names = [F.col("id").alias(id_col), "place", "neighbour", "similarity"]
-    trees = build(raw, k, dim)
+    trees = build(raw, k, dim, least if relax > 1 else -1.0)
     if trees is None:
         return spark.createDataFrame([], f"id {kind}, place int, neighbour {kind}, similarity double").select(*names)
     held = spark.sparkContext.broadcast(trees)

@@ -142,3 +142,34 @@ def test_shards_grow_with_the_vectors(spark, monkeypatch):
     trees = vptree.build(spark.createDataFrame(rows, "id string, vector array<float>"), 5, 64)
     assert len(trees.files) <= 8
     assert found(spark, rows, relax=1.0) == brute(rows)
+
+
+def test_forest_finds_all_in_few_pairs(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "SHARDS", 1)
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 700)
+    monkeypatch.setattr(vptree, "MOST_SHARD_ROWS", 700)
+    monkeypatch.setattr(vptree, "GROUP_ROWS", 2000)
+    rows = with_near_copies(2000, 8)
+    df = spark.createDataFrame(rows, "id string, vector array<float>")
+    trees = vptree.build(df, 5, 64, 0.9)
+    sifted = sum(vptree.search_shard(s, trees, 5, vptree.RELAX_LEAST, 64, least=0.9)[2] for s in range(len(trees.files)))
+    assert len(trees.forest.groups) > 1 and sifted < len(rows) ** 2 * 0.2  # 0.15 in a forest for so few vectors
+    near = vptree.similar(df, "id", "vector", relax=vptree.RELAX_LEAST, least=0.9).collect()
+    assert {(r.id, r.neighbour) for r in near} == pairs_from(rows, 0.9)
+
+
+def test_forest_grows_less_than_its_vectors(spark):
+    rng = np.random.default_rng(6)
+    units = rng.normal(size=(32000, 64)).astype(np.float32)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    share = []
+    for n in (2000, 32000):
+        forest = vptree.fit_forest(units[:n], n, 0.9)
+        cells = forest.cell(units[:n], range(forest.count))
+        share.append(sum(float((np.bincount(c).astype(float) ** 2).sum()) for c in cells) / n**2)
+    assert share[1] < share[0] / 3  # 0.019 and 0.116
+
+
+def test_no_forest_where_too_many_trees_are_needed():
+    units = np.random.default_rng(6).normal(size=(2000, 64)).astype(np.float32)
+    assert vptree.fit_forest(units / np.linalg.norm(units, axis=1, keepdims=True), 1_000_000, 0.3) is None
